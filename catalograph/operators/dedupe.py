@@ -27,6 +27,7 @@ def _tie_break(df: DataFrame, name: str) -> Column:
 
 def _first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
     others = [c for c in df.columns if c not in keys]
+    order_by = [o for o in order_by if isinstance(o, Column) or o not in keys]  # a key is the same in all its rows
     if not others and not order_by:
         # The key is the whole row: a hash aggregate, combined before the shuffle.
         return df.dropDuplicates(list(keys))
@@ -34,7 +35,8 @@ def _first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str |
     # Spark limits each map task to one row per key before the shuffle
     # (WindowGroupLimit), so a hot key is never gathered in one task.
     wanted = [o if isinstance(o, Column) else F.col(o).asc_nulls_last() for o in order_by]
-    order = wanted + [_tie_break(df, c) for c in others if c not in order_by]
+    named = {o for o in order_by if isinstance(o, str)}
+    order = wanted + [_tie_break(df, c) for c in others if c not in named]
     rank = _free_name(df, "row_num")
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) == 1).drop(rank)

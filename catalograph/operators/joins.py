@@ -26,7 +26,9 @@ def heavy_keys(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def spread_join(fact: DataFrame, dim: DataFrame, key: str, spread_by: Column, heavy_from: DataFrame | None = None):
+def spread_join(
+    fact: DataFrame, dim: DataFrame, key: str, spread_by: Column, heavy_from: DataFrame | None = None
+) -> DataFrame:
     """``fact.join(dim, key)`` (inner) with heavy fact keys spread over many tasks.
 
     Rows of a heavy key get one of n salts from a hash of ``spread_by``; the
@@ -45,9 +47,8 @@ def spread_join(fact: DataFrame, dim: DataFrame, key: str, spread_by: Column, he
     n = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     heavy = heavy_keys(fact if heavy_from is None else heavy_from, key)
     is_heavy = F.array_contains(heavy.scalar(), F.col(key))
-    salted_fact = fact.withColumn(
-        "_salt", F.when(is_heavy, F.pmod(F.xxhash64(spread_by), F.lit(n)).cast("int")).otherwise(F.lit(0))
-    )
+    salt = F.coalesce(F.pmod(F.xxhash64(spread_by), F.lit(n)).cast("int"), F.lit(0))
+    salted_fact = fact.withColumn("_salt", F.when(is_heavy, salt).otherwise(F.lit(0)))
     every_salt = F.when(is_heavy, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
     salted_dim = dim.withColumn("_salts", every_salt).withColumn("_salt", F.explode("_salts")).drop("_salts")
     return salted_fact.join(salted_dim, [key, "_salt"], "inner").drop("_salt")
