@@ -36,7 +36,14 @@ def rows(df):
 
 
 def final_plan(df) -> str:
-    """Run the frame and return the plan that adaptive execution ended with."""
+    """Run the frame and return the plan adaptive execution ended with, subqueries included."""
     df.collect()
-    text = df._jdf.queryExecution().executedPlan().toString()
-    return text.split("== Initial Plan ==")[0] if "== Initial Plan ==" in text else text
+    kept, skip_from = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        indent = len(line) - len(line.lstrip(" :"))
+        if skip_from is not None and indent >= skip_from:
+            continue
+        skip_from = indent if "== Initial Plan ==" in line else None
+        if skip_from is None:
+            kept.append(line)
+    return "\n".join(kept)

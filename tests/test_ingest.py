@@ -1,0 +1,250 @@
+"""Archives, workbooks and CSV files written by the tests and read back."""
+
+from __future__ import annotations
+
+import pandas as pd
+import pytest
+from conftest import rows
+
+from catalograph.plans import read_catalog
+from catalograph.schema import LINK, LISTING, MASTER
+from catalograph.sinks import save_table, write_csv, write_parquet
+from catalograph.sources import (
+    archive_entries,
+    list_tables,
+    load_table,
+    read_archives,
+    read_csv,
+    register,
+    workbook_rows,
+    workbook_table,
+)
+from queries.packing import CONTENT_TYPES, MAIN_NS, WORKBOOK, WORKBOOK_RELS, workbook_bytes, zip_bytes
+
+
+def book(sheet: str, strings: str = "", **parts: str) -> bytes:
+    files = {
+        "[Content_Types].xml": CONTENT_TYPES,
+        "xl/workbook.xml": WORKBOOK,
+        "xl/_rels/workbook.xml.rels": WORKBOOK_RELS,
+        "xl/worksheets/sheet1.xml": f"<worksheet {MAIN_NS}><sheetData>{sheet}</sheetData></worksheet>",
+    }
+    if strings:
+        files["xl/sharedStrings.xml"] = f"<sst {MAIN_NS}>{strings}</sst>"
+    files.update({f"xl/{name.replace('__', '/')}.xml": content for name, content in parts.items()})
+    return zip_bytes(files)
+
+
+def read_book(spark, content: bytes, entry: str = "Dir/Fichier_Test.XLSX"):
+    archives = spark.createDataFrame([("a.zip", zip_bytes({entry: content}))], "path string, content binary")
+    return workbook_rows(archive_entries(archives))
+
+
+def cells(df):
+    return [r.cells for r in df.orderBy("row_idx").collect()]
+
+
+def text(value: str) -> str:
+    return f'<c t="inlineStr"><is><t>{value}</t></is></c>'
+
+
+HEADER = f'<row r="1">{text("a")}{text("b")}{text("c")}</row>'
+
+
+def test_archives_on_disk(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "one.zip").write_bytes(zip_bytes({"x/": "", "x/A.TXT": "1", "b.xlsx": "2"}))
+    (tmp_path / "sub" / "two.zip").write_bytes(zip_bytes({"é.csv": "3"}))
+    (tmp_path / "other.bin").write_bytes(b"no archive")
+    found = archive_entries(read_archives(spark, str(tmp_path))).collect()
+    assert sorted((r.archive.rsplit("/", 1)[1], r.entry, r.table_name, bytes(r.content)) for r in found) == [
+        ("one.zip", "b.xlsx", "b", b"2"),
+        ("one.zip", "x/A.TXT", "a", b"1"),
+        ("two.zip", "é.csv", "é", b"3"),
+    ]
+
+
+def test_broken_archive_fails(spark):
+    df = spark.createDataFrame([("a.zip", b"not a zip")], "path string, content binary")
+    with pytest.raises(Exception, match="zip"):
+        archive_entries(df).collect()
+
+
+def test_shared_inline_and_rich_strings(spark):
+    strings = "<si><t>one</t></si><si><r><t>t</t></r><r><t>wo</t></r><rPh><t>hint</t></rPh></si>"
+    sheet = HEADER + f'<row r="2"><c t="s"><v>0</v></c><c t="s"><v>1</v></c>{text("x &amp;amp; y")}</row>'
+    df = read_book(spark, book(sheet, strings))
+    assert cells(df) == [{"a": "one", "b": "two", "c": "x &amp; y"}]
+    assert df.first().table_name == "fichier_test"
+
+
+def test_gap_between_cells_and_empty_cell(spark):
+    sheet = HEADER + '<row r="2"><c r="A2"><v>1</v></c><c r="C2"><v>3</v></c></row>'
+    sheet += '<row r="3"><c r="A3"/><c r="B3"><v>2</v></c></row>'
+    assert cells(read_book(spark, book(sheet))) == [
+        {"a": "1", "b": None, "c": "3"},
+        {"a": None, "b": "2", "c": None},
+    ]
+
+
+def test_whole_numbers_have_one_spelling(spark):
+    sheet = HEADER + '<row r="2"><c><v>5</v></c><c><v>5.0</v></c><c><v>5.25</v></c></row>'
+    sheet += '<row r="3"><c><v>1E3</v></c><c><v>12345678901234567</v></c><c><v>-7.0</v></c></row>'
+    assert cells(read_book(spark, book(sheet))) == [
+        {"a": "5", "b": "5", "c": "5.25"},
+        {"a": "1000", "b": "12345678901234567", "c": "-7"},
+    ]
+
+
+def test_missing_tokens_errors_and_booleans(spark):
+    sheet = HEADER + f'<row r="2">{text("N/A")}<c t="e"><v>#DIV/0!</v></c><c t="b"><v>1</v></c></row>'
+    sheet += f'<row r="3">{text("")}{text(" ")}<c t="str"><v>formula</v></c></row>'
+    assert cells(read_book(spark, book(sheet))) == [
+        {"a": None, "b": None, "c": "True"},
+        {"a": None, "b": " ", "c": "formula"},
+    ]
+
+
+def test_blank_rows_inside_are_kept_and_at_the_end_dropped(spark):
+    sheet = HEADER + '<row r="3"><c><v>1</v></c></row><row r="4"/><row r="5"><c><v>2</v></c></row><row r="9"/>'
+    empty = {"a": None, "b": None, "c": None}
+    assert cells(read_book(spark, book(sheet))) == [empty, empty | {"a": "1"}, empty, empty | {"a": "2"}]
+
+
+def test_blank_and_repeated_headers_and_cells_past_the_header(spark):
+    sheet = f'<row r="1">{text("x")}<c r="C1" t="inlineStr"><is><t>x</t></is></c></row>'
+    sheet += "<row r=\"2\"><c><v>1</v></c><c><v>2</v></c><c><v>3</v></c><c><v>4</v></c></row>"
+    assert cells(read_book(spark, book(sheet))) == [{"x": "1", "Unnamed: 1": "2", "x.1": "3", "Unnamed: 3": "4"}]
+
+
+def test_dates_are_shown_as_dates(spark):
+    styles = (
+        f'<styleSheet {MAIN_NS}><numFmts><numFmt numFmtId="164" formatCode="yyyy\\-mm\\-dd"/>'
+        '<numFmt numFmtId="165" formatCode="0.0&quot;d&quot;[Red]"/></numFmts>'
+        '<cellXfs><xf numFmtId="0"/><xf numFmtId="22"/><xf numFmtId="164"/><xf numFmtId="165"/></cellXfs></styleSheet>'
+    )
+    sheet = HEADER + '<row r="2"><c s="1"><v>45292.75</v></c><c s="2"><v>45292</v></c><c s="3"><v>45292</v></c></row>'
+    assert cells(read_book(spark, book(sheet, styles=styles))) == [
+        {"a": "2024-01-01 18:00:00", "b": "2024-01-01 00:00:00", "c": "45292"}
+    ]
+
+
+def test_first_sheet_is_the_one_listed_first(spark):
+    workbook = WORKBOOK.replace("<sheets>", '<sheets><sheet name="First" sheetId="7" r:id="rId7"/>')
+    links = WORKBOOK_RELS.replace("</Rel", '<Relationship Id="rId7" Target="/xl/worksheets/other.xml"/></Rel')
+    other = f'<worksheet {MAIN_NS}><sheetData><row r="1">{text("z")}</row><row r="2"><c><v>9</v></c></row></sheetData></worksheet>'
+    content = book(HEADER, worksheets__other=other)
+    files = {"workbook": workbook}
+    content = zip_bytes(
+        {
+            "xl/workbook.xml": files["workbook"],
+            "xl/_rels/workbook.xml.rels": links,
+            "xl/worksheets/sheet1.xml": f"<worksheet {MAIN_NS}><sheetData>{HEADER}</sheetData></worksheet>",
+            "xl/worksheets/other.xml": other,
+        }
+    )
+    assert cells(read_book(spark, content)) == [{"z": "9"}]
+
+
+def test_empty_workbook_has_no_rows(spark):
+    assert cells(read_book(spark, book(""))) == []
+    assert cells(read_book(spark, book(HEADER))) == []
+
+
+def test_more_rows_than_one_batch(spark):
+    content = workbook_bytes(["n", "s"], [[i, f"v{i % 7}"] for i in range(4500)])
+    found = cells(read_book(spark, content))
+    assert found == [{"n": str(i), "s": f"v{i % 7}"} for i in range(4500)]
+
+
+def test_typed_table_with_rename_and_passthrough(spark):
+    content = workbook_bytes(["sku", "post_type", "total_sales", "colour"], [["00A", "product", 3, "red"], [None] * 4])
+    typed = workbook_table(read_book(spark, content), "fichier_test", LISTING, passthrough=["colour"])
+    assert rows(typed.drop("archive", "entry")) == [(0, "00A", "product", None, 3.0, "red")]
+
+
+def test_both_old_and_new_name_fail(spark):
+    content = workbook_bytes(["sku", "id_web"], [["a", "b"]])
+    with pytest.raises(Exception, match="both sku and id_web"):
+        workbook_table(read_book(spark, content), "fichier_test", LINK).collect()
+
+
+def test_cell_of_the_wrong_type_fails(spark):
+    content = workbook_bytes(["product_id", "id_web"], [["abc", "b"]])
+    table = read_book(spark, content)
+    with pytest.raises(Exception, match="column product_id"):
+        workbook_table(table, "fichier_test", LINK).collect()
+    assert rows(workbook_table(table, "fichier_test", LINK, strict=False).select("product_id", "id_web")) == [(None, "b")]
+
+
+def test_catalog_from_many_archives(spark, tmp_path):
+    for lot in range(3):
+        files = {
+            "Fichier_ERP.xlsx": workbook_bytes(["product_id", "price", "stock_quantity"], [[lot, 1.5, 2]]),
+            "fichier_liaison.xlsx": workbook_bytes(["product_id", "id_web"], [[float(lot), f"w{lot}"]]),
+            "Fichier_Web.XLSX": workbook_bytes(["sku", "post_type", "post_title"], [[f"w{lot}", "product", "t"]]),
+        }
+        (tmp_path / f"lot{lot}.zip").write_bytes(zip_bytes(files))
+    catalog = read_catalog(spark, str(tmp_path))
+    assert rows(catalog.master) == [(lot, 1.5, 2) for lot in range(3)]
+    assert rows(catalog.link) == [(lot, f"w{lot}") for lot in range(3)]
+    assert rows(catalog.listing) == [(f"w{lot}", "product", "t", None) for lot in range(3)]
+    assert [f.dataType for f in catalog.master.schema] == [f.dataType for f in MASTER]
+
+
+# CSV
+
+
+def test_csv_columns_by_name_tokens_and_extra_columns(spark, tmp_path):
+    path = tmp_path / "web.csv"
+    path.write_bytes(
+        b"post_type,extra,id_web,total_sales,post_title\r\n"
+        b'product,e1,00A,5.0,"Say ""hi"", you"\r\n'
+        b"NA,null,,,NaN\r\n"
+        b'product,e3, x ,7,"two\nlines"\r\n'
+    )
+    assert rows(read_csv(spark, str(path), LISTING)) == [
+        (" x ", "product", "two\nlines", 7.0, "e3"),
+        ("00A", "product", 'Say "hi", you', 5.0, "e1"),
+        (None, None, None, None, None),
+    ]
+    assert read_csv(spark, str(path), LISTING, passthrough=[]).columns == LISTING.fieldNames()
+
+
+def test_csv_files_with_other_headers_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("product_id,id_web\n1,a\n")
+    (tmp_path / "b.csv").write_text("id_web,product_id\nb,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path), LINK).collect()
+
+
+def test_csv_sink_is_read_alike_by_pandas(spark, tmp_path):
+    data = [("a", 'say "x"', 1.5), (" b ", "l1\nl2, l3", None), ("c", "back\\slash", 225.0), ("d", None, 0.0)]
+    df = spark.createDataFrame(data, "id_web string, post_title string, total_sales double").coalesce(1)
+    path = write_csv(df, str(tmp_path / "out"))
+    part = next((tmp_path / "out").glob("*.csv"))
+    frame = pd.read_csv(part)
+    assert [tuple(None if pd.isna(v) else v for v in r) for r in frame.itertuples(index=False)] == data
+    assert rows(read_csv(spark, path, df.schema)) == sorted(data, key=repr)
+
+
+# Tables
+
+
+def test_parquet_sink_replaces_and_partitions(spark, tmp_path):
+    df = spark.createDataFrame([(1, "premium"), (2, "ordinary"), (3, None)], "n long, segment string")
+    path = str(tmp_path / "t")
+    write_parquet(df.limit(1), path)
+    write_parquet(df, path, partition_by="segment")
+    assert rows(load_table(spark, str(tmp_path), "t")) == [(1, "premium"), (2, "ordinary"), (3, None)]
+    assert (tmp_path / "t" / "segment=premium").is_dir()
+
+
+def test_named_tables(spark, conf, tmp_path):
+    register(spark.range(3).toDF("n"), "three")
+    assert spark.sql("SELECT sum(n) AS s FROM three").first().s == 3
+    assert ("three",) in rows(list_tables(spark))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS shop LOCATION '{tmp_path}/shop'")
+    assert save_table(spark.range(2), "shop.t").count() == 2
+    assert save_table(spark.range(5), "shop.t").count() == 5
+    spark.sql("DROP DATABASE shop CASCADE")
