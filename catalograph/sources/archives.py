@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalograph.functions import table_name_of
 
+# Send this module's functions to the executors, which need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ENTRY_SCHEMA = "archive string, entry string, content binary"
 
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 import io
 import posixpath
 import re
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,12 +20,16 @@ from pyspark.sql import types as T
 from catalograph.functions import missing_to_null
 from catalograph.schema import parse_cell
 
+# Send this module's functions to the executors, which need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROW_SCHEMA = "archive string, entry string, table_name string, row_idx long, cells map<string,string>"
 ROWS_PER_BATCH = 2000
 
 # Fixed values of the workbook format: XML namespaces and the built-in number
 # formats that show a date or a time.
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+ROW, CELL, VALUE, TEXT = f"{MAIN}row", f"{MAIN}c", f"{MAIN}v", f"{MAIN}t"
 REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
 
@@ -51,7 +57,9 @@ def _first_sheet(book: zipfile.ZipFile) -> tuple[str, datetime]:
 
 def _text(node: ElementTree.Element) -> str:
     """Text of a string item: its own and its runs', without phonetic hints."""
-    runs = [node.find(f"{MAIN}t"), *(r.find(f"{MAIN}t") for r in node.findall(f"{MAIN}r"))]
+    if len(node) == 1 and node[0].tag == TEXT:
+        return node[0].text or ""
+    runs = [node.find(TEXT), *(r.find(TEXT) for r in node.findall(f"{MAIN}r"))]
     return "".join(t.text or "" for t in runs if t is not None)
 
 
@@ -77,7 +85,7 @@ def _number(text: str) -> str:
 
 
 def _cell(cell: ElementTree.Element, strings: list[str], date_styles: set[str], epoch: datetime) -> str | None:
-    kind, value = cell.get("t", "n"), cell.findtext(f"{MAIN}v")
+    kind, value = cell.get("t", "n"), cell.findtext(VALUE)
     if kind == "inlineStr":
         inline = cell.find(f"{MAIN}is")
         return None if inline is None else _text(inline)
@@ -94,12 +102,10 @@ def _cell(cell: ElementTree.Element, strings: list[str], date_styles: set[str],
     return _number(value)
 
 
-def _column(reference: str | None, following: int) -> int:
-    """Zero-based column of a reference such as ``AB12``."""
-    if reference is None:
-        return following
+def _column(letters: str) -> int:
+    """Zero-based column of ``A``, ``B`` … ``AB`` …"""
     number = 0
-    for letter in reference.rstrip("0123456789"):
+    for letter in letters:
         number = number * 26 + ord(letter) - ord("A") + 1
     return number - 1
 
@@ -111,22 +117,25 @@ def _sheet_rows(content: bytes) -> Iterator[list[str | None]]:
         shared = _xml(book, "xl/sharedStrings.xml")
         strings = [] if shared is None else [_text(item) for item in shared.findall(f"{MAIN}si")]
         date_styles = _date_styles(book)
+        columns: dict[str, int] = {}
         done = 0
         with book.open(path) as sheet:
-            rows = None
-            for event, node in ElementTree.iterparse(sheet, events=("start", "end")):
-                if event == "start":
-                    rows = node if node.tag == f"{MAIN}sheetData" else rows
-                    continue
-                if node.tag != f"{MAIN}row":
+            for _, node in ElementTree.iterparse(sheet):
+                if node.tag != ROW:
                     continue
                 number = int(node.get("r", done + 1))
                 row: list[str | None] = []
-                for cell in node.findall(f"{MAIN}c"):
-                    at = _column(cell.get("r"), len(row))
-                    row.extend([None] * (at + 1 - len(row)))
-                    row[at] = _cell(cell, strings, date_styles, epoch)
-                rows.clear()
+                for cell in node:
+                    if cell.tag != CELL:
+                        continue
+                    letters = cell.get("r", "").rstrip("0123456789")
+                    if letters:
+                        at = columns.get(letters)
+                        if at is None:
+                            at = columns[letters] = _column(letters)
+                        row.extend([None] * (at - len(row)))
+                    row.append(_cell(cell, strings, date_styles, epoch))
+                node.clear()
                 if any(v is not None for v in row):
                     for _ in range(done + 1, number):
                         yield []

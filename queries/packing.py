@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterable, Iterator, Sequence
 from xml.sax.saxutils import escape
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Send this module's functions to the executors, which need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The parts every workbook needs.
 MAIN_NS = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
 REL_NS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pandas as pd
 import pytest
 from conftest import rows
@@ -22,6 +26,9 @@ from catalograph.sources import (
 from queries.packing import CONTENT_TYPES, MAIN_NS, WORKBOOK, WORKBOOK_RELS, workbook_bytes, zip_bytes
 
 
+ROOT = Path(__file__).resolve().parent.parent
+
+
 def book(sheet: str, strings: str = "", **parts: str) -> bytes:
     files = {
         "[Content_Types].xml": CONTENT_TYPES,
@@ -248,3 +255,18 @@ def test_named_tables(spark, conf, tmp_path):
     assert save_table(spark.range(2), "shop.t").count() == 2
     assert save_table(spark.range(5), "shop.t").count() == 5
     spark.sql("DROP DATABASE shop CASCADE")
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    script = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+import __spark_entry__ as contract
+from catalograph.session import local_session
+spark = local_session(2, shuffle_partitions=2)
+for name in ("archive_entries", "workbook_rows"):
+    print(name, contract.queries()[name](spark, "/root/testdata/sf0.001").count())
+"""
+    run = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert run.returncode == 0, run.stderr[-2000:]
+    assert "archive_entries 400" in run.stdout and "workbook_rows" in run.stdout
