@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalograph.functions import thousands
+
 TOLERANCE = 0.005  # half a cent: the order of a distributed sum is not fixed
 
 
@@ -48,12 +50,14 @@ def run_checks(groups: Sequence[tuple[DataFrame, Sequence[Check]]], tolerance: f
     return reduce(DataFrame.unionByName, parts).withColumn("passed", F.coalesce(close, F.lit(False)))
 
 
-def metric_rows(step: str, df: DataFrame, **metrics: Column) -> DataFrame:
-    """(step, metric, value) from one aggregate over ``df``."""
-    names = list(metrics)
-    values = df.agg(*[metrics[m].cast("double").alias(m) for m in names])
-    rows = [F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in names]
-    return values.select(F.lit(step).alias("step"), F.inline(F.array(*rows)))
+def metric_rows(df: DataFrame, metrics: Sequence[tuple[str, str, Column]]) -> DataFrame:
+    """(step, metric, value) rows; all metrics, given as (step, name, aggregate), share one pass over ``df``."""
+    values = df.agg(*[value.cast("double").alias(f"v{i}") for i, (_, _, value) in enumerate(metrics)])
+    rows = [
+        F.struct(F.lit(step).alias("step"), F.lit(name).alias("metric"), F.col(f"v{i}").alias("value"))
+        for i, (step, name, _) in enumerate(metrics)
+    ]
+    return values.select(F.inline(F.array(*rows)))
 
 
 def count_lines(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
@@ -67,6 +71,18 @@ def count_lines(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     return reduce(DataFrame.unionByName, lines)
 
 
+def check_lines(checks: DataFrame, names: Sequence[str], first_step: int = 1) -> DataFrame:
+    """(step, msg): one line per check, in the order of ``names``."""
+    outcome = F.when(F.col("passed"), "ok").otherwise("FAILED")
+    place = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("check_name")).cast("int")
+    found = F.coalesce(thousands(F.col("actual")), F.lit("nothing"))
+    return checks.select(
+        (place + (first_step - 1)).alias("step"),
+        F.concat("check_name", F.lit(": expected "), thousands(F.col("expected")), F.lit(", found "), found,
+                 F.lit(", "), outcome).alias("msg"),
+    )
+
+
 def joined_log(lines: DataFrame, name: str = "pipeline_log") -> DataFrame:
     """One row: the messages in step order, one per line.
 

@@ -18,25 +18,51 @@ def _free_name(df: DataFrame, base: str) -> str:
     return base
 
 
-def _tie_break(df: DataFrame, name: str) -> Column:
-    column = F.col(f"`{name}`")
-    if isinstance(df.schema[name].dataType, T.MapType):  # maps have no order of their own
-        column = F.array_sort(F.map_entries(column))
-    return column.asc_nulls_last()
-
-
 def _first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
     others = [c for c in df.columns if c not in keys]
     order_by = [o for o in order_by if isinstance(o, Column) or o not in keys]  # a key is the same in all its rows
     if not others and not order_by:
         # The key is the whole row: a hash aggregate, combined before the shuffle.
         return df.dropDuplicates(list(keys))
-    # Ordering by every other column as well leaves only identical rows tied.
-    # Spark limits each map task to one row per key before the shuffle
-    # (WindowGroupLimit), so a hot key is never gathered in one task.
-    wanted = [o if isinstance(o, Column) else F.col(o).asc_nulls_last() for o in order_by]
-    named = {o for o in order_by if isinstance(o, str)}
-    order = wanted + [_tie_break(df, c) for c in others if c not in named]
+    unordered = any(isinstance(df.schema[c].dataType, T.MapType) for c in others)
+    if unordered or any(isinstance(o, Column) for o in order_by):
+        return _first_by_rank(df, keys, order_by, others)
+    return _first_by_minimum(df, keys, [*order_by, *(c for c in others if c not in order_by)])
+
+
+def _first_by_minimum(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The smallest struct of the other columns per key.
+
+    An aggregate: each map task sends one row per key, whatever its share of the
+    rows, and sorts by the key alone.
+    """
+    fields = []
+    for i, name in enumerate(order):
+        column = F.col(f"`{name}`")
+        fields += [column.isNull().alias(f"null{i}"), column.alias(f"value{i}")]  # NULLs last
+    first = _free_name(df, "first")
+    best = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias(first))
+    place = {name: i for i, name in enumerate(order)}
+    return best.select(*[F.col(f"{first}.value{place[c]}").alias(c) if c in place else F.col(c) for c in df.columns])
+
+
+def _first_by_rank(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], others: Sequence[str]
+) -> DataFrame:
+    """Row number 1 per key, for any sort order.
+
+    Spark limits each map task to one row per key before the shuffle
+    (WindowGroupLimit), so a hot key is never gathered in one task.
+    """
+
+    def ascending(name: str) -> Column:
+        column = F.col(f"`{name}`")
+        if isinstance(df.schema[name].dataType, T.MapType):  # maps have no order of their own
+            column = F.array_sort(F.map_entries(column))
+        return column.asc_nulls_last()
+
+    order = [o if isinstance(o, Column) else ascending(o) for o in order_by]
+    order += [ascending(c) for c in others]
     rank = _free_name(df, "row_num")
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) == 1).drop(rank)

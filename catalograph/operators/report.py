@@ -59,5 +59,5 @@ def ranked(df: DataFrame, by: str, last: Sequence[Column] = ()) -> DataFrame:
     (``storage.row_position``) even a large group of identical rows is spread
     over several range partitions.
     """
-    ties = [F.col(c).asc_nulls_last() for c in df.columns if c != by]
+    ties = [F.col(f"`{c}`").asc_nulls_last() for c in df.columns if c != by]
     return df.orderBy(F.col(by).desc_nulls_last(), *ties, *last)

@@ -30,10 +30,10 @@ def with_raw_score(df: DataFrame, column: str, name: str = RAW_SCORE) -> DataFra
 
 def displayed(scored: DataFrame, after: str = "prix_unitaire") -> DataFrame:
     """Replace the raw score by ``z_score``, rounded to 4 places, right after the price."""
-    out: list[str | Column] = []
+    out: list[Column] = []
     for c in scored.columns:
         if c != RAW_SCORE:
-            out.append(c)
+            out.append(F.col(f"`{c}`"))
         if c == after:
             out.append(round_to(F.col(RAW_SCORE), 4).alias("z_score"))
     return scored.select(*out)

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalograph.functions import has_all_keys, round_to
-from catalograph.operators.checks import Check, count_lines, joined_log, metric_rows, run_checks
+from catalograph.functions import round_to
+from catalograph.operators.checks import Check, check_lines, count_lines, joined_log, metric_rows, run_checks
 from catalograph.operators.clean import drop_blank_keys
-from catalograph.operators.profile import dup_profile
 from catalograph.operators.report import ranked, revenue_report, revenue_total
 from catalograph.operators.segment import (
     ORDINARY,
@@ -24,6 +24,7 @@ from catalograph.operators.segment import (
     with_segment,
 )
 from catalograph.plans.cleaning import LINK_KEYS, Catalog, clean
+from catalograph.schema import LINK_TABLE, LISTING_TABLE, MASTER_TABLE
 from catalograph.sinks import write_csv, write_parquet
 from catalograph.sources import load_table
 from catalograph.storage import row_position
@@ -43,6 +44,17 @@ class Expectations:
     premium_rows: float = 30
 
 
+CHECK_NAMES = (
+    "erp_rows",
+    "link_rows",
+    "web_nonblank_rows",
+    "web_type_rows",
+    "report_rows",
+    "revenue_total",
+    "premium_rows",
+)
+
+
 def catalog_checks(
     cleaned: Catalog, keyed_listing: DataFrame, report: DataFrame, scored: DataFrame, expected: Expectations
 ) -> DataFrame:
@@ -73,22 +85,36 @@ def catalog_checks(
 
 
 def stage_metrics(raw: Catalog, cleaned: Catalog, report: DataFrame) -> DataFrame:
-    """(step, metric, value): rows read, duplicates found, rows kept."""
-
-    def profile(step: str, df: DataFrame, keys: list[str], ignore_null_keys: bool) -> DataFrame:
-        found = dup_profile(df, keys, ignore_null_keys, ("total", "distinct", "duplicates"))
-        columns: dict[str, Column] = {c: F.max(c) for c in found.columns}
-        return metric_rows(step, found, **columns)
-
-    parts = [metric_rows(f"read {name}", df, rows=F.count("*")) for name, df in raw.named()]
-    parts.append(profile("profile fichier_erp", raw.master, ["product_id"], True))
-    parts.append(profile("profile fichier_liaison", raw.link, list(LINK_KEYS), False))
-    parts += [metric_rows(f"clean {name}", df, rows=F.count("*")) for name, df in cleaned.named()]
-    parts.append(metric_rows("report", report, rows=F.count("*"), revenue=F.sum("chiffre_affaires")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """(step, metric, value): rows read, duplicates found, rows kept. One pass per table."""
+    rows = F.count("*")
+    keyed, keys = F.count("product_id"), F.count_distinct("product_id")
+    pairs = F.count_distinct(F.struct(*LINK_KEYS))
+    parts = [
+        metric_rows(
+            raw.master,
+            [
+                (f"read {MASTER_TABLE}", "rows", rows),
+                (f"profile {MASTER_TABLE}", "total", keyed),
+                (f"profile {MASTER_TABLE}", "distinct", keys),
+                (f"profile {MASTER_TABLE}", "duplicates", keyed - keys),
+            ],
+        ),
+        metric_rows(
+            raw.link,
+            [
+                (f"read {LINK_TABLE}", "rows", rows),
+                (f"profile {LINK_TABLE}", "total", rows),
+                (f"profile {LINK_TABLE}", "distinct", pairs),
+                (f"profile {LINK_TABLE}", "duplicates", rows - pairs),
+            ],
+        ),
+        metric_rows(raw.listing, [(f"read {LISTING_TABLE}", "rows", rows)]),
+        *[metric_rows(df, [(f"clean {name}", "rows", rows)]) for name, df in cleaned.named()],
+        metric_rows(
+            report, [("report", "rows", rows), ("report", "revenue", round_to(F.sum("chiffre_affaires"), 2))]
+        ),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def run_month(raw: Catalog, out: str, expected: Expectations = Expectations()) -> dict[str, DataFrame]:
@@ -108,8 +134,7 @@ def run_month(raw: Catalog, out: str, expected: Expectations = Expectations()) -
     raw = Catalog(*(keep(df, f"raw/{name}") for name, df in raw.named()))
     cleaned = Catalog(*(keep(df, f"clean/{name}") for name, df in clean(raw).named()))
 
-    matched = Catalog(cleaned.master.where(has_all_keys(["product_id"])), cleaned.link, cleaned.listing)
-    report = keep(revenue_report(matched.master, matched.link, matched.listing), "report")
+    report = keep(revenue_report(cleaned.master, cleaned.link, cleaned.listing), "report")
     position = row_position(report)
     total = keep(revenue_total(report), "total")
     scored = with_raw_score(report, "prix_unitaire")
@@ -122,7 +147,9 @@ def run_month(raw: Catalog, out: str, expected: Expectations = Expectations()) -
 
     checks = keep(catalog_checks(cleaned, drop_blank_keys(raw.listing), report, scored, expected), "checks")
     metrics = keep(stage_metrics(raw, cleaned, report), "metrics")
-    log = keep(joined_log(count_lines(raw.named())), "log")
+    counts = count_lines(raw.named())
+    verdicts = check_lines(checks, CHECK_NAMES, first_step=len(raw.named()) + 1)
+    log = keep(joined_log(counts.unionByName(verdicts)), "log")
     return {
         **dict(cleaned.named()),
         "report": report,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 import sys
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -34,7 +33,7 @@ def read_archives(spark: SparkSession, path: str | Sequence[str], pattern: str =
 def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column("path"), batch.column("content")):
-            with zipfile.ZipFile(io.BytesIO(content.as_buffer())) as archive:
+            with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
                 for info in archive.infolist():
                     if info.is_dir():
                         continue

@@ -29,7 +29,7 @@ ROWS_PER_BATCH = 2000
 # Fixed values of the workbook format: XML namespaces and the built-in number
 # formats that show a date or a time.
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
-ROW, CELL, VALUE, TEXT = f"{MAIN}row", f"{MAIN}c", f"{MAIN}v", f"{MAIN}t"
+ROW, CELL, VALUE, ITEM, TEXT = (MAIN + tag for tag in ("row", "c", "v", "si", "t"))
 REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
 
@@ -63,6 +63,18 @@ def _text(node: ElementTree.Element) -> str:
     return "".join(t.text or "" for t in runs if t is not None)
 
 
+def _shared_strings(book: zipfile.ZipFile) -> list[str]:
+    if "xl/sharedStrings.xml" not in book.namelist():
+        return []
+    strings = []
+    with book.open("xl/sharedStrings.xml") as items:
+        for _, node in ElementTree.iterparse(items):
+            if node.tag == ITEM:
+                strings.append(_text(node))
+                node.clear()
+    return strings
+
+
 def _date_styles(book: zipfile.ZipFile) -> set[str]:
     """Cell styles that show their number as a date."""
     styles = _xml(book, "xl/styles.xml")
@@ -114,8 +126,7 @@ def _sheet_rows(content: bytes) -> Iterator[list[str | None]]:
     """Rows of the first sheet from row 1 to the last row holding a value, blank ones included."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         path, epoch = _first_sheet(book)
-        shared = _xml(book, "xl/sharedStrings.xml")
-        strings = [] if shared is None else [_text(item) for item in shared.findall(f"{MAIN}si")]
+        strings = _shared_strings(book)
         date_styles = _date_styles(book)
         columns: dict[str, int] = {}
         done = 0

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,13 +47,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def row_position(df: DataFrame) -> list[Column]:
-    """Sort keys telling apart identical rows of a table read from Parquet files.
+    """A sort key telling apart identical rows of a table read from Parquet files.
 
-    Fixed by the files, so a retried task sees the same values. Empty for any
-    other plan.
+    A hash of file and row number: fixed by the files, so a retried task sees
+    the same value. Empty for a plan that reads no files directly.
     """
     try:
         df.select("_metadata.row_index")
-    except Exception:  # the plan does not read files directly
+    except AnalysisException:
         return []
-    return [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+    return [F.xxhash64("_metadata.file_path", "_metadata.row_index")]

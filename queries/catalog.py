@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalograph.functions import MISSING_TOKENS, has_all_keys, is_blank, revenue, round_to
-from catalograph.operators.checks import Check, count_lines, joined_log, run_checks
+from catalograph.operators.checks import Check, check_lines, count_lines, joined_log, run_checks
 from catalograph.operators.clean import drop_null_keys, keep_type
 from catalograph.operators.dedupe import dedupe, dedupe_if_duplicated, dedupe_keep_first
 from catalograph.operators.profile import dup_count, dup_profile, table_counts, type_filter_counts
@@ -195,7 +195,7 @@ def q_star_dedupe(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice"
     )
-    return dedupe(lines, ["l_orderkey", "l_partkey"])
+    return dedupe(lines, ["l_orderkey", "l_partkey"], order_by=[F.col("l_linenumber").asc()])
 
 
 # Filters and names
@@ -445,6 +445,23 @@ def q_run_report(spark, sf_dir):
     return joined_log(count_lines([("erp", raw.master), ("liaison", raw.link), ("web", raw.listing)]))
 
 
+@query(
+    "check_log",
+    """
+    SELECT 'rows: expected ' || format('{:,.2f}', CAST(k AS DOUBLE)) || ', found '
+           || format('{:,.2f}', CAST(n AS DOUBLE)) || ', FAILED' || chr(10)
+           || 'keys: expected ' || format('{:,.2f}', CAST(k AS DOUBLE)) || ', found '
+           || format('{:,.2f}', CAST(k AS DOUBLE)) || ', ok' AS pipeline_log
+    FROM (SELECT COUNT(*) AS n, COUNT(DISTINCT product_id) AS k FROM erp) c""",
+    "erp",
+)
+def q_check_log(spark, sf_dir):
+    master = views.erp(spark, sf_dir)
+    keys = F.count_distinct("product_id")
+    checks = run_checks([(master, [Check("rows", keys, F.count("*")), Check("keys", keys, keys)])])
+    return joined_log(check_lines(checks, ["rows", "keys"]))
+
+
 @query(
     "stage_metrics",
     """

@@ -83,4 +83,8 @@ def test_segments_metrics_and_log(run):
     assert metrics["profile fichier_erp", "duplicates"] == 1
     assert metrics["profile fichier_liaison", "duplicates"] == 1
     assert metrics["clean fichier_web", "rows"] == N
-    assert rows(tables["log"]) == [(f"fichier_erp: {N + 2}\nfichier_liaison: {N + 2}\nfichier_web: {2 * N + 3}",)]
+    lines = tables["log"].first().pipeline_log.split("\n")
+    assert lines[:3] == [f"fichier_erp: {N + 2}", f"fichier_liaison: {N + 2}", f"fichier_web: {2 * N + 3}"]
+    assert lines[3] == "erp_rows: expected 60.00, found 60.00, ok"
+    assert lines[9] == "premium_rows: expected 4.00, found 3.00, FAILED"
+    assert len(lines) == 10

@@ -33,10 +33,17 @@ def test_statistics_read_one_column(spark):
     assert "ReadSchema: struct<prix_unitaire:double>" in plan
 
 
-def test_dedupe_limits_rows_before_the_shuffle(spark):
+def test_dedupe_combines_before_the_shuffle(spark):
     lines = table(spark, SF_DIR, "lineitem").select("l_partkey", "l_orderkey", "l_quantity")
     plan = final_plan(dedupe(lines, ["l_partkey"]))
-    assert plan.index("Final") < plan.index("Exchange hashpartitioning") < plan.index("Partial")
+    assert plan.index("Exchange hashpartitioning") < plan.index("partial_min")
+    assert plan.count("Exchange") == 1
+
+
+def test_dedupe_in_a_given_order_limits_rows_before_the_shuffle(spark):
+    lines = table(spark, SF_DIR, "lineitem").select("l_partkey", "l_orderkey", "l_quantity")
+    plan = final_plan(dedupe(lines, ["l_partkey"], [F.col("l_quantity").desc()]))
+    assert plan.index("Final") < plan.index("Exchange hashpartitioning") < plan.rindex("WindowGroupLimit")
     assert plan.count("Exchange") == 1
 
 
