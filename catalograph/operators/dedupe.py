@@ -24,12 +24,18 @@ def _first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str |
     if not others and not order_by:
         # The key is the whole row: a hash aggregate, combined before the shuffle.
         return df.dropDuplicates(list(keys))
-    unordered = any(isinstance(df.schema[c].dataType, T.MapType) for c in others)
-    if unordered or any(isinstance(o, Column) for o in order_by):
+    if any(isinstance(o, Column) for o in order_by):
         return _first_by_rank(df, keys, order_by, others)
     return _first_by_minimum(df, keys, [*order_by, *(c for c in others if c not in order_by)])
 
 
+def _comparable(df: DataFrame, name: str) -> Column:
+    column = F.col(f"`{name}`")
+    if isinstance(df.schema[name].dataType, T.MapType):  # maps have no order of their own
+        return F.array_sort(F.map_entries(column))
+    return column
+
+
 def _first_by_minimum(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The smallest struct of the other columns per key.
 
@@ -38,12 +44,20 @@ def _first_by_minimum(df: DataFrame, keys: Sequence[str], order: Sequence[str])
     """
     fields = []
     for i, name in enumerate(order):
-        column = F.col(f"`{name}`")
-        fields += [column.isNull().alias(f"null{i}"), column.alias(f"value{i}")]  # NULLs last
+        value = _comparable(df, name)
+        fields += [value.isNull().alias(f"null{i}"), value.alias(f"value{i}")]  # NULLs last
     first = _free_name(df, "first")
     best = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias(first))
     place = {name: i for i, name in enumerate(order)}
-    return best.select(*[F.col(f"{first}.value{place[c]}").alias(c) if c in place else F.col(c) for c in df.columns])
+
+    def result(name: str) -> Column:
+        if name not in place:
+            return F.col(f"`{name}`")
+        value = F.col(f"{first}.value{place[name]}")
+        is_map = isinstance(df.schema[name].dataType, T.MapType)
+        return (F.map_from_entries(value) if is_map else value).alias(name)
+
+    return best.select(*[result(c) for c in df.columns])
 
 
 def _first_by_rank(
@@ -56,10 +70,7 @@ def _first_by_rank(
     """
 
     def ascending(name: str) -> Column:
-        column = F.col(f"`{name}`")
-        if isinstance(df.schema[name].dataType, T.MapType):  # maps have no order of their own
-            column = F.array_sort(F.map_entries(column))
-        return column.asc_nulls_last()
+        return _comparable(df, name).asc_nulls_last()
 
     order = [o if isinstance(o, Column) else ascending(o) for o in order_by]
     order += [ascending(c) for c in others]

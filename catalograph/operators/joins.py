@@ -50,5 +50,5 @@ def spread_join(
     salt = F.coalesce(F.pmod(F.xxhash64(spread_by), F.lit(n)).cast("int"), F.lit(0))
     salted_fact = fact.withColumn("_salt", F.when(is_heavy, salt).otherwise(F.lit(0)))
     every_salt = F.when(is_heavy, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
-    salted_dim = dim.withColumn("_salts", every_salt).withColumn("_salt", F.explode("_salts")).drop("_salts")
+    salted_dim = dim.withColumn("_salts", every_salt).withColumn("_salt", F.explode_outer("_salts")).drop("_salts")
     return salted_fact.join(salted_dim, [key, "_salt"], "inner").drop("_salt")

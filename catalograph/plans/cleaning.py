@@ -37,11 +37,16 @@ class Catalog:
         return [(MASTER_TABLE, self.master), (LINK_TABLE, self.link), (LISTING_TABLE, self.listing)]
 
 
-def read_catalog(spark: SparkSession, path: str | Sequence[str]) -> Catalog:
-    """The three raw tables from all archives of workbooks below ``path``."""
+def read_catalog(spark: SparkSession, path: str | Sequence[str], rest: str | None = "other_cells") -> Catalog:
+    """The three raw tables from all archives of workbooks below ``path``.
+
+    Cells of columns that no schema declares go to the map column ``rest``
+    (None: left out). Each table reads the archives anew, so write the tables
+    before using them more than once.
+    """
     rows = workbook_rows(archive_entries(read_archives(spark, path)))
     master, link, listing = (
-        workbook_table(rows, name, schema).drop("archive", "entry", "row_idx")
+        workbook_table(rows, name, schema, rest=rest).drop("archive", "entry", "row_idx")
         for name, schema in ((MASTER_TABLE, MASTER), (LINK_TABLE, LINK), (LISTING_TABLE, LISTING))
     )
     return Catalog(master, link, listing)

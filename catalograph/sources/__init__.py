@@ -3,7 +3,7 @@
 from catalograph.sources.archives import archive_entries, read_archives
 from catalograph.sources.csv_files import read_csv
 from catalograph.sources.tables import list_tables, load_table, register
-from catalograph.sources.workbooks import workbook_rows, workbook_table
+from catalograph.sources.workbooks import workbook_columns, workbook_rows, workbook_table
 
 __all__ = [
     "archive_entries",
@@ -12,6 +12,7 @@ __all__ = [
     "read_archives",
     "read_csv",
     "register",
+    "workbook_columns",
     "workbook_rows",
     "workbook_table",
 ]

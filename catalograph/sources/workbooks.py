@@ -218,14 +218,17 @@ def workbook_table(
     table_name: str,
     schema: T.StructType,
     passthrough: Sequence[str] = (),
+    rest: str | None = None,
     renames: dict[str, str] | None = None,
     strict: bool = True,
 ) -> DataFrame:
     """One table out of ``workbook_rows``: declared columns cast, ``passthrough`` ones as text.
 
-    ``renames`` (default ``sku`` to ``id_web``) applies to sheets that have the
-    old name; a sheet with both names fails the job. ``archive``, ``entry`` and
-    ``row_idx`` are kept, in this order, in front.
+    ``rest`` names a map column for the cells of all other headers, so that
+    columns nobody declared are carried through too. ``renames`` (default
+    ``sku`` to ``id_web``) applies to sheets that have the old name; a sheet with
+    both names fails the job. ``archive``, ``entry`` and ``row_idx`` are kept, in
+    this order, in front.
     """
     old_names = {new: old for old, new in (renames or {"sku": "id_web"}).items()}
 
@@ -238,10 +241,16 @@ def workbook_table(
         clash = F.raise_error(F.concat(F.lit(f"both {old} and {name} in "), F.col("entry"))).cast("string")
         return F.when(both, clash).otherwise(F.coalesce(F.col("cells")[old], own))
 
-    return rows.where(F.col("table_name") == table_name).select(
-        "archive",
-        "entry",
-        "row_idx",
-        *[parse_cell(cell(f.name), f.dataType, f.name, strict).alias(f.name) for f in schema],
-        *[cell(name).alias(name) for name in passthrough],
-    )
+    columns = [parse_cell(cell(f.name), f.dataType, f.name, strict).alias(f.name) for f in schema]
+    columns += [cell(name).alias(name) for name in passthrough]
+    if rest is not None:
+        used = {*schema.fieldNames(), *passthrough}
+        used |= {old for new, old in old_names.items() if new in used}
+        columns.append(F.map_filter("cells", lambda name, _: ~name.isin(*used)).alias(rest))
+    return rows.where(F.col("table_name") == table_name).select("archive", "entry", "row_idx", *columns)
+
+
+def workbook_columns(rows: DataFrame) -> DataFrame:
+    """(table_name, column, sheets): every header name and how many sheets have it."""
+    headers = rows.select("table_name", "archive", "entry", F.explode(F.map_keys("cells")).alias("column")).distinct()
+    return headers.groupBy("table_name", "column").agg(F.count("*").alias("sheets"))

@@ -117,8 +117,10 @@ def test_dedupe_keeps_a_column_called_row_num(spark):
 
 
 def test_dedupe_with_a_map_column(spark):
-    df = spark.createDataFrame([(1, {"a": "2"}), (1, {"a": "1"})], "k long, extra map<string,string>")
-    assert [r.extra for r in dedupe(df, ["k"]).collect()] == [{"a": "1"}]
+    data = [(1, {"a": "2"}), (1, {"a": "1", "b": None}), (1, None)]
+    df = spark.createDataFrame(data, "k long, extra map<string,string>")
+    assert [r.extra for r in dedupe(df, ["k"]).collect()] == [{"a": "1", "b": None}]
+    assert [r.extra for r in dedupe(df, ["k"], [F.col("k").desc()]).collect()] == [{"a": "1", "b": None}]
 
 
 def test_keep_first_follows_the_sequence_and_groups_nulls(spark):

@@ -20,6 +20,7 @@ from catalograph.sources import (
     read_archives,
     read_csv,
     register,
+    workbook_columns,
     workbook_rows,
     workbook_table,
 )
@@ -170,6 +171,16 @@ def test_typed_table_with_rename_and_passthrough(spark):
     assert rows(typed.drop("archive", "entry")) == [(0, "00A", "product", None, 3.0, "red")]
 
 
+def test_undeclared_columns_are_carried_through(spark):
+    content = workbook_bytes(["sku", "post_type", "colour", "year"], [["a", "product", "red", 2008]])
+    sheet = read_book(spark, content)
+    typed = workbook_table(sheet, "fichier_test", LISTING, passthrough=["year"], rest="other_cells").first()
+    assert (typed.id_web, typed.year, typed.other_cells) == ("a", "2008", {"colour": "red"})
+    assert rows(workbook_columns(sheet)) == [
+        ("fichier_test", name, 1) for name in ("colour", "post_type", "sku", "year")
+    ]
+
+
 def test_both_old_and_new_name_fail(spark):
     content = workbook_bytes(["sku", "id_web"], [["a", "b"]])
     with pytest.raises(Exception, match="both sku and id_web"):
@@ -192,7 +203,7 @@ def test_catalog_from_many_archives(spark, tmp_path):
             "Fichier_Web.XLSX": workbook_bytes(["sku", "post_type", "post_title"], [[f"w{lot}", "product", "t"]]),
         }
         (tmp_path / f"lot{lot}.zip").write_bytes(zip_bytes(files))
-    catalog = read_catalog(spark, str(tmp_path))
+    catalog = read_catalog(spark, str(tmp_path), rest=None)
     assert rows(catalog.master) == [(lot, 1.5, 2) for lot in range(3)]
     assert rows(catalog.link) == [(lot, f"w{lot}") for lot in range(3)]
     assert rows(catalog.listing) == [(f"w{lot}", "product", "t", None) for lot in range(3)]
