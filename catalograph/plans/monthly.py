@@ -129,7 +129,7 @@ def run_month(raw: Catalog, out: str, expected: Expectations = Expectations()) -
 
     def keep(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
         write_parquet(df, f"{folder}/{name}", partition_by)
-        return load_table(spark, folder, name)
+        return load_table(spark, folder, name, df.schema)
 
     raw = Catalog(*(keep(df, f"raw/{name}") for name, df in raw.named()))
     cleaned = Catalog(*(keep(df, f"clean/{name}") for name, df in clean(raw).named()))

@@ -16,6 +16,7 @@ from catalograph.functions import table_name_of
 # Send this module's functions to the executors, which need not have it installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+BATCH_BYTES = 16 << 20
 ENTRY_SCHEMA = "archive string, entry string, content binary"
 
 
@@ -31,21 +32,27 @@ def read_archives(spark: SparkSession, path: str | Sequence[str], pattern: str =
 
 
 def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows: list[tuple[str, str, bytes]] = []
+    held = 0
+
+    def packed() -> pa.RecordBatch:
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.binary()))]
+        return pa.RecordBatch.from_arrays(columns, names=["archive", "entry", "content"])
+
     for batch in batches:
         for path, content in zip(batch.column("path"), batch.column("content")):
             with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
                 for info in archive.infolist():
                     if info.is_dir():
                         continue
-                    # One entry per batch: memory holds one unpacked entry at a time.
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([path.as_py()], pa.string()),
-                            pa.array([info.filename], pa.string()),
-                            pa.array([archive.read(info)], pa.binary()),
-                        ],
-                        names=["archive", "entry", "content"],
-                    )
+                    # Small entries share a batch; memory holds few bytes beyond one large entry.
+                    if rows and held + info.file_size > BATCH_BYTES:
+                        yield packed()
+                        rows, held = [], 0
+                    rows.append((path.as_py(), info.filename, archive.read(info)))
+                    held += info.file_size
+    if rows:
+        yield packed()
 
 
 def archive_entries(archives: DataFrame) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
-def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The Parquet table ``name`` below ``folder``."""
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}")
+def load_table(spark: SparkSession, folder: str, name: str, schema: StructType | str | None = None) -> DataFrame:
+    """The Parquet table ``name`` below ``folder``; with a ``schema``, only its columns, and nothing is inferred."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{folder.rstrip('/')}/{name}")
 
 
 def register(df: DataFrame, name: str) -> DataFrame:

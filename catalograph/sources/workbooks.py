@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 import posixpath
 import re
 import sys
@@ -122,9 +121,9 @@ def _column(letters: str) -> int:
     return number - 1
 
 
-def _sheet_rows(content: bytes) -> Iterator[list[str | None]]:
+def _sheet_rows(content: pa.Buffer) -> Iterator[list[str | None]]:
     """Rows of the first sheet from row 1 to the last row holding a value, blank ones included."""
-    with zipfile.ZipFile(io.BytesIO(content)) as book:
+    with zipfile.ZipFile(pa.BufferReader(content)) as book:
         path, epoch = _first_sheet(book)
         strings = _shared_strings(book)
         date_styles = _date_styles(book)
@@ -171,31 +170,26 @@ def _header(row: list[str | None]) -> list[str]:
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cells_type = pa.map_(pa.string(), pa.string())
+    rows: list[tuple] = []
+    types = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.map_(pa.string(), pa.string()))
+    names = ["archive", "entry", "table_name", "row_idx", "cells"]
+
+    def packed() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
     for batch in batches:
-        for source in batch.to_pylist():
-            rows = _sheet_rows(source["content"])
-            names = _header(next(rows, []))
-            keys = [source["archive"], source["entry"], source["table_name"]]
-            ids: list[int] = []
-            cells: list[list[tuple[str, str | None]]] = []
-
-            def flush() -> pa.RecordBatch:
-                columns = [pa.array([k] * len(ids), pa.string()) for k in keys]
-                columns += [pa.array(ids, pa.int64()), pa.array(cells, cells_type)]
-                return pa.RecordBatch.from_arrays(
-                    columns, names=["archive", "entry", "table_name", "row_idx", "cells"]
-                )
-
-            for i, row in enumerate(rows):
-                ids.append(i)
-                names += [f"Unnamed: {n}" for n in range(len(names), len(row))]
-                cells.append(list(zip(names, row + [None] * (len(names) - len(row)))))
-                if len(ids) == ROWS_PER_BATCH:
-                    yield flush()
-                    ids, cells = [], []
-            if ids:
-                yield flush()
+        for archive, entry, table_name, content in zip(*(batch.column(c) for c in [*names[:3], "content"])):
+            source = (archive.as_py(), entry.as_py(), table_name.as_py())
+            lines = _sheet_rows(content.as_buffer())
+            header = _header(next(lines, []))
+            for i, line in enumerate(lines):
+                header += [f"Unnamed: {n}" for n in range(len(header), len(line))]
+                rows.append((*source, i, list(zip(header, line + [None] * (len(header) - len(line))))))
+                if len(rows) == ROWS_PER_BATCH:
+                    yield packed()
+                    rows = []
+    if rows:
+        yield packed()
 
 
 def workbook_rows(entries: DataFrame) -> DataFrame:

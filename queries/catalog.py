@@ -62,9 +62,9 @@ def query(name: str, sql: str, *needs: str) -> Callable[[Query], Query]:
     "erp", "liaison", "web",
 )
 def q_table_counts(spark, sf_dir):
-    raw = views.raw_catalog(spark, sf_dir)
+    raw = views.stored_catalog(spark, sf_dir)
     for name, df in (("erp", raw.master), ("liaison", raw.link), ("web", raw.listing)):
-        register(stored(df, name), name)
+        register(df, name)
     return table_counts({name: spark.table(name) for name in ("erp", "liaison", "web")})
 
 
@@ -390,8 +390,9 @@ def q_events_zscore(spark, sf_dir):
 )
 def q_checks(spark, sf_dir):
     """Expected figures come from the raw tables; ``report_rows`` fails, listings without a type fan out."""
-    raw = views.raw_catalog(spark, sf_dir)
-    report = views.stored_report(spark, sf_dir)
+    raw = views.stored_catalog(spark, sf_dir)
+    cleaned = clean(raw, keep_undoubled_nulls=False)
+    report = stored(revenue_report(cleaned.master, cleaned.link, cleaned.listing, raw.link), "report")
     scores = with_raw_score(report, "prix_unitaire")
     rows, z = F.count("*"), F.col(RAW_SCORE)
     pair = F.struct("id_web", "product_id")
@@ -402,8 +403,8 @@ def q_checks(spark, sf_dir):
     link_keys = raw.link.where(has_all_keys(LINK_KEYS)).agg(F.count_distinct(pair)).scalar()
     return run_checks(
         [
-            (dedupe(raw.master, ["product_id"]), [Check("erp_rows", master_keys, rows)]),
-            (dedupe(raw.link, LINK_KEYS), [Check("link_rows", link_keys, rows)]),
+            (cleaned.master, [Check("erp_rows", master_keys, rows)]),
+            (cleaned.link, [Check("link_rows", link_keys, rows)]),
             (
                 raw.listing,
                 [
@@ -483,8 +484,10 @@ def q_check_log(spark, sf_dir):
     "report",
 )
 def q_stage_metrics(spark, sf_dir):
-    raw = views.raw_catalog(spark, sf_dir)
-    return stage_metrics(raw, clean(raw), views.stored_report(spark, sf_dir))
+    raw = views.stored_catalog(spark, sf_dir)
+    cleaned = clean(raw)
+    report = revenue_report(cleaned.master, cleaned.link, cleaned.listing, raw.link)
+    return stage_metrics(raw, cleaned, report)
 
 
 # Files in, files out

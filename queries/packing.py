@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import sys
 import zipfile
+import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from xml.sax.saxutils import escape
 
@@ -82,11 +83,12 @@ ARCHIVE_SCHEMA = "path string, content binary"
 
 def _zip_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for doc in batch.to_pylist():
-            packed = zip_bytes(
-                {"Textes/": "", f"Textes/{doc['lang']}/Corps.v1.TXT": doc["text"], "Source.CSV": doc["source"]}
-            )
-            yield pa.RecordBatch.from_pydict({"path": [f"doc-{doc['doc_id']}.zip"], "content": [packed]})
+        docs = batch.to_pylist()
+        packed = [
+            zip_bytes({"Textes/": "", f"Textes/{doc['lang']}/Corps.v1.TXT": doc["text"], "Source.CSV": doc["source"]})
+            for doc in docs
+        ]
+        yield pa.RecordBatch.from_pydict({"path": [f"doc-{doc['doc_id']}.zip" for doc in docs], "content": packed})
 
 
 def document_archives(documents: DataFrame) -> DataFrame:
@@ -105,7 +107,8 @@ def _zip_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if i % 2 and isinstance(values[0], int):  # half of the whole numbers spelled as 5.0
                     values[0] = float(values[0])
             books[f"Export/{name}.XLSX"] = workbook_bytes(header, own)
-        yield pa.RecordBatch.from_pydict({"path": ["lot.zip"], "content": [zip_bytes(books)]})
+        packed = zip_bytes(books)
+        yield pa.RecordBatch.from_pydict({"path": [f"lot-{zlib.crc32(packed):08x}.zip"], "content": [packed]})
 
 
 TABLE_COLUMNS = {

@@ -18,8 +18,18 @@ from catalograph.sources import load_table
 from catalograph.storage import stored
 
 
+# The columns read, declared: no job to infer a schema.
+SCHEMAS = {
+    "part": "p_partkey bigint, p_name string, p_size int, p_retailprice double",
+    "events": "event_id bigint, user_id bigint, event_type string, value double",
+    "orders": "o_orderkey bigint",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, l_extendedprice double",
+    "documents": "doc_id bigint, text string, lang string, source string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return load_table(spark, sf_dir, f"{name}.parquet")
+    return load_table(spark, sf_dir, f"{name}.parquet", SCHEMAS[name])
 
 
 def _web_id() -> Column:
@@ -88,6 +98,12 @@ def raw_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     return Catalog(erp(spark, sf_dir), liaison(spark, sf_dir), web(spark, sf_dir))
 
 
+def stored_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
+    """The raw tables written once, for queries that read them several times."""
+    raw = raw_catalog(spark, sf_dir)
+    return Catalog(stored(raw.master, "erp"), stored(raw.link, "liaison"), stored(raw.listing, "web"))
+
+
 def erp_d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe(erp(spark, sf_dir), ["product_id"])
 
@@ -105,9 +121,8 @@ def web_c(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return revenue_report(
-        erp_d(spark, sf_dir), liaison_d(spark, sf_dir), web_c(spark, sf_dir), raw_link=liaison(spark, sf_dir)
-    )
+    link = liaison(spark, sf_dir)
+    return revenue_report(erp_d(spark, sf_dir), dedupe(link, LINK_KEYS), web_c(spark, sf_dir), raw_link=link)
 
 
 def stored_report(spark: SparkSession, sf_dir: str) -> DataFrame:
