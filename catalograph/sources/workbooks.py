@@ -199,10 +199,13 @@ def workbook_rows(entries: DataFrame) -> DataFrame:
     NULL. ``row_idx`` counts data rows from 0 in sheet order.
 
     Entries are spread by name first, so the workbooks of one large archive are
-    parsed by many tasks. The file format holds at most 1,048,576 rows per
-    sheet, which bounds what one task parses.
+    parsed by many tasks. The number of tasks is given, as adaptive execution
+    would merge them by size, and a megabyte of workbook takes seconds to parse.
+    The file format holds at most 1,048,576 rows per sheet, which bounds what one
+    task parses at a time.
     """
-    books = entries.where(F.lower("entry").endswith(".xlsx")).repartition("archive", "entry")
+    tasks = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    books = entries.where(F.lower("entry").endswith(".xlsx")).repartition(tasks, "archive", "entry")
     rows = books.select("archive", "entry", "table_name", "content").mapInArrow(_parse, ROW_SCHEMA)
     return rows.withColumn("cells", F.transform_values("cells", lambda _, v: missing_to_null(v)))
 

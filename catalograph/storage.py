@@ -29,6 +29,14 @@ def shared_folder(spark: SparkSession) -> str | None:
     return _local_folder.name
 
 
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path nobody uses yet, in the shared folder."""
+    root = shared_folder(spark)
+    if root is None:
+        raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -38,10 +46,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     as it is and recomputed on each read: slower, same rows.
     """
     spark = df.sparkSession
-    root = shared_folder(spark)
-    if root is None:
+    if shared_folder(spark) is None:
         return df
-    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

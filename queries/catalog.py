@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +28,7 @@ from catalograph.plans.monthly import stage_metrics
 from catalograph.schema import LINK, LINK_TABLE, LISTING, LISTING_TABLE, MASTER, MASTER_TABLE, rename_if_present
 from catalograph.sinks import write_csv
 from catalograph.sources import archive_entries, read_csv, register, workbook_rows, workbook_table
-from catalograph.storage import row_position, shared_folder, stored
+from catalograph.storage import new_path, row_position, stored
 from queries import views
 from queries.packing import document_archives, table_archives
 from queries.views import table, with_views
@@ -495,17 +494,13 @@ def q_stage_metrics(spark, sf_dir):
 MISSING_SQL = ", ".join(f"'{token}'" for token in MISSING_TOKENS)
 
 
-def _csv_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 @query(
     "csv_roundtrip",
     "SELECT NULLIF(id_web, '') AS id_web, post_type, post_title, total_sales FROM web",
     "web",
 )
 def q_csv_roundtrip(spark, sf_dir):
-    path = write_csv(views.web(spark, sf_dir), _csv_folder(spark, "web-csv"))
+    path = write_csv(views.web(spark, sf_dir), new_path(spark, "web-csv"))
     return read_csv(spark, path, LISTING)
 
 
@@ -518,7 +513,7 @@ def q_csv_roundtrip(spark, sf_dir):
 )
 def q_csv_text_roundtrip(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    path = write_csv(documents, _csv_folder(spark, "documents-csv"))
+    path = write_csv(documents, new_path(spark, "documents-csv"))
     return read_csv(spark, path, documents.schema)
 
 

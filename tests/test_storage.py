@@ -1,0 +1,46 @@
+"""Where intermediate tables go."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import rows
+
+from catalograph import storage
+
+
+class Session:
+    """Only the settings of a session."""
+
+    def __init__(self, **settings):
+        self.settings = settings
+        self.conf = self
+
+    def get(self, name, default=None):
+        return self.settings.get(name.replace(".", "_"), default)
+
+
+def test_the_named_folder_is_used(spark, monkeypatch, tmp_path):
+    assert storage.shared_folder(Session(spark_checkpoint_dir="/shared", spark_master="yarn")) == "/shared"
+    monkeypatch.setattr(storage, "shared_folder", lambda _: str(tmp_path / "shared"))
+    df = storage.stored(spark.range(3), "numbers")
+    assert rows(df) == [(0,), (1,), (2,)]
+    assert [p.name.split("-")[0] for p in (tmp_path / "shared").iterdir()] == ["numbers"]
+
+
+def test_every_call_takes_a_new_folder(spark):
+    assert storage.new_path(spark, "x") != storage.new_path(spark, "x")
+
+
+def test_local_session_without_a_folder_gets_one():
+    folder = storage.shared_folder(Session(spark_master="local[2]"))
+    assert folder and folder == storage.shared_folder(Session(spark_master="local[2]"))
+
+
+def test_cluster_without_a_folder_writes_nowhere(spark, monkeypatch):
+    cluster = Session(spark_master="spark://host:7077")
+    assert storage.shared_folder(cluster) is None
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.new_path(cluster, "x")
+    monkeypatch.setattr(storage, "shared_folder", lambda _: None)
+    df = spark.range(3)
+    assert storage.stored(df, "x") is df
