@@ -117,12 +117,15 @@ def stage_metrics(raw: Catalog, cleaned: Catalog, report: DataFrame) -> DataFram
     return reduce(DataFrame.unionByName, parts)
 
 
-def run_month(raw: Catalog, out: str, expected: Expectations = Expectations()) -> dict[str, DataFrame]:
+def run_month(
+    raw: Catalog, out: str, expected: Expectations = Expectations(), copy_raw: bool = True
+) -> dict[str, DataFrame]:
     """Run everything and write it below ``out``, a folder all executors share.
 
     Each table is written once and read back before it is used again, so no
     join or de-duplication runs twice and a lost executor never replays the
-    whole plan. Returns the written tables by name.
+    whole plan. ``copy_raw=False`` is for raw tables that are stored already.
+    Returns the written tables by name.
     """
     spark = raw.master.sparkSession
     folder = out.rstrip("/")
@@ -131,7 +134,8 @@ def run_month(raw: Catalog, out: str, expected: Expectations = Expectations()) -
         write_parquet(df, f"{folder}/{name}", partition_by)
         return load_table(spark, folder, name, df.schema)
 
-    raw = Catalog(*(keep(df, f"raw/{name}") for name, df in raw.named()))
+    if copy_raw:
+        raw = Catalog(*(keep(df, f"raw/{name}") for name, df in raw.named()))
     cleaned = Catalog(*(keep(df, f"clean/{name}") for name, df in clean(raw).named()))
 
     report = keep(revenue_report(cleaned.master, cleaned.link, cleaned.listing), "report")
