@@ -4,51 +4,60 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A key is heavy when it holds more than one row in HEAVY_SHARE, so there are at
-# most HEAVY_SHARE heavy keys whatever the size of the data.
-HEAVY_SHARE = 100
+# At most this many keys are spread: those above one row in MOST_HEAVY.
+MOST_HEAVY = 1000
+# A key with fewer rows than this is no burden for one task.
+WORTH_SPREADING = 1_000_000
 
 
-def heavy_keys(df: DataFrame, key: str) -> DataFrame:
-    """One row, one array: the keys holding more than 1 / HEAVY_SHARE of the rows.
+def heavy_keys(df: DataFrame, key: str, tasks: int, min_rows: int = WORTH_SPREADING) -> list[tuple]:
+    """(key, parts) of each key with more rows than an average task out of ``tasks``.
 
-    One pass over the key column; each task sends one sketch of bounded size.
-    The sketch is approximate, which is harmless: the answer only decides which
-    keys are spread over several tasks, never which rows match.
+    ``parts`` is the number of average tasks its rows fill, so all parts together
+    are at most twice ``tasks``. One pass over the key column: each task sends
+    one sketch of bounded size, and at most MOST_HEAVY keys come back. Counts are
+    approximate, which is harmless: they only decide how rows are spread.
     """
     name = f"`{key}`"
-    return df.where(F.col(name).isNotNull()).agg(
-        F.expr(
-            f"transform(filter(approx_top_k({name}, {HEAVY_SHARE}),"
-            f" x -> x.count * {HEAVY_SHARE} > count(1)), x -> x.item)"
-        ).alias("heavy")
+    found = df.where(F.col(name).isNotNull()).agg(
+        F.expr(f"approx_top_k({name}, {MOST_HEAVY})").alias("top"), F.count("*").alias("rows")
     )
+    row = found.first()
+    fair = max(row["rows"] / min(tasks, MOST_HEAVY), min_rows)
+    return [(t["item"], -(-t["count"] * tasks // row["rows"])) for t in row["top"] if t["count"] > fair]
 
 
 def spread_join(
-    fact: DataFrame, dim: DataFrame, key: str, spread_by: Column, heavy_from: DataFrame | None = None
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    spread_by: Column,
+    heavy_from: DataFrame | None = None,
+    min_rows: int = WORTH_SPREADING,
 ) -> DataFrame:
-    """``fact.join(dim, key)`` (inner) with heavy fact keys spread over many tasks.
+    """``fact.join(dim, key)`` (inner) with heavy fact keys spread over several tasks.
 
-    Rows of a heavy key get one of n salts from a hash of ``spread_by``; the
-    matching ``dim`` rows are repeated once per salt. ``dim`` should have few
-    rows per key (one, after de-duplication), so this adds at most
-    HEAVY_SHARE * n rows to it. All other keys keep salt 0.
-
-    Needed where ``dim`` comes straight out of a de-duplication on the same key:
-    Spark then reuses that partitioning for the join, and adaptive execution
-    splits only joins whose two inputs were both shuffled for the join.
+    Heavy keys are looked up when the plan is built. Without any, this is the
+    plain join, which keeps the partitioning ``dim`` may have from a
+    de-duplication on the key. Otherwise the rows of a heavy key are parted by a
+    hash of ``spread_by``, and its ``dim`` rows are repeated once per part; with
+    one ``dim`` row per key that adds at most twice as many rows as there are
+    tasks. Both inputs are then shuffled for this join alone, so adaptive
+    execution can split whatever is still uneven.
 
     ``heavy_from`` names another frame to find heavy keys in, such as the raw
     table ``fact`` was computed from, so that they cost one column scan.
     """
-    # As many salts as shuffle partitions: one heavy key can fill all of them.
-    n = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    heavy = heavy_keys(fact if heavy_from is None else heavy_from, key)
-    is_heavy = F.array_contains(heavy.scalar(), F.col(key))
-    salt = F.coalesce(F.pmod(F.xxhash64(spread_by), F.lit(n)).cast("int"), F.lit(0))
-    salted_fact = fact.withColumn("_salt", F.when(is_heavy, salt).otherwise(F.lit(0)))
-    every_salt = F.when(is_heavy, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
-    salted_dim = dim.withColumn("_salts", every_salt).withColumn("_salt", F.explode_outer("_salts")).drop("_salts")
-    return salted_fact.join(salted_dim, [key, "_salt"], "inner").drop("_salt")
+    tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = heavy_keys(fact if heavy_from is None else heavy_from, key, tasks, min_rows)
+    if not heavy:
+        return fact.join(dim, key, "inner")
+    schema = T.StructType([fact.schema[key], T.StructField("_parts", T.IntegerType())])
+    # At most MOST_HEAVY rows, whatever the data: safe to broadcast.
+    parts = F.broadcast(fact.sparkSession.createDataFrame(heavy, schema))
+    count = F.coalesce("_parts", F.lit(1))
+    parted = fact.join(parts, key, "left").withColumn("_part", F.pmod(F.xxhash64(spread_by), count).cast("int"))
+    repeated = dim.join(parts, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), count - 1)))
+    return parted.drop("_parts").join(repeated.drop("_parts"), [key, "_part"], "inner").drop("_part")

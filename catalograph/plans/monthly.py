@@ -12,17 +12,7 @@ from catalograph.functions import round_to
 from catalograph.operators.checks import Check, check_lines, count_lines, joined_log, metric_rows, run_checks
 from catalograph.operators.clean import drop_blank_keys
 from catalograph.operators.report import ranked, revenue_report, revenue_total
-from catalograph.operators.segment import (
-    ORDINARY,
-    PREMIUM,
-    RAW_SCORE,
-    THRESHOLD,
-    displayed,
-    ordinary,
-    premium,
-    with_raw_score,
-    with_segment,
-)
+from catalograph.operators.segment import ORDINARY, PREMIUM, displayed, with_raw_score, with_segment
 from catalograph.plans.cleaning import LINK_KEYS, Catalog, clean
 from catalograph.schema import LINK_TABLE, LISTING_TABLE, MASTER_TABLE
 from catalograph.sinks import write_csv, write_parquet
@@ -56,7 +46,7 @@ CHECK_NAMES = (
 
 
 def catalog_checks(
-    cleaned: Catalog, keyed_listing: DataFrame, report: DataFrame, scored: DataFrame, expected: Expectations
+    cleaned: Catalog, keyed_listing: DataFrame, report: DataFrame, segments: DataFrame, expected: Expectations
 ) -> DataFrame:
     """The seven checks, one pass per table.
 
@@ -79,7 +69,7 @@ def catalog_checks(
                     Check("revenue_total", expected.revenue, total),
                 ],
             ),
-            (scored, [Check("premium_rows", expected.premium_rows, F.count_if(F.col(RAW_SCORE) > THRESHOLD))]),
+            (segments, [Check("premium_rows", expected.premium_rows, F.count_if(F.col("segment") == PREMIUM))]),
         ]
     )
 
@@ -139,17 +129,17 @@ def run_month(
     cleaned = Catalog(*(keep(df, f"clean/{name}") for name, df in clean(raw).named()))
 
     report = keep(revenue_report(cleaned.master, cleaned.link, cleaned.listing), "report")
-    position = row_position(report)
     total = keep(revenue_total(report), "total")
-    scored = with_raw_score(report, "prix_unitaire")
-    segments = keep(displayed(with_segment(scored)), "segments", "segment")
+    # Scored once: both parts come from the same mean and deviation.
+    segments = keep(displayed(with_segment(with_raw_score(report, "prix_unitaire"))), "segments", "segment")
 
-    write_csv(ranked(report, "chiffre_affaires", position), f"{folder}/csv/report")
+    write_csv(ranked(report, "chiffre_affaires", row_position(report)), f"{folder}/csv/report")
     write_csv(total, f"{folder}/csv/total")
-    for name, part in ((PREMIUM, premium(scored)), (ORDINARY, ordinary(scored))):
-        write_csv(ranked(displayed(part), "z_score", position), f"{folder}/csv/{name}")
+    for name in (PREMIUM, ORDINARY):
+        part = segments.where(F.col("segment") == name).drop("segment")
+        write_csv(ranked(part, "z_score", row_position(part)), f"{folder}/csv/{name}")
 
-    checks = keep(catalog_checks(cleaned, drop_blank_keys(raw.listing), report, scored, expected), "checks")
+    checks = keep(catalog_checks(cleaned, drop_blank_keys(raw.listing), report, segments, expected), "checks")
     metrics = keep(stage_metrics(raw, cleaned, report), "metrics")
     counts = count_lines(raw.named())
     verdicts = check_lines(checks, CHECK_NAMES, first_step=len(raw.named()) + 1)
