@@ -292,7 +292,8 @@ def test_no_rows_to_score(spark):
 
 def test_threshold_uses_the_unrounded_score(spark):
     # 2.00004 rounds to 2.0 but is above 2.
-    scored = spark.createDataFrame([(1, 1.0, 2.00004), (2, 1.0, 2.0)], "product_id long, prix_unitaire double, _z double")
+    data = [(1, 1.0, 2.00004), (2, 1.0, 2.0)]
+    scored = spark.createDataFrame(data, "product_id long, prix_unitaire double, _z double")
     assert rows(displayed(premium(scored))) == [(1, 1.0, 2.0)]
     assert rows(displayed(ordinary(scored))) == [(2, 1.0, 2.0)]
     assert rows(with_segment(scored).select("segment")) == [("ordinary",), ("premium",)]

@@ -21,10 +21,11 @@ def run(spark, tmp_path_factory):
     link = [[i, f"w{i}"] for i in range(N)] + [[7, "w7"], [8, None]]
     web = [[f"w{i}", "product", f"Wine & {i}", float(i % 5) or None] for i in range(N)]
     web += [[f"w{i}", "attachment", "image", None] for i in range(N)] + [["", "product", "x", 1.0], [None] * 4]
+    web.append(["w0", "page", "p", 1.0])
     files = {
         "Fichier_ERP.xlsx": workbook_bytes(["product_id", "price", "stock_quantity"], master),
         "Fichier_Liaison.xlsx": workbook_bytes(["product_id", "id_web"], link),
-        "Fichier_Web.xlsx": workbook_bytes(["sku", "post_type", "post_title", "total_sales"], web + [["w0", "page", "p", 1.0]]),
+        "Fichier_Web.xlsx": workbook_bytes(["sku", "post_type", "post_title", "total_sales"], web),
     }
     (folder / "in.zip").write_bytes(zip_bytes(files))
     revenue = round(sum(price[i] * (i % 5) for i in range(N)), 2)

@@ -100,7 +100,9 @@ def skewed(spark):
     cold = spark.range(2 * HOT).select(
         (F.col("id") % 5000 + 10).alias("product_id"), F.concat(F.lit("c"), "id").alias("id_web")
     )
-    nulls = spark.range(10).select(F.lit(None).cast("long").alias("product_id"), F.col("id").cast("string").alias("id_web"))
+    nulls = spark.range(10).select(
+        F.lit(None).cast("long").alias("product_id"), F.col("id").cast("string").alias("id_web")
+    )
     return hot.unionByName(cold).unionByName(nulls)
 
 
@@ -136,7 +138,8 @@ def test_spread_join_equals_the_plain_join(spark, conf, threshold):
 
 def test_spread_join_with_repeated_dim_rows_and_text_keys(spark, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    fact = spark.range(5000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+    fact = spark.range(5000).select(key.alias("k"), "id")
     dim = spark.createDataFrame([("hot", 1), ("hot", 2), ("4", 3), (None, 4)], "k string, v int")
     expected = fact.join(dim, "k")
     found = spread_join(fact, dim, "k", F.col("id"), min_rows=0).select(*expected.columns)

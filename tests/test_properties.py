@@ -82,7 +82,9 @@ def test_report_and_split_equal_loops(spark, seed):
         if m[0] is not None and m[0] == k[0] and k[1] is not None and k[1] == w[0]
     )
     report = revenue_report(
-        spark.createDataFrame(master, MASTER), spark.createDataFrame(link, LINK), spark.createDataFrame(listing, LISTING)
+        spark.createDataFrame(master, MASTER),
+        spark.createDataFrame(link, LINK),
+        spark.createDataFrame(listing, LISTING),
     )
     assert Counter(tuple(x) for x in report.collect()) == expected
     scored = with_raw_score(report, "prix_unitaire")
