@@ -23,7 +23,8 @@ def read_csv(
     """Comma-separated UTF-8 files, columns matched by header name.
 
     Missing tokens become NULL, declared columns are cast, others stay text.
-    All files must share one header; a file with another one fails the job.
+    All files must share one header; a file with another one fails the job. So
+    does a line with too many or too few fields, unless ``strict`` is off.
 
     ``multiline`` allows line breaks inside quotes, at the price of one task per
     file. Turn it off for large files known to have none, so that they are split.
@@ -33,6 +34,7 @@ def read_csv(
         .option("escape", '"')
         .option("multiLine", multiline)
         .option("enforceSchema", False)
+        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
         .option("encoding", "UTF-8")
         .csv(path if isinstance(path, str) else list(path))
     )

@@ -9,6 +9,7 @@ from pathlib import Path
 import pandas as pd
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from catalograph.plans import read_catalog
 from catalograph.schema import LINK, LISTING, MASTER
@@ -229,6 +230,24 @@ def test_csv_columns_by_name_tokens_and_extra_columns(spark, tmp_path):
     assert read_csv(spark, str(path), LISTING, passthrough=[]).columns == LISTING.fieldNames()
 
 
+@pytest.mark.parametrize("line", ["1,a,extra", "1"])
+def test_csv_line_with_another_number_of_fields(spark, tmp_path, line):
+    (tmp_path / "a.csv").write_text(f"product_id,id_web\n2,b\n{line}\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_csv(spark, str(tmp_path), LINK).collect()
+    assert read_csv(spark, str(tmp_path), LINK, strict=False).count() == 2
+
+
+def test_csv_without_line_breaks_in_quotes_is_split(spark, conf, tmp_path):
+    conf(spark__sql__files__maxPartitionBytes="4KB", spark__sql__files__openCostInBytes="1KB")
+    (tmp_path / "a.csv").write_text("product_id,id_web\n" + "".join(f"{i},w{i}\n" for i in range(5000)))
+    whole = read_csv(spark, str(tmp_path), LINK)
+    split = read_csv(spark, str(tmp_path), LINK, multiline=False)
+    assert rows(whole) == rows(split)
+    parts = [df.select(F.spark_partition_id()).distinct().count() for df in (whole, split)]
+    assert parts[0] == 1 and parts[1] > 4
+
+
 def test_csv_files_with_other_headers_fail(spark, tmp_path):
     (tmp_path / "a.csv").write_text("product_id,id_web\n1,a\n")
     (tmp_path / "b.csv").write_text("id_web,product_id\nb,2\n")

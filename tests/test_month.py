@@ -6,7 +6,9 @@ import pandas as pd
 import pytest
 from conftest import rows
 
-from catalograph.plans import Expectations, read_catalog, run_month
+from catalograph.plans import Catalog, Expectations, read_catalog, run_month
+from catalograph.schema import TABLES
+from catalograph.sources import load_table
 from queries.packing import workbook_bytes, zip_bytes
 
 N = 60
@@ -89,3 +91,12 @@ def test_segments_metrics_and_log(run):
     assert lines[3] == "erp_rows: expected 60.00, found 60.00, ok"
     assert lines[9] == "premium_rows: expected 4.00, found 3.00, FAILED"
     assert len(lines) == 10
+
+
+def test_stored_raw_tables_need_no_copy(spark, run, tmp_path):
+    out, tables, revenue = run
+    raw = Catalog(*(load_table(spark, f"{out}/raw", name) for name in TABLES))
+    again = run_month(raw, str(tmp_path), copy_raw=False)
+    assert not (tmp_path / "raw").exists()
+    assert rows(again["total"]) == [(revenue,)]
+    assert rows(again["report"]) == rows(tables["report"])
