@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalograph.llm import mixing, quality, sharding
+from catalograph.llm import mixing, quality, sharding, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +19,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = simhash.near_duplicates(docs, shingle=4, radius=4, carry=False)
+    return out.select("doc.doc_id", simhash.hex_digits(F.col("print")).alias("fingerprint"), "component_id")
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = substrings.remove_repeats(docs, window=13, spacing=False)
+    return out.select("doc.doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.with_counts(docs, F.col("text")).withColumn("doc", F.struct("doc.doc_id"))
@@ -41,5 +53,5 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc.doc_id", "n_bytes", "shard", "depth", "shard_bytes", "oversized")
 
 
-for _query in (op5_quality_rules, op6_mix_sources, op9_sharding):
+for _query in (op2_simhash_near_dedup, op4_substring_dedup, op5_quality_rules, op6_mix_sources, op9_sharding):
     QUERIES[_query.__name__] = _query
