@@ -128,7 +128,7 @@ def cutoffs(scored: DataFrame, labels: DataFrame, doc_id: str, label_id: str, qu
     """
     known = labels.groupBy(F.col(label_id).alias("label_id")).agg(F.min(quality).alias("good"))
     known = known.where("label_id IS NOT NULL AND good IS NOT NULL")
-    half = F.pmod(F.xxhash64(F.col(f"doc.{doc_id}").cast("string")), F.lit(2))
+    half = (F.substring(F.md5(F.col(f"doc.{doc_id}").cast("string")), 1, 1) >= "8").cast("int")
     told = scored.where(~base_failed()).select(F.col(f"doc.{doc_id}").alias("label_id"), stratum().alias("stratum"), half.alias("half"), F.explode(_scores(risk)).alias("s"))
     told = told.join(known, "label_id").select("stratum", "half", "good", "s.*")
     steps = F.array(*[F.array(*[F.lit(float(c)) for c in grid]) for _, _, grid in risk.grid])
