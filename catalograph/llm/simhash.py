@@ -190,17 +190,21 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4, radius: int = 4, carry: bool = True) -> DataFrame:
     """``doc`` (struct of all columns, or of the id alone without ``carry``), ``print`` (fingerprint as
-    a signed number) and ``component_id`` (smallest id reachable over links) of every row."""
+    a signed number), ``component_id`` (smallest id reachable over links) and ``is_first`` (true
+    for one row of each component) of every row."""
     kept = docs.columns if carry else [doc_id]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), fingerprint_column(F.col(f"`{text}`"), shingle).alias("print"))
-    rows = written(rows, "simhash-prints")
-    firsts = written(rows.groupBy("print").agg(F.min(f"doc.`{doc_id}`").alias("first")), "simhash-distinct")
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "simhash-prints")
+    # The smallest id and, where rows repeat it, one of its rows.
+    own = F.col(f"doc.`{doc_id}`")
+    first = F.min(F.struct(own.isNull().alias("none"), own.alias("id"), "row"))
+    firsts = written(rows.groupBy("print").agg(first.alias("first")), "simhash-distinct")
     stars = components(links(firsts.select("print"), radius))
     rooted = firsts.join(stars.toDF("print", "root"), "print", "left").withColumn("root", F.coalesce("root", "print"))
     rooted = written(rooted, "simhash-roots")
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(smallest, "root").select("print", "component_id")
-    return rows.join(named, "print").select("doc", "print", "component_id")
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    named = rooted.join(smallest, "root").select("print", F.col("least.id").alias("component_id"), F.col("least.row").alias("first_row"))
+    return rows.join(named, "print").select("doc", "print", "component_id", (F.col("row") == F.col("first_row")).alias("is_first"))
 
 
 def hex_digits(prints: Column) -> Column:
