@@ -2,6 +2,7 @@
 
 from catalograph.functions.expressions import (
     MISSING_TOKENS,
+    finite,
     has_all_keys,
     is_blank,
     missing_to_null,
@@ -13,6 +14,7 @@ from catalograph.functions.expressions import (
 
 __all__ = [
     "MISSING_TOKENS",
+    "finite",
     "has_all_keys",
     "is_blank",
     "missing_to_null",

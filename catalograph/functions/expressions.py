@@ -48,6 +48,11 @@ def is_blank(column: Column) -> Column:
     return column.isNull() | (column == "")
 
 
+def finite(number: Column) -> Column:
+    """The number, or NULL when it is NaN or infinite."""
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
 def round_to(column: Column, digits: int) -> Column:
     """Round the scaled double half away from zero, then scale back.
 

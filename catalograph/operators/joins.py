@@ -4,60 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# At most this many keys are spread: those above one row in MOST_HEAVY.
-MOST_HEAVY = 1000
-# A key with fewer rows than this is no burden for one task.
-WORTH_SPREADING = 1_000_000
+PARTS = "_parts"
 
 
-def heavy_keys(df: DataFrame, key: str, tasks: int, min_rows: int = WORTH_SPREADING) -> list[tuple]:
-    """(key, parts) of each key with more rows than an average task out of ``tasks``.
+def heavy_keys(df: DataFrame, key: str, tasks: int | None = None) -> DataFrame:
+    """(key, _parts) of each key with more rows than an average task out of ``tasks``
+    (default: the session's shuffle partitions).
 
-    ``parts`` is the number of average tasks its rows fill, so all parts together
-    are at most twice ``tasks``. One pass over the key column: each task sends
-    one sketch of bounded size, and at most MOST_HEAVY keys come back. Counts are
-    approximate, which is harmless: they only decide how rows are spread.
+    ``_parts`` is the number of average tasks its rows fill. Counts are exact and are
+    combined before their shuffle. Fewer keys than ``tasks`` can be heavy, whatever
+    the data, and all parts together are at most twice ``tasks``.
     """
-    name = f"`{key}`"
-    found = df.where(F.col(name).isNotNull()).agg(
-        F.expr(f"approx_top_k({name}, {MOST_HEAVY})").alias("top"), F.count("*").alias("rows")
-    )
-    row = found.first()
-    fair = max(row["rows"] / min(tasks, MOST_HEAVY), min_rows)
-    return [(t["item"], -(-t["count"] * tasks // row["rows"])) for t in row["top"] if t["count"] > fair]
-
-
-def spread_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    spread_by: Column,
-    heavy_from: DataFrame | None = None,
-    min_rows: int = WORTH_SPREADING,
-) -> DataFrame:
-    """``fact.join(dim, key)`` (inner) with heavy fact keys spread over several tasks.
-
-    Heavy keys are looked up when the plan is built. Without any, this is the
-    plain join, which keeps the partitioning ``dim`` may have from a
-    de-duplication on the key. Otherwise the rows of a heavy key are parted by a
-    hash of ``spread_by``, and its ``dim`` rows are repeated once per part; with
-    one ``dim`` row per key that adds at most twice as many rows as there are
-    tasks. Both inputs are then shuffled for this join alone, so adaptive
-    execution can split whatever is still uneven.
-
-    ``heavy_from`` names another frame to find heavy keys in, such as the raw
-    table ``fact`` was computed from, so that they cost one column scan.
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.where(F.col(f"`{key}`").isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
+    total = df.agg(F.count(f"`{key}`")).scalar()
+    parts = F.ceil(F.col("_rows") * tasks / total).cast("int")
+    return counts.where(F.col("_rows") * tasks > total).select(key, parts.alias(PARTS))
+
+
+def spread_join(fact: DataFrame, dim: DataFrame, key: str, spread_by: Column, heavy: DataFrame | None = None) -> DataFrame:
+    """``fact.join(dim, key)`` (inner) with the keys in ``heavy`` spread over several tasks.
+
+    ``heavy`` is :func:`heavy_keys`'s result, of ``fact`` or of the table it was
+    computed from: it only decides how rows are spread. The rows of a heavy key are
+    parted by a hash of ``spread_by``, and its ``dim`` rows are repeated once per
+    part; with one ``dim`` row per key that adds at most twice as many rows as there
+    are tasks. Both inputs are shuffled for this join alone, so adaptive execution can
+    split whatever is still uneven. Without ``heavy`` it is the plain join.
     """
-    tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    heavy = heavy_keys(fact if heavy_from is None else heavy_from, key, tasks, min_rows)
-    if not heavy:
+    if heavy is None:
         return fact.join(dim, key, "inner")
-    schema = T.StructType([fact.schema[key], T.StructField("_parts", T.IntegerType())])
-    # At most MOST_HEAVY rows, whatever the data: safe to broadcast.
-    parts = F.broadcast(fact.sparkSession.createDataFrame(heavy, schema))
-    count = F.coalesce("_parts", F.lit(1))
+    # Fewer rows than tasks, whatever the data: safe to broadcast.
+    parts = F.broadcast(heavy)
+    count = F.coalesce(PARTS, F.lit(1))
     parted = fact.join(parts, key, "left").withColumn("_part", F.pmod(F.xxhash64(spread_by), count).cast("int"))
     repeated = dim.join(parts, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), count - 1)))
-    return parted.drop("_parts").join(repeated.drop("_parts"), [key, "_part"], "inner").drop("_part")
+    return parted.drop(PARTS).join(repeated.drop(PARTS), [key, "_part"], "inner").drop("_part")

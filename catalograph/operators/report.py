@@ -7,26 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalograph.functions import revenue, round_to, thousands
+from catalograph.functions import finite, revenue, round_to, thousands
 from catalograph.operators.joins import spread_join
 
 
 def revenue_report(
-    master: DataFrame, link: DataFrame, listing: DataFrame, raw_link: DataFrame | None = None
+    master: DataFrame, link: DataFrame, listing: DataFrame, heavy: DataFrame | None = None
 ) -> DataFrame:
     """One row per (master, link, listing) match with price, units sold and revenue.
 
-    ``raw_link`` is the link table before cleaning, if at hand: heavy products
-    are looked up there instead of in the cleaned plan. The second join is left
-    to adaptive execution, which splits heavy ``id_web`` partitions itself:
-    both its inputs are shuffled for that join alone.
+    ``heavy`` names the products to spread over several tasks
+    (``joins.heavy_keys`` of the link table). A master that comes straight from its
+    de-duplication needs it: the plain join reuses that partitioning, which adaptive
+    execution cannot split. The second join is left to adaptive execution, which splits
+    heavy ``id_web`` partitions itself: both its inputs are shuffled for that join alone.
     """
     linked = spread_join(
         link.select("product_id", F.col("id_web").cast("string").alias("id_web")),
         master.select("product_id", "price", "stock_quantity"),
         "product_id",
         spread_by=F.col("id_web"),
-        heavy_from=raw_link,
+        heavy=heavy,
     )
     listed = listing.select(F.col("id_web").cast("string").alias("id_web"), "post_title", "total_sales")
     return linked.join(listed, "id_web", "inner").select(
@@ -41,8 +42,8 @@ def revenue_report(
 
 
 def revenue_total(report: DataFrame, name: str = "chiffre_affaires_total") -> DataFrame:
-    """One row: total revenue to the cent; NULL and NaN revenues are skipped, no row gives 0."""
-    amounts = F.nanvl("chiffre_affaires", F.lit(None).cast("double"))
+    """One row: total revenue to the cent; NULL, NaN and infinite revenues are skipped, no row gives 0."""
+    amounts = finite(F.col("chiffre_affaires"))
     return report.agg(F.coalesce(round_to(F.sum(amounts), 2), F.lit(0.0)).cast("double").alias(name))
 
 

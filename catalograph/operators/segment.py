@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalograph.functions import round_to
+from catalograph.functions import finite, round_to
 
 THRESHOLD = 2.0
 RAW_SCORE = "_z"
@@ -18,13 +18,14 @@ def with_raw_score(df: DataFrame, column: str, name: str = RAW_SCORE) -> DataFra
 
     Mean and sample deviation come from one aggregate, read back as a scalar
     subquery: no single-partition window and no join. They are taken before
-    any later filter. The score is NULL when the value is NULL, when there is
-    one row, or when the deviation is zero.
+    any later filter, over finite values only. The score is NULL when the value is
+    NULL, NaN or infinite, when there is one row, or when the deviation is zero.
 
     ``df`` is read twice, so pass a stored table rather than a long plan.
     """
-    stats = df.agg(F.struct(F.avg(column).alias("mean"), F.stddev_samp(column).alias("dev")).alias("s")).scalar()
-    z = F.try_divide(F.col(column) - stats["mean"], stats["dev"])
+    value = finite(F.col(column))
+    stats = df.agg(F.struct(F.avg(value).alias("mean"), F.stddev_samp(value).alias("dev")).alias("s")).scalar()
+    z = F.try_divide(value - stats["mean"], stats["dev"])
     return df.withColumn(name, z)
 
 

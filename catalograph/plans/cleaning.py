@@ -6,21 +6,20 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from catalograph.operators.clean import drop_blank_keys, drop_null_keys, keep_type
 from catalograph.operators.dedupe import dedupe, dedupe_if_duplicated, dedupe_keep_first
 from catalograph.schema import (
     KEY_COLUMNS,
-    LINK,
     LINK_TABLE,
-    LISTING,
     LISTING_TABLE,
-    MASTER,
     MASTER_TABLE,
+    TABLES,
     present_columns,
     rename_if_present,
 )
-from catalograph.sources import archive_entries, read_archives, workbook_rows, workbook_table
+from catalograph.sources import SUFFIXES, archive_entries, read_archives, workbook_rows, workbook_table
 
 LINK_KEYS = ("id_web", "product_id")
 
@@ -37,19 +36,42 @@ class Catalog:
         return [(MASTER_TABLE, self.master), (LINK_TABLE, self.link), (LISTING_TABLE, self.listing)]
 
 
-def read_catalog(spark: SparkSession, path: str | Sequence[str], rest: str | None = "other_cells") -> Catalog:
+POSITION = ("archive", "entry", "row_idx")
+
+
+def missing_tables(archives: DataFrame) -> list[str]:
+    """Names of the three tables that no workbook in the archives is for. Runs a job that only lists entries."""
+    found = archive_entries(archives, list(TABLES), SUFFIXES, content=False).groupBy("table_name").agg(F.lit(1))
+    there = {row["table_name"] for row in found.take(len(TABLES))}
+    return [name for name in TABLES if name not in there]
+
+
+def read_catalog(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    rest: str | None = "other_cells",
+    keep_position: bool = False,
+    strict: bool = True,
+) -> Catalog:
     """The three raw tables from all archives of workbooks below ``path``.
 
-    Cells of columns that no schema declares go to the map column ``rest``
-    (None: left out). Each table reads the archives anew, so write the tables
-    before using them more than once.
+    A table reads only its own workbooks: entries are chosen by name before they are
+    inflated, shuffled and parsed. A table without any workbook is an error. Cells of
+    columns that no schema declares go to the map column ``rest`` (None: left out).
+    ``keep_position`` keeps ``archive``, ``entry`` and ``row_idx``, the input order that
+    ``clean_by_first`` can follow. Write the tables before using them more than once.
     """
-    rows = workbook_rows(archive_entries(read_archives(spark, path)))
-    master, link, listing = (
-        workbook_table(rows, name, schema, rest=rest).drop("archive", "entry", "row_idx")
-        for name, schema in ((MASTER_TABLE, MASTER), (LINK_TABLE, LINK), (LISTING_TABLE, LISTING))
-    )
-    return Catalog(master, link, listing)
+    archives = read_archives(spark, path)
+    missing = missing_tables(archives)
+    if missing:
+        raise ValueError(f"no workbook for {', '.join(missing)} below {path}")
+
+    def read(name: str) -> DataFrame:
+        rows = workbook_rows(archive_entries(archives, [name], SUFFIXES))
+        table = workbook_table(rows, name, TABLES[name], rest=rest, strict=strict)
+        return table if keep_position else table.drop(*POSITION)
+
+    return Catalog(read(MASTER_TABLE), read(LINK_TABLE), read(LISTING_TABLE))
 
 
 def clean(raw: Catalog, keep_undoubled_nulls: bool = True) -> Catalog:

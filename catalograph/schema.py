@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalograph.functions import finite
+
 MASTER = T.StructType(
     [
         T.StructField("product_id", T.LongType()),
@@ -57,8 +59,8 @@ def present_columns(df: DataFrame, wanted: Sequence[str] = KEY_COLUMNS) -> list[
 def parse_cell(text: Column, dtype: T.DataType, label: str, strict: bool = True) -> Column:
     """A text cell as ``dtype``.
 
-    Whole numbers may be spelled ``5`` or ``5.0``. A cell the type cannot hold
-    fails the job when ``strict``, and becomes NULL otherwise.
+    Whole numbers may be spelled ``5`` or ``5.0``. A cell the type cannot hold, or a
+    number that is not finite, fails the job when ``strict``, and becomes NULL otherwise.
     """
     if isinstance(dtype, T.StringType):
         return text
@@ -68,6 +70,8 @@ def parse_cell(text: Column, dtype: T.DataType, label: str, strict: bool = True)
         value = F.coalesce(text.try_cast(dtype), whole)
     else:
         value = text.try_cast(dtype)
+        if isinstance(dtype, (T.DoubleType, T.FloatType)):
+            value = finite(value)
     if not strict:
         return value
     problem = F.concat(F.lit(f"column {label}: not a {dtype.simpleString()}: "), text)

@@ -13,8 +13,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Hash instead of sort where every partition of one side is known to be small.
-        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

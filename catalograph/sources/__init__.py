@@ -3,9 +3,10 @@
 from catalograph.sources.archives import archive_entries, read_archives
 from catalograph.sources.csv_files import read_csv
 from catalograph.sources.tables import list_tables, load_table, register
-from catalograph.sources.workbooks import workbook_columns, workbook_rows, workbook_table
+from catalograph.sources.workbooks import SUFFIXES, workbook_columns, workbook_rows, workbook_table
 
 __all__ = [
+    "SUFFIXES",
     "archive_entries",
     "list_tables",
     "load_table",

@@ -17,6 +17,7 @@ from catalograph.functions import table_name_of
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BATCH_BYTES = 16 << 20
+MOST_BYTES = 1 << 30  # of one entry, inflated
 ENTRY_SCHEMA = "archive string, entry string, content binary"
 
 
@@ -31,34 +32,63 @@ def read_archives(spark: SparkSession, path: str | Sequence[str], pattern: str =
     return reader.load(path if isinstance(path, str) else list(path)).select("path", "content")
 
 
-def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows: list[tuple[str, str, bytes]] = []
-    held = 0
-
-    def packed() -> pa.RecordBatch:
-        columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.binary()))]
-        return pa.RecordBatch.from_arrays(columns, names=["archive", "entry", "content"])
-
-    for batch in batches:
-        for path, content in zip(batch.column("path"), batch.column("content")):
-            with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
-                for info in archive.infolist():
-                    if info.is_dir():
-                        continue
-                    # Small entries share a batch; memory holds few bytes beyond one large entry.
-                    if rows and held + info.file_size > BATCH_BYTES:
-                        yield packed()
-                        rows, held = [], 0
-                    rows.append((path.as_py(), info.filename, archive.read(info)))
-                    held += info.file_size
-    if rows:
-        yield packed()
-
-
-def archive_entries(archives: DataFrame) -> DataFrame:
+def _wanted(entry: str, stems: frozenset[str] | None, suffixes: tuple[str, ...]) -> bool:
+    """Is this a file of the data, not one that an operating or office system left beside it?"""
+    folder, _, name = entry.rpartition("/")
+    if not name or "__MACOSX" in folder.split("/") or name.startswith(("._", "~$")):
+        return False
+    if not name.lower().endswith(suffixes):
+        return False
+    dot = name.rfind(".")
+    return stems is None or (name[:dot] if dot > 0 else name).lower() in stems
+
+
+def _expand(stems: frozenset[str] | None, suffixes: tuple[str, ...], most: int, inflate: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple[str, str, bytes | None]] = []
+        held = 0
+
+        def packed() -> pa.RecordBatch:
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.binary()))]
+            return pa.RecordBatch.from_arrays(columns, names=["archive", "entry", "content"])
+
+        for batch in batches:
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
+                    for info in archive.infolist():
+                        if not _wanted(info.filename, stems, suffixes):
+                            continue
+                        if inflate and info.file_size > most:
+                            raise ValueError(f"{path}: {info.filename} has {info.file_size} bytes, more than {most}")
+                        # Small entries share a batch; memory holds few bytes beyond one large entry.
+                        if rows and held + info.file_size > BATCH_BYTES:
+                            yield packed()
+                            rows, held = [], 0
+                        rows.append((path.as_py(), info.filename, archive.read(info) if inflate else None))
+                        held += info.file_size
+        if rows:
+            yield packed()
+
+    return run
+
+
+def archive_entries(
+    archives: DataFrame,
+    tables: Sequence[str] | None = None,
+    suffixes: Sequence[str] = ("",),
+    most_bytes: int = MOST_BYTES,
+    content: bool = True,
+) -> DataFrame:
     """(archive, entry, table_name, content): one row per file in each archive.
 
-    ``archives`` has columns ``path`` and ``content``.
+    ``archives`` has columns ``path`` and ``content``. Only entries of the given
+    ``tables`` (all) and name ``suffixes`` (any) are inflated; resource forks
+    (``__MACOSX/``, ``._name``) and lock files (``~$name``) never are. An entry of more
+    than ``most_bytes`` fails the job before it is inflated. Without ``content`` the
+    entries are only listed.
     """
-    entries = archives.select("path", "content").mapInArrow(_expand, ENTRY_SCHEMA)
-    return entries.select("archive", "entry", table_name_of(F.col("entry")).alias("table_name"), "content")
+    stems = None if tables is None else frozenset(tables)
+    expand = _expand(stems, tuple(s.lower() for s in suffixes), most_bytes, content)
+    entries = archives.select("path", "content").mapInArrow(expand, ENTRY_SCHEMA)
+    out = entries.select("archive", "entry", table_name_of(F.col("entry")).alias("table_name"), "content")
+    return out if content else out.drop("content")

@@ -24,6 +24,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROW_SCHEMA = "archive string, entry string, table_name string, row_idx long, cells map<string,string>"
 ROWS_PER_BATCH = 2000
+SUFFIXES = (".xlsx", ".xlsm")
 
 # Fixed values of the workbook format: XML namespaces and the built-in number
 # formats that show a date or a time.
@@ -169,6 +170,13 @@ def _header(row: list[str | None]) -> list[str]:
     return names
 
 
+def _named_errors(lines: Iterator[list[str | None]], source: str) -> Iterator[list[str | None]]:
+    try:
+        yield from lines
+    except Exception as error:
+        raise ValueError(f"{source}: {type(error).__name__}: {error}") from error
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows: list[tuple] = []
     types = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.map_(pa.string(), pa.string()))
@@ -180,7 +188,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for archive, entry, table_name, content in zip(*(batch.column(c) for c in [*names[:3], "content"])):
             source = (archive.as_py(), entry.as_py(), table_name.as_py())
-            lines = _sheet_rows(content.as_buffer())
+            lines = _named_errors(_sheet_rows(content.as_buffer()), f"{archive}: {entry}")
             header = _header(next(lines, []))
             for i, line in enumerate(lines):
                 header += [f"Unnamed: {n}" for n in range(len(header), len(line))]
@@ -205,7 +213,8 @@ def workbook_rows(entries: DataFrame) -> DataFrame:
     task parses at a time.
     """
     tasks = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    books = entries.where(F.lower("entry").endswith(".xlsx")).repartition(tasks, "archive", "entry")
+    is_book = F.lower("entry").rlike(r"\.xls[xm]$")
+    books = entries.where(is_book).repartition(tasks, "archive", "entry")
     rows = books.select("archive", "entry", "table_name", "content").mapInArrow(_parse, ROW_SCHEMA)
     return rows.withColumn("cells", F.transform_values("cells", lambda _, v: missing_to_null(v)))
 

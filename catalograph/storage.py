@@ -1,56 +1,41 @@
-"""Write a result once to shared storage and go on from the written table."""
+"""Write a result once to shared storage and go on from the written table.
+
+The folder is always the caller's: one that the driver and all executors share.
+"""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_local_folder: tempfile.TemporaryDirectory | None = None
-
-
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder ``spark.checkpoint.dir`` names.
-
-    Where it is unset, a local session gets a temporary folder that lives as
-    long as the process; a cluster gets None.
-    """
-    global _local_folder
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        return None
-    if _local_folder is None:
-        _local_folder = tempfile.TemporaryDirectory(prefix="catalograph-")
-    return _local_folder.name
-
 
-def new_path(spark: SparkSession, label: str) -> str:
-    """A path nobody uses yet, in the shared folder."""
-    root = shared_folder(spark)
-    if root is None:
-        raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+def new_path(folder: str, label: str) -> str:
+    """A path below ``folder`` that nobody uses yet."""
+    if not folder:
+        raise ValueError("no folder given that all executors share")
+    return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
+def stored(df: DataFrame, folder: str, label: str, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet below ``folder`` and read it back.
 
     For a result that is read more than once: its joins run once, later reads
-    prune columns, and a lost executor costs a re-read rather than the lineage.
-    Every call takes a new folder. Without a shared folder the plan is returned
-    as it is and recomputed on each read: slower, same rows.
+    prune columns and partitions, and a lost executor costs a re-read rather than
+    the lineage. Every call takes a new folder; :func:`remove` clears it.
     """
-    spark = df.sparkSession
-    if shared_folder(spark) is None:
-        return df
-    path = new_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = new_path(folder, label)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder of a run, wherever Spark can write; False if there is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def row_position(df: DataFrame) -> list[Column]:
@@ -61,6 +46,8 @@ def row_position(df: DataFrame) -> list[Column]:
     """
     try:
         df.select("_metadata.row_index")
-    except AnalysisException:
+    except AnalysisException as error:
+        if not (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+            raise
         return []
     return [F.xxhash64("_metadata.file_path", "_metadata.row_index")]

@@ -9,29 +9,31 @@ from pyspark.sql import functions as F
 
 from catalograph.functions import MISSING_TOKENS, has_all_keys, is_blank, revenue, round_to
 from catalograph.operators.checks import Check, check_lines, count_lines, joined_log, run_checks
-from catalograph.operators.clean import drop_null_keys, keep_type
+from catalograph.operators.clean import drop_blank_keys, drop_null_keys, keep_type
 from catalograph.operators.dedupe import dedupe, dedupe_if_duplicated, dedupe_keep_first
+from catalograph.operators.joins import heavy_keys
 from catalograph.operators.profile import dup_count, dup_profile, table_counts, type_filter_counts
 from catalograph.operators.report import ranked, revenue_report, revenue_total, revenue_total_text
 from catalograph.operators.segment import (
-    RAW_SCORE,
+    ORDINARY,
+    PREMIUM,
     THRESHOLD,
     displayed,
-    ordinary,
     premium,
     price_scores,
     with_raw_score,
     with_segment,
 )
-from catalograph.plans.cleaning import LINK_KEYS, clean, clean_by_first
-from catalograph.plans.monthly import stage_metrics
+from catalograph.plans.cleaning import LINK_KEYS, POSITION, Catalog, clean, clean_by_first, read_catalog
+from catalograph.plans.monthly import Expectations, catalog_checks, stage_metrics
 from catalograph.schema import LINK, LINK_TABLE, LISTING, LISTING_TABLE, MASTER, MASTER_TABLE, rename_if_present
-from catalograph.sinks import write_csv
-from catalograph.sources import archive_entries, read_csv, register, workbook_rows, workbook_table
-from catalograph.storage import new_path, row_position, stored
+from catalograph.sinks import save_table, write_csv, write_parquet
+from catalograph.sources import archive_entries, load_table, read_csv, register, workbook_rows, workbook_table
+from catalograph.storage import row_position
 from queries import views
-from queries.packing import document_archives, table_archives
+from queries.packing import archive_files, document_archives, table_archives
 from queries.views import table, with_views
+from queries.work import new_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,7 +63,7 @@ def query(name: str, sql: str, *needs: str) -> Callable[[Query], Query]:
     "erp", "liaison", "web",
 )
 def q_table_counts(spark, sf_dir):
-    raw = views.stored_catalog(spark, sf_dir)
+    raw = views.raw_catalog(spark, sf_dir)
     for name, df in (("erp", raw.master), ("liaison", raw.link), ("web", raw.listing)):
         register(df, name)
     return table_counts({name: spark.table(name) for name in ("erp", "liaison", "web")})
@@ -252,7 +254,7 @@ def q_legacy_report(spark, sf_dir):
     master = clean_by_first(raw.master, sequence=["price", "stock_quantity"])
     link = clean_by_first(raw.link, sequence="id_web")
     listing = clean_by_first(raw.listing, sequence=["post_title", "total_sales"])
-    return revenue_report(master, link, listing, raw_link=raw.link)
+    return revenue_report(master, link, listing, heavy_keys(raw.link, "product_id"))
 
 
 # Report, total, score
@@ -294,14 +296,14 @@ def q_price_zscore(spark, sf_dir):
 
 @query("premium", f"SELECT {SCORED_COLUMNS} FROM scored WHERE z > 2", "scored")
 def q_premium(spark, sf_dir):
-    rows = views.scored(spark, sf_dir)
-    return ranked(displayed(premium(rows)), "z_score", row_position(rows))
+    part = views.segments(spark, sf_dir).where(F.col("segment") == PREMIUM).drop("segment")
+    return ranked(part, "z_score", row_position(part))
 
 
 @query("ordinary", f"SELECT {SCORED_COLUMNS} FROM scored WHERE z <= 2", "scored")
 def q_ordinary(spark, sf_dir):
-    rows = views.scored(spark, sf_dir)
-    return ranked(displayed(ordinary(rows)), "z_score", row_position(rows))
+    part = views.segments(spark, sf_dir).where(F.col("segment") == ORDINARY).drop("segment")
+    return ranked(part, "z_score", row_position(part))
 
 
 @query(
@@ -312,7 +314,7 @@ def q_ordinary(spark, sf_dir):
     "scored",
 )
 def q_price_segments(spark, sf_dir):
-    return displayed(with_segment(views.scored(spark, sf_dir)))
+    return views.segments(spark, sf_dir)
 
 
 @query(
@@ -346,13 +348,33 @@ def q_star_revenue_total(spark, sf_dir):
     "events_zscore",
     """
     SELECT event_id, value, ROUND((value - a) / NULLIF(sd, 0), 4) AS z_score
-    FROM (SELECT * FROM events WHERE event_type = 'purchase') p
-    CROSS JOIN (SELECT AVG(value) AS a, STDDEV(value) AS sd FROM events WHERE event_type = 'purchase') s
+    FROM events CROSS JOIN (SELECT AVG(value) AS a, STDDEV(value) AS sd FROM events) s
     WHERE (value - a) / NULLIF(sd, 0) > 2""",
 )
 def q_events_zscore(spark, sf_dir):
-    purchases = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase").select("event_id", "value")
-    return displayed(premium(with_raw_score(purchases, "value")), after="value")
+    events = table(spark, sf_dir, "events").select("event_id", "value")
+    return displayed(premium(with_raw_score(events, "value")), after="value")
+
+
+@query(
+    "price_zscore_gaps",
+    """
+    SELECT product_id, id_web, ROUND((price - a) / NULLIF(sd, 0), 4) AS z_score,
+           CASE WHEN (price - a) / NULLIF(sd, 0) > 2 THEN 'premium'
+                WHEN (price - a) / NULLIF(sd, 0) <= 2 THEN 'ordinary' END AS segment
+    FROM gapped CROSS JOIN (SELECT AVG(price) AS a, STDDEV(price) AS sd FROM gapped) s""",
+    "gapped",
+)
+def q_price_zscore_gaps(spark, sf_dir):
+    rows = with_raw_score(stored(views.gapped_report(spark, sf_dir), "gapped"), "prix_unitaire")
+    return displayed(with_segment(rows)).select("product_id", "id_web", "z_score", "segment")
+
+
+@query("skewed_report", "SELECT * FROM hot_report", "hot_report")
+def q_skewed_report(spark, sf_dir):
+    """A third of the links belong to one product, which is spread over tasks."""
+    link = views.hot_link(spark, sf_dir)
+    return revenue_report(views.erp_d(spark, sf_dir), link, views.hot_listing(spark, sf_dir), heavy_keys(link, "product_id"))
 
 
 # Checks and log
@@ -388,47 +410,28 @@ def q_events_zscore(spark, sf_dir):
     "scored",
 )
 def q_checks(spark, sf_dir):
-    """Expected figures come from the raw tables; ``report_rows`` fails, listings without a type fan out."""
-    raw = views.stored_catalog(spark, sf_dir)
-    cleaned = clean(raw, keep_undoubled_nulls=False)
-    report = stored(revenue_report(cleaned.master, cleaned.link, cleaned.listing, raw.link), "report")
-    scores = with_raw_score(report, "prix_unitaire")
-    rows, z = F.count("*"), F.col(RAW_SCORE)
-    pair = F.struct("id_web", "product_id")
-    blank = is_blank(F.col("id_web"))
-    other_type = F.coalesce(F.col("post_type") != "product", F.lit(False))
-    no_type = F.col("post_type").isNull()
-    master_keys = raw.master.agg(F.count_distinct("product_id")).scalar()
-    link_keys = raw.link.where(has_all_keys(LINK_KEYS)).agg(F.count_distinct(pair)).scalar()
-    return run_checks(
-        [
-            (cleaned.master, [Check("erp_rows", master_keys, rows)]),
-            (cleaned.link, [Check("link_rows", link_keys, rows)]),
-            (
-                raw.listing,
-                [
-                    Check("web_nonblank_rows", rows - F.count_if(blank), F.count_if(~blank)),
-                    Check(
-                        "web_type_rows",
-                        F.count_if(~blank) - F.count_if(~blank & other_type),
-                        F.count_if(~blank & ((F.col("post_type") == "product") | no_type)),
-                    ),
-                ],
-            ),
-            (
-                report,
-                [
-                    Check("report_rows", F.count_distinct(F.struct("product_id", "id_web")), rows),
-                    Check(
-                        "revenue_total",
-                        round_to(F.sum(F.col("prix_unitaire") * F.col("ventes_totales")), 2),
-                        round_to(F.sum("chiffre_affaires"), 2),
-                    ),
-                ],
-            ),
-            (scores, [Check("premium_rows", rows - F.count_if(z <= THRESHOLD), F.count_if(z > THRESHOLD))]),
-        ]
+    """The shipped checks on cleaned, stored tables. Expected figures are aggregates that go
+    another way; ``report_rows`` fails, as listings without a type fan out."""
+    raw = views.raw_catalog(spark, sf_dir)
+    kept = clean(raw)
+    cleaned = Catalog(stored(kept.master, "erp"), stored(kept.link, "liaison"), stored(kept.listing, "web"))
+    report = stored(revenue_report(cleaned.master, cleaned.link, cleaned.listing, heavy_keys(cleaned.link, "product_id")), "report")
+    keyed = drop_blank_keys(raw.listing)
+    segments = with_segment(with_raw_score(report, "prix_unitaire"))
+    rows, price = F.count("*"), F.col("prix_unitaire")
+    other = F.count_if(F.coalesce(F.col("post_type") != "product", F.lit(False)) & ~is_blank(F.col("id_web")))
+    blank = F.count_if(is_blank(F.col("id_web")))
+    limit = report.agg((F.avg(price) + THRESHOLD * F.stddev_samp(price)).alias("limit")).scalar()
+    expected = Expectations(
+        master_rows=raw.master.agg(F.count_distinct("product_id")).scalar(),
+        link_rows=raw.link.where(has_all_keys(LINK_KEYS)).agg(F.count_distinct(F.struct(*LINK_KEYS))).scalar(),
+        listing_keyed_rows=raw.listing.agg(rows - blank).scalar(),
+        listing_rows=raw.listing.agg(rows - blank - other).scalar(),
+        report_rows=report.agg(F.count_distinct(F.struct("product_id", "id_web"))).scalar(),
+        revenue=report.agg(round_to(F.sum(price * F.col("ventes_totales")), 2)).scalar(),
+        premium_rows=report.agg(rows - F.count_if(price <= limit)).scalar(),
     )
+    return catalog_checks(cleaned, keyed, report, segments, expected)
 
 
 @query(
@@ -483,9 +486,11 @@ def q_check_log(spark, sf_dir):
     "report",
 )
 def q_stage_metrics(spark, sf_dir):
-    raw = views.stored_catalog(spark, sf_dir)
-    cleaned = clean(raw)
-    report = revenue_report(cleaned.master, cleaned.link, cleaned.listing, raw.link)
+    raw = views.raw_catalog(spark, sf_dir)
+    kept = clean(raw)
+    cleaned = Catalog(stored(kept.master, "erp"), stored(kept.link, "liaison"), stored(kept.listing, "web"))
+    heavy = heavy_keys(cleaned.link, "product_id")
+    report = stored(revenue_report(cleaned.master, cleaned.link, cleaned.listing, heavy), "report")
     return stage_metrics(raw, cleaned, report)
 
 
@@ -563,3 +568,86 @@ def q_workbook_rows(spark, sf_dir):
         "post_title",
         "total_sales",
     )
+
+
+UNTYPED = ", ".join(f"CAST(NULL AS {kind}) AS {name}" for name, kind in (("post_type", "VARCHAR"), ("post_title", "VARCHAR"), ("total_sales", "DOUBLE")))
+
+
+@query(
+    "catalog_from_archives",
+    f"""
+    SELECT 'fichier_erp' AS table_name, product_id, price, stock_quantity, CAST(NULL AS VARCHAR) AS id_web, {UNTYPED}
+    FROM erp
+    UNION ALL SELECT 'fichier_liaison', product_id, NULL, NULL, id_web, NULL, NULL, NULL FROM liaison
+    UNION ALL SELECT 'fichier_web', NULL, NULL, NULL, NULLIF(id_web, ''), post_type, post_title, total_sales FROM web""",
+    "erp", "liaison", "web",
+)
+def q_catalog_from_archives(spark, sf_dir):
+    """Archives written as files, then read from there."""
+    raw = views.raw_catalog(spark, sf_dir)
+    files = archive_files(table_archives([raw.master, raw.link, raw.listing]), new_path(spark, "archives"))
+    out = None
+    for name, df in read_catalog(spark, files, rest=None).named():
+        df = df.withColumn("table_name", F.lit(name))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out.select("table_name", "product_id", "price", "stock_quantity", "id_web", "post_type", "post_title", "total_sales")
+
+
+@query(
+    "legacy_from_archives",
+    """
+    SELECT product_id, MAX(price) AS price, MAX(stock_quantity) AS stock_quantity, COUNT(*) AS n
+    FROM erp_d GROUP BY product_id""",
+    "erp_d",
+)
+def q_legacy_from_archives(spark, sf_dir):
+    """The former rules on archives read from files: the first row of a key by archive, workbook and row."""
+    raw = views.raw_catalog(spark, sf_dir)
+    files = archive_files(table_archives([raw.master, raw.link, raw.listing]), new_path(spark, "archives"))
+    master = read_catalog(spark, files, rest=None, keep_position=True).master
+    kept = clean_by_first(master, sequence=list(POSITION))
+    return kept.groupBy("product_id").agg(
+        F.max("price").alias("price"), F.max("stock_quantity").alias("stock_quantity"), F.count("*").alias("n")
+    )
+
+
+@query(
+    "saved_tables",
+    """
+    SELECT 'erp' AS table_name, product_id, price FROM erp
+    UNION ALL SELECT 'again', product_id, price FROM erp WHERE product_id IS NOT NULL""",
+    "erp",
+)
+def q_saved_tables(spark, sf_dir):
+    """A catalog table created, then replaced; both states are read back."""
+    name = "catalograph_" + new_path(spark, "saved").rsplit("-", 1)[1]
+    raw = views.erp(spark, sf_dir).select("product_id", "price")
+    first = stored(save_table(raw, name), "saved")
+    again = save_table(raw.where("product_id IS NOT NULL"), name)
+    out = first.withColumn("table_name", F.lit("erp")).unionByName(again.withColumn("table_name", F.lit("again")))
+    out = stored(out.select("table_name", "product_id", "price"), "saved")
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+@query(
+    "report_sinks",
+    """
+    SELECT 'csv' AS sink, product_id, id_web, chiffre_affaires, CAST(NULL AS VARCHAR) AS segment FROM report
+    UNION ALL
+    SELECT 'parquet', product_id, id_web, chiffre_affaires,
+           CASE WHEN z > 2 THEN 'premium' WHEN z <= 2 THEN 'ordinary' END
+    FROM scored""",
+    "scored",
+)
+def q_report_sinks(spark, sf_dir):
+    """The ordered CSV report and the segments by folder, written and read back."""
+    report = views.stored_report(spark, sf_dir)
+    path = write_csv(ranked(report, "chiffre_affaires", row_position(report)), new_path(spark, "report-csv"))
+    read = read_csv(spark, path, report.schema).withColumn("segment", F.lit(None).cast("string"))
+    segments = displayed(with_segment(with_raw_score(report, "prix_unitaire")))
+    folder = new_path(spark, "segments")
+    write_parquet(segments, f"{folder}/segments", "segment")
+    parts = load_table(spark, folder, "segments", segments.schema)
+    names = ["sink", "product_id", "id_web", "chiffre_affaires", "segment"]
+    return read.withColumn("sink", F.lit("csv")).select(*names).unionByName(parts.withColumn("sink", F.lit("parquet")).select(*names))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import io
+import os
 import sys
+import uuid
 import zipfile
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
@@ -128,3 +130,27 @@ def table_archives(tables: Sequence[DataFrame]) -> DataFrame:
         part = df.select(F.lit(name).alias("book"), *columns)
         rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
     return rows.mapInArrow(_zip_tables, ARCHIVE_SCHEMA)
+
+
+def archive_files(archives: DataFrame, folder: str) -> str:
+    """Write archives as files below ``folder``, which every executor must see under this path.
+
+    Spark reads binary files but has no writer for them. A file is renamed when it is
+    complete, so a task that runs again replaces it.
+    """
+    scheme, _, path = folder.rpartition("://")
+    if scheme not in ("", "file"):
+        raise ValueError(f"archives are written by path; {folder} is none")
+
+    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.makedirs(path, exist_ok=True)
+        for batch in batches:
+            for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                part = f"{path}/.{name}.{uuid.uuid4().hex}"
+                with open(part, "wb") as out:
+                    out.write(content)
+                os.replace(part, f"{path}/{name}")
+        yield pa.RecordBatch.from_pydict({"n": pa.array([1], pa.int32())})
+
+    archives.mapInArrow(save, "n int").count()
+    return folder

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from catalograph.operators.clean import drop_blank_keys, keep_type
 from catalograph.operators.dedupe import dedupe
+from catalograph.operators.joins import heavy_keys
 from catalograph.operators.report import revenue_report
-from catalograph.operators.segment import with_raw_score
+from catalograph.operators.segment import displayed, with_raw_score, with_segment
 from catalograph.plans.cleaning import LINK_KEYS, Catalog
 from catalograph.sources import load_table
-from catalograph.storage import stored
-
+from queries.work import stored
 
 # The columns read, declared: no job to infer a schema.
 SCHEMAS = {
@@ -42,9 +42,11 @@ def _planted(usual: list[Column], condition: Column, extra: Column) -> Column:
 
 
 def _priced_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event prices one part; a part costs its highest."""
     parts = table(spark, sf_dir, "part").select("p_partkey", F.col("p_size").alias("stock_quantity"))
-    events = table(spark, sf_dir, "events").select(F.col("event_id").alias("p_partkey"), F.col("value").alias("price"))
-    return parts.join(events, "p_partkey")
+    n_parts = parts.agg(F.count("*")).scalar()
+    events = table(spark, sf_dir, "events").groupBy((F.col("event_id") % n_parts).alias("p_partkey"))
+    return parts.join(events.agg(F.max("value").alias("price")), "p_partkey")
 
 
 def erp(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +124,8 @@ def web_c(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     link = liaison(spark, sf_dir)
-    return revenue_report(erp_d(spark, sf_dir), dedupe(link, LINK_KEYS), web_c(spark, sf_dir), raw_link=link)
+    heavy = heavy_keys(link, "product_id")
+    return revenue_report(erp_d(spark, sf_dir), dedupe(link, LINK_KEYS), web_c(spark, sf_dir), heavy)
 
 
 def stored_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,22 +137,55 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_raw_score(stored_report(spark, sf_dir), "prix_unitaire")
 
 
+def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scored report written once, a folder per segment: each part reads its own."""
+    return stored(displayed(with_segment(scored(spark, sf_dir))), "segments", "segment")
+
+
+def gapped_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report with prices that are NaN, infinite or missing."""
+    key, price = F.col("product_id"), F.col("prix_unitaire")
+    gaps = (
+        F.when(key % 13 == 0, F.lit(float("nan")))
+        .when(key % 17 == 0, F.lit(float("inf")))
+        .when(key % 19 == 0, F.lit(float("-inf")))
+        .when(key % 23 == 0, F.lit(None).cast("double"))
+        .otherwise(price)
+    )
+    return report(spark, sf_dir).withColumn("prix_unitaire", gaps)
+
+
+def hot_link(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of which a third belong to one product."""
+    line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    product = F.when(line % 3 == 0, F.lit(7).cast("bigint")).otherwise(F.col("l_partkey"))
+    return table(spark, sf_dir, "lineitem").select(product.alias("product_id"), line.cast("string").alias("id_web"))
+
+
+def hot_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    return table(spark, sf_dir, "lineitem").select(
+        line.cast("string").alias("id_web"),
+        F.concat(F.lit("line "), line).alias("post_title"),
+        F.col("l_quantity").alias("total_sales"),
+    )
+
+
 ORACLE_VIEWS = {
+    "priced": """
+        SELECT p_partkey, price, p_size
+        FROM part JOIN (SELECT event_id % (SELECT COUNT(*) FROM part) AS k, MAX(value) AS price FROM events GROUP BY 1) e
+             ON k = p_partkey""",
     "erp": """
-        SELECT p_partkey AS product_id, value AS price, p_size AS stock_quantity
-        FROM part JOIN events ON event_id = p_partkey
+        SELECT p_partkey AS product_id, price, p_size AS stock_quantity FROM priced
         UNION ALL
-        SELECT p_partkey, value, p_size
-        FROM part JOIN events ON event_id = p_partkey WHERE p_partkey % 50 = 0
+        SELECT p_partkey, price, p_size FROM priced WHERE p_partkey % 50 = 0
         UNION ALL
-        SELECT CAST(NULL AS BIGINT), value, p_size
-        FROM part JOIN events ON event_id = p_partkey WHERE p_partkey % 97 = 0""",
+        SELECT CAST(NULL AS BIGINT), price, p_size FROM priced WHERE p_partkey % 97 = 0""",
     "erp_u": """
-        SELECT p_partkey AS product_id, value AS price, p_size AS stock_quantity
-        FROM part JOIN events ON event_id = p_partkey
+        SELECT p_partkey AS product_id, price, p_size AS stock_quantity FROM priced
         UNION ALL
-        SELECT CAST(NULL AS BIGINT), value, p_size
-        FROM part JOIN events ON event_id = p_partkey WHERE p_partkey % 97 = 0""",
+        SELECT CAST(NULL AS BIGINT), price, p_size FROM priced WHERE p_partkey % 97 = 0""",
     "liaison_u": """
         SELECT p_partkey AS product_id,
                CASE WHEN p_partkey % 9 = 0 THEN NULL
@@ -191,6 +227,19 @@ ORACLE_VIEWS = {
     "scored": """
         SELECT *, (prix_unitaire - a) / NULLIF(sd, 0) AS z
         FROM report CROSS JOIN (SELECT AVG(prix_unitaire) AS a, STDDEV(prix_unitaire) AS sd FROM report) s""",
+    "hot_report": """
+        SELECT e.product_id, l.id_web, w.post_title AS nom_produit, e.price AS prix_unitaire,
+               COALESCE(w.total_sales, 0) AS ventes_totales,
+               ROUND(e.price * COALESCE(w.total_sales, 0), 2) AS chiffre_affaires, e.stock_quantity AS stock
+        FROM erp_d e
+        JOIN (SELECT CASE WHEN n % 3 = 0 THEN 7 ELSE l_partkey END AS product_id, CAST(n AS VARCHAR(20)) AS id_web
+              FROM (SELECT l_partkey, l_orderkey * 8 + l_linenumber AS n FROM lineitem) x) l ON e.product_id = l.product_id
+        JOIN (SELECT CAST(n AS VARCHAR(20)) AS id_web, 'line ' || n AS post_title, l_quantity AS total_sales
+              FROM (SELECT l_quantity, l_orderkey * 8 + l_linenumber AS n FROM lineitem) x) w ON l.id_web = w.id_web""",
+    "gapped": """
+        SELECT product_id, id_web, CASE WHEN product_id % 13 = 0 OR product_id % 17 = 0 OR product_id % 19 = 0
+               OR product_id % 23 = 0 THEN NULL ELSE prix_unitaire END AS price
+        FROM report""",
     "legacy_link": """
         SELECT DISTINCT product_id, id_web FROM liaison WHERE product_id IS NOT NULL AND id_web IS NOT NULL""",
     "legacy_web": """
@@ -202,6 +251,10 @@ ORACLE_VIEWS = {
 
 # Which views each view is built from.
 NEEDS = {
+    "erp": ["priced"],
+    "erp_u": ["priced"],
+    "hot_report": ["erp_d"],
+    "gapped": ["report"],
     "liaison": ["liaison_u"],
     "erp_d": ["erp"],
     "liaison_d": ["liaison"],

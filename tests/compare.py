@@ -66,7 +66,7 @@ if __name__ == "__main__":
 
     spark = local_session(8)
     con = connect(sys.argv[1])
-    names = sys.argv[2:] or list(contract.queries())
+    names = sys.argv[2:] or list(contract.oracle_sql())
     for name in names:
         t0 = time.time()
         try:

@@ -374,3 +374,15 @@ def test_checks_pass_fail_and_never_raise(spark):
         "bad": False,
         "missing": False,
     }
+
+
+def test_prices_that_are_not_finite_have_no_score(spark):
+    prices = [1.0, 2.0, 3.0, float("nan"), float("inf"), float("-inf"), None]
+    scored = with_segment(with_raw_score(spark.createDataFrame([(p,) for p in prices], "price double"), "price"))
+    assert [r.segment for r in scored.orderBy("price").where("_z IS NOT NULL").collect()] == ["ordinary"] * 3
+    assert scored.where("_z IS NULL AND segment IS NULL").count() == 4
+
+
+def test_total_skips_revenues_that_are_not_finite(spark):
+    report = spark.createDataFrame([(1.25,), (float("nan"),), (float("inf"),), (None,)], "chiffre_affaires double")
+    assert revenue_total(report).first()[0] == 1.25

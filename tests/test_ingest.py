@@ -11,7 +11,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from catalograph.plans import read_catalog
+from catalograph.plans import clean_by_first, read_catalog
+from catalograph.plans.cleaning import POSITION
 from catalograph.schema import LINK, LISTING, MASTER
 from catalograph.sinks import save_table, write_csv, write_parquet
 from catalograph.sources import (
@@ -300,3 +301,64 @@ for name in ("archive_entries", "workbook_rows"):
     run = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert run.returncode == 0, run.stderr[-2000:]
     assert "archive_entries 400" in run.stdout and "workbook_rows" in run.stdout
+
+
+def three_books(**other: bytes) -> dict[str, bytes]:
+    return {
+        "Fichier_ERP.xlsx": workbook_bytes(["product_id", "price", "stock_quantity"], [[1, 1.5, 2]]),
+        "Fichier_Liaison.xlsx": workbook_bytes(["product_id", "id_web"], [[1, "w1"]]),
+        "Fichier_Web.xlsx": workbook_bytes(["sku", "post_type", "post_title", "total_sales"], [["w1", "product", "t", 1.0]]),
+        **other,
+    }
+
+
+def test_an_archive_made_on_a_mac_and_open_workbooks(spark, tmp_path):
+    junk = {"__MACOSX/._Fichier_ERP.xlsx": b"fork", "__MACOSX/Fichier_ERP.xlsx": b"fork", "x/~$Fichier_Web.xlsx": b"lock", "._Fichier_Liaison.xlsx": b"f"}
+    (tmp_path / "mac.zip").write_bytes(zip_bytes(three_books(**junk)))
+    raw = read_catalog(spark, str(tmp_path), rest=None)
+    assert [rows(df) for _, df in raw.named()] == [[(1, 1.5, 2)], [(1, "w1")], [("w1", "product", "t", 1.0)]]
+
+
+def test_macro_workbooks_are_read(spark, tmp_path):
+    books = three_books()
+    books["Fichier_ERP.XLSM"] = books.pop("Fichier_ERP.xlsx")
+    (tmp_path / "m.zip").write_bytes(zip_bytes(books))
+    assert rows(read_catalog(spark, str(tmp_path), rest=None).master) == [(1, 1.5, 2)]
+
+
+def test_a_table_without_a_workbook_is_an_error(spark, tmp_path):
+    books = three_books(notes=b"x")
+    del books["Fichier_Liaison.xlsx"]
+    (tmp_path / "m.zip").write_bytes(zip_bytes(books))
+    with pytest.raises(ValueError, match="no workbook for fichier_liaison"):
+        read_catalog(spark, str(tmp_path))
+
+
+def test_large_entries_fail_before_they_are_inflated(spark):
+    df = spark.createDataFrame([("a.zip", zip_bytes({"big.txt": "x" * 1000}))], "path string, content binary")
+    with pytest.raises(Exception, match="a.zip: big.txt has 1000 bytes"):
+        archive_entries(df, most_bytes=999).collect()
+    assert archive_entries(df, most_bytes=1000).count() == archive_entries(df, most_bytes=1, content=False).count() == 1
+
+
+def test_errors_name_archive_and_entry(spark, tmp_path):
+    (tmp_path / "bad.zip").write_bytes(zip_bytes(three_books(**{"Fichier_ERP.xlsx": b"no zip"})))
+    with pytest.raises(Exception, match="bad.zip: Fichier_ERP.xlsx: BadZipFile"):
+        read_catalog(spark, str(tmp_path)).master.collect()
+
+
+def test_position_follows_archive_workbook_and_row(spark, tmp_path):
+    for lot in (1, 2):
+        books = three_books(**{"Fichier_ERP.xlsx": workbook_bytes(["product_id", "price", "stock_quantity"], [[5, lot + 0.5, 1], [5, 9.0, 1]])})
+        (tmp_path / f"lot{lot}.zip").write_bytes(zip_bytes(books))
+    master = read_catalog(spark, str(tmp_path), rest=None, keep_position=True).master
+    assert master.columns[:3] == list(POSITION)
+    assert rows(clean_by_first(master, POSITION).select("product_id", "price")) == [(5, 1.5)]
+
+
+@pytest.mark.parametrize("cell", ["NAN", "inf", "-Infinity", "1e999"])
+def test_numbers_that_are_not_finite(spark, tmp_path, cell):
+    (tmp_path / "a.csv").write_text(f"product_id,price,stock_quantity\n1,{cell},2\n2,3.5,1\n")
+    with pytest.raises(Exception, match="column price: not a double"):
+        read_csv(spark, str(tmp_path), MASTER).collect()
+    assert rows(read_csv(spark, str(tmp_path), MASTER, strict=False)) == [(1, None, 2), (2, 3.5, 1)]

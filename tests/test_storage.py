@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import pytest
 from conftest import rows
+from pyspark.errors import AnalysisException
 
 from catalograph import storage
+from queries import work
 
 
 class Session:
@@ -19,28 +21,40 @@ class Session:
         return self.settings.get(name.replace(".", "_"), default)
 
 
-def test_the_named_folder_is_used(spark, monkeypatch, tmp_path):
-    assert storage.shared_folder(Session(spark_checkpoint_dir="/shared", spark_master="yarn")) == "/shared"
-    monkeypatch.setattr(storage, "shared_folder", lambda _: str(tmp_path / "shared"))
-    df = storage.stored(spark.range(3), "numbers")
+def test_the_given_folder_is_used_and_cleared(spark, tmp_path):
+    folder = f"{tmp_path}/shared"
+    df = storage.stored(spark.range(3), folder, "numbers")
     assert rows(df) == [(0,), (1,), (2,)]
     assert [p.name.split("-")[0] for p in (tmp_path / "shared").iterdir()] == ["numbers"]
+    assert storage.remove(spark, folder) and not (tmp_path / "shared").exists()
+    assert not storage.remove(spark, folder)
 
 
-def test_every_call_takes_a_new_folder(spark):
-    assert storage.new_path(spark, "x") != storage.new_path(spark, "x")
+def test_every_call_takes_a_new_folder():
+    assert storage.new_path("/x/", "a") != storage.new_path("/x", "a")
+    assert storage.new_path("/x/", "a").startswith("/x/a-")
 
 
-def test_local_session_without_a_folder_gets_one():
-    folder = storage.shared_folder(Session(spark_master="local[2]"))
-    assert folder and folder == storage.shared_folder(Session(spark_master="local[2]"))
+@pytest.mark.parametrize("folder", ["", None])
+def test_no_folder_is_an_error(spark, folder):
+    with pytest.raises(ValueError, match="no folder"):
+        storage.stored(spark.range(3), folder, "x")
 
 
-def test_cluster_without_a_folder_writes_nowhere(spark, monkeypatch):
-    cluster = Session(spark_master="spark://host:7077")
-    assert storage.shared_folder(cluster) is None
+def test_queries_use_the_folder_of_the_session():
+    assert work.folder(Session(spark_checkpoint_dir="/shared", spark_master="yarn")) == "/shared"
+    local = Session(spark_master="local[2]")
+    assert work.folder(local) and work.folder(local) == work.folder(local)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        storage.new_path(cluster, "x")
-    monkeypatch.setattr(storage, "shared_folder", lambda _: None)
-    df = spark.range(3)
-    assert storage.stored(df, "x") is df
+        work.folder(Session(spark_master="spark://host:7077"))
+
+
+def test_row_position_hides_only_a_missing_metadata_column(spark):
+    assert storage.row_position(spark.range(3)) == []
+
+    class Broken:
+        def select(self, _):
+            spark.sql("SELECT * FROM no_such_table_anywhere")
+
+    with pytest.raises(AnalysisException):
+        storage.row_position(Broken())
