@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from catalograph.llm.common import written
-from catalograph.llm.stages import mix_sources, quality_rules
+from catalograph.llm.stages import mix_sources, near_duplicates, pack_sequences, quality_rules, substring_duplicates
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("simhash near-dedup", near_duplicates),
+    ("substring dedup", substring_duplicates),
     ("mixing", mix_sources),
+    ("packing", pack_sequences),
 ]
 
 # Fingerprints, tokens and certified cut-offs have no SQL form; the tests hold each stage against a brute-force version.

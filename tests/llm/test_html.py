@@ -1,0 +1,79 @@
+"""Wrapper inference and extraction."""
+
+import html as entities
+import re
+
+from pyspark.sql import functions as F
+
+from catalograph.llm import htmltree, queries, wrappers
+
+PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style></head><body class="has-sidebar">
+<header><h1>Site name</h1><nav><a href=/>Home</a></nav></header><div class="cookie-notice">We use cookies</div>
+<main><article class="post"><header><h1>Title &amp; more</h1><span>By me</span></header>
+<p>First   paragraph<br>goes&nbsp;on <a href="x>y">link</a>.<p>Second &lt;b&gt; <!-- no --><b>bold</p>
+<script>if (a < b) document.write("</p><p>no")</script><ul><li>one<li>two</ul><div class=share>Share it</div>
+<aside>Aside</aside><form>Name <input><button>Go</button></form>
+<section id="comments"><h2>Comments</h2><article class="comment"><p>Bad</p></article></section>
+<footer>Tags</footer></article></main><div id="sidebar">Side</div><footer>&copy; us</footer></body></html>"""
+
+
+def test_article_without_its_surroundings():
+    assert wrappers.main_text(PAGE, None) == "Title & more\nFirst paragraph goes on link.\nSecond <b> bold\none\ntwo"
+
+
+def test_pages_without_article_element():
+    page = '<body><div class="top-menu"><a href=1>a</a> <a href=2>b</a></div><div><div>{}</div><div class="ads">buy</div></div><p>{}</p></body>'
+    a, b, c = (page.format(f"<p>{x} text of the page that is long enough</p><p>{x} again</p>", "Always the same words at the end of every page of this host, longer than the text itself is, and longer still") for x in "xyz")
+    whole = wrappers.merged(wrappers.merged(wrappers.group_of(htmltree.parse(a)), wrappers.group_of(htmltree.parse(b))), wrappers.group_of(htmltree.parse(c)))
+    path = wrappers.article_path(whole)
+    assert wrappers.main_text(a, path) == "x text of the page that is long enough\nx again"
+
+
+def test_alignment_makes_slots_optional_and_repeated_groups():
+    a = wrappers.group_of(htmltree.parse("<body><h1>A</h1><p>same</p><ul><li>1<li>2</ul><dl><dt>a<dd>b<dt>c<dd>d</dl></body>"))
+    b = wrappers.group_of(htmltree.parse("<body><h1>B</h1><div>extra</div><p>same</p><ul><li>1</ul></body>"))
+    assert wrappers.expression(wrappers.merged(a, b)) == (
+        '<#page><body><h1>#</>(<div>"extra"</>)?<p>"same"</><ul>(<li>#</>)+</>(<dl>(<dt>#</>)+(<dd>#</>)+</>)?</></>'
+    )
+
+
+def test_broken_pages():
+    assert wrappers.main_text(None, None) == "" and wrappers.main_text("", ["html"]) == ""
+    assert wrappers.main_text("just text &amp no tags", None) == "just text & no tags"
+    assert wrappers.main_text("<article><p>cut of&am", None) == "cut of&am"
+    assert wrappers.main_text("<article><p>cut off</p><p clas", None) == "cut off"
+    assert wrappers.main_text("<article><p>a < b</p><!-- open", None) == "a < b"
+    assert wrappers.main_text("<article><p title=it's>x</p><p>y</p></article>", None) == "x\ny"
+    assert wrappers.main_text("<article>" + "<div>" * 300 + "deep", None) == "deep"
+
+
+def by_pattern(page):
+    """The test tables' pages are plain enough for a pattern."""
+    found = re.search("<article>(.*?)(?:</article>|$)", page, re.S)
+    parts = re.split("</?(?:p|h1)>", found[1]) if found else []
+    texts = (" ".join(entities.unescape(re.sub("<[^>]*(?:>|$)", " ", x)).split()) for x in parts)
+    return "\n".join(t for t in texts if t)
+
+
+def test_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    expected = {r.page_id: by_pattern(r.html) for r in pages.collect()}
+    out = queries.op10_html_extraction(spark, "/root/testdata/sf0.01")
+    assert out.dtypes == [("page_id", "bigint"), ("url", "string"), ("text", "string"), ("n_chars", "bigint")]
+    for r in out.collect():
+        assert r.text == expected.pop(r.page_id) and r.n_chars == len(r.text)
+    assert not expected
+
+
+def test_awkward_and_empty(spark):
+    rows = [(1, "http://a.b/x", PAGE, "z"), (1, "http://a.b/x", PAGE, "z"), (2, None, PAGE, None), (3, "no url", None, None), (None, "http://A.b:80/", "", None), (5, "http://a.b/y", "<p>" * 10, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, host string")
+    out = wrappers.extract(df)
+    assert out.columns == [*df.columns, "main_text"]
+    got = sorted((r.page_id or 0, r.main_text[:5]) for r in out.collect())
+    assert got == [(0, ""), (1, "Title"), (1, "Title"), (2, "Title"), (3, ""), (5, "")]
+    assert wrappers.extract(df.limit(0)).count() == 0
+    found = wrappers.wrappers(df, "html", "url").collect()
+    assert [(r.host, r.n_pages) for r in found] == [("a.b", 3)]
+    hosts = spark.createDataFrame([("https://u:p@H.x/é",), ("ftp://",), (None,), ("x://y?q",)], "u string").select(wrappers.host(F.col("u")))
+    assert [r[0] for r in hosts.collect()] == ["h.x", None, None, "y"]

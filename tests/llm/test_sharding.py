@@ -1,0 +1,57 @@
+"""Sharding: every row once, no shard above the limit, only oversized buckets split."""
+
+import random
+
+import pytest
+from awkward import awkward, empty
+from pyspark.sql import functions as F
+
+from catalograph.llm import sharding
+
+
+def run(df, limit, size="n"):
+    out = sharding.shard(df, F.col("doc_id"), F.col(size), limit)
+    return out, [(r.doc.doc_id, r.n_bytes, r.shard, r.depth, r.shard_bytes, r.shard_rows, r.oversized) for r in out.collect()]
+
+
+def check(rows, limit):
+    by = {}
+    for _, n, shard, depth, *_ in rows:
+        assert len(shard) == depth
+        by.setdefault(shard, []).append(n)
+    for _, _, shard, _, total, count, oversized in rows:
+        assert total == sum(by[shard]) and count == len(by[shard])
+        assert oversized == (total > limit) and (not oversized or count == 1)
+    shards = sorted(by)
+    for a, b in zip(shards, shards[1:]):
+        assert not b.startswith(a)  # leaves of one directory
+    for shard in shards:  # the parent did not fit
+        if shard:
+            parent = [n for s, ns in by.items() if s.startswith(shard[:-1]) for n in ns]
+            assert sum(parent) > limit and len(parent) > 1
+
+
+@pytest.mark.parametrize("limit", [1, 500, 5000, 10**9])
+def test_random(spark, limit):
+    rng = random.Random(limit)
+    rows = [(i, rng.choice([0, 1, 10, 100, 900])) for i in range(400)]
+    _, got = run(spark.createDataFrame(rows, "doc_id long, n long"), limit)
+    assert sorted(r[:2] for r in got) == rows
+    check(got, limit)
+
+
+def test_hot_key_is_spread(spark):
+    rows = [(7, 10)] * 300 + [(i, 10) for i in range(100)]
+    _, got = run(spark.createDataFrame(rows, "doc_id long, n long"), 100)
+    assert sorted(r[:2] for r in got) == sorted(rows)
+    check(got, 100)
+    assert max(r[4] for r in got) <= 100
+
+
+def test_awkward_and_empty(spark):
+    df = awkward(spark).withColumn("n", F.octet_length("text").cast("long"))
+    out, got = run(df, 100)
+    assert len(got) == df.count() and out.schema["doc"].dataType.names == df.columns
+    check(got, 100)
+    assert run(empty(spark).withColumn("n", F.lit(1).cast("long")), 10)[1] == []
+    assert sharding.directory(out).agg(F.sum("n_rows")).first()[0] == len(got)

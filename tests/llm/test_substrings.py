@@ -1,0 +1,83 @@
+"""Substring dedup against brute force, SQL on the test tables elsewhere."""
+
+import random
+
+import numpy as np
+import pytest
+from awkward import awkward, awkward_rows, empty, words
+
+from catalograph.llm import substrings
+
+
+def brute(rows, window):
+    """(id, text) -> kept words and removed positions."""
+    owner = {}
+    lists = [words(text) for _, text in rows]
+    for (i, _), w in zip(rows, lists):
+        for k in range(len(w) - window + 1):
+            if i is not None:
+                g = tuple(w[k : k + window])
+                owner[g] = min(owner.get(g, i), i)
+    out = []
+    for (i, _), w in zip(rows, lists):
+        gone = set()
+        for k in range(len(w) - window + 1):
+            if i is not None and owner[tuple(w[k : k + window])] < i:
+                gone.update(range(k, k + window))
+        out.append((i, len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)))
+    return sorted(out, key=repr)
+
+
+def run(df, window=13):
+    out = substrings.remove_repeats(df, window=window, spacing=False)
+    return sorted((tuple(r) for r in out.select("doc.doc_id", "n_words", "n_removed", "kept_text").collect()), key=repr)
+
+
+def test_awkward(spark):
+    df = awkward(spark)
+    assert run(df) == brute([r[:2] for r in awkward_rows()], 13)
+    assert substrings.remove_repeats(df).schema["doc"].dataType.names == df.columns
+
+
+def test_empty(spark):
+    assert run(empty(spark)) == []
+
+
+@pytest.mark.parametrize("window", [2, 13, 20])
+@pytest.mark.parametrize("group", [30, 1 << 20])
+def test_many_batches_and_deep_prefixes(spark, monkeypatch, window, group):
+    """Small batches and subtrees, few words: prefixes of many lengths, passages in many documents."""
+    monkeypatch.setattr(substrings, "BATCH", 2000)
+    monkeypatch.setattr(substrings, "GROUP", group)
+    rng = random.Random(window)
+    passages = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(10, 40))) for _ in range(6)]
+    rows = []
+    for i in range(150):
+        parts = [rng.choice(passages) if rng.random() < 0.5 else " ".join(rng.choice("pqrstuvw") for _ in range(rng.randint(0, 30))) for _ in range(3)]
+        rows.append((i % 140, "\n".join(parts)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert run(df, window) == brute(rows, window)
+
+
+def test_spans_and_spacing(spark):
+    passage = " ".join(f"w{k}" for k in range(13))
+    rows = [(1, passage), (2, f"before\n\n{passage}\n\nafter  it ")]
+    out = {r.doc.doc_id: r for r in substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[1].kept_text == passage and out[1].spans == []
+    assert out[2].kept_text == "before\n\nafter  it "
+    assert [tuple(s) for s in out[2].spans] == [(1, 14)] and out[2].n_removed == 13
+
+
+def test_prefixes_are_as_short_as_fits():
+    lengths = substrings.prefix_lengths({0x0000: 5, 0x0001: 5, 0x1000: 100, 0x2000: 3}, 10)
+    assert lengths[0x1000] == 5  # 100 suffixes under a counted prefix: one more letter
+    assert lengths[0x0000] == lengths[0x0001] == 1  # together 10
+    assert lengths[0x2000] == 1
+    assert set(substrings.prefix_lengths({7: 3}, 10)) == {0}
+
+
+def test_keys_survive_squeezing():
+    rng = np.random.default_rng(0)
+    for n in (1, 2, 1000):
+        keys = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        assert (substrings._expanded(substrings._squeezed(keys)) == keys).all()
