@@ -162,13 +162,14 @@ def _packed(rows: list[tuple[pa.StructArray, list[bytes]]], capacity: int, first
 
 
 def pack(docs: DataFrame, tokenizer_path: Callable[[], str], end_id: int, text: str = "text", capacity: int = CAPACITY, carry: list[str] | None = None) -> DataFrame:
-    """Pieces of all documents: ``doc`` (struct of the columns in ``carry``, or all), ``start``
-    and ``length`` in the document's tokens, ``ids`` (little-endian 32-bit numbers),
-    ``doc_tokens``, ``sequence_id`` and ``offset``.
+    """Pieces of all documents: ``doc`` (struct of the columns in ``carry``, or all but the text,
+    which would be repeated with every piece), ``start`` and ``length`` in the document's
+    tokens, ``ids`` (little-endian 32-bit numbers), ``doc_tokens``, ``sequence_id`` and
+    ``offset``.
 
     ``tokenizer_path`` is called by the tasks, where the file is.
     """
-    kept = docs.columns if carry is None else carry
+    kept = [c for c in docs.columns if c != text] if carry is None else carry
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     end = np.array([end_id], "<u4").tobytes()
 

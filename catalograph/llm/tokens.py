@@ -56,14 +56,16 @@ def attributed(ends: np.ndarray, starts: np.ndarray, stops: np.ndarray, n_bytes:
     begins = np.concatenate([[0], ends[:-1]])
     low = np.searchsorted(edges, begins, side="right") - 1
     high = np.searchsorted(edges, ends, side="left") - 1
-    best, most = low.copy(), np.minimum(edges[low + 1], ends) - begins
+    # Odd intervals are sections, even ones lie outside.
+    owner = np.where(low % 2 == 1, low // 2, -1)
     for at in np.flatnonzero(high > low):  # the few that cross a boundary
-        for k in range(low[at] + 1, high[at] + 1):
-            held = min(edges[k + 1], ends[at]) - edges[k]
-            if held > most[at]:
-                best[at], most[at] = k, held
-    counts = np.bincount(best, minlength=2 * len(starts) + 1)
-    return counts[1::2], int(counts[0::2].sum())
+        held: dict[int, int] = {}
+        for k in range(low[at], high[at] + 1):
+            section = k // 2 if k % 2 else -1
+            held[section] = held.get(section, 0) + min(edges[k + 1], ends[at]) - max(edges[k], begins[at])
+        owner[at] = max(held, key=held.get)  # of equals the one met first
+    counts = np.bincount(owner + 1, minlength=len(starts) + 1)
+    return counts[1:], int(counts[0])
 
 
 def _line_starts(data: np.ndarray) -> np.ndarray:

@@ -17,27 +17,26 @@ def ids_of(text):
 
 
 def check(df, capacity=4096):
-    out = packing.pack(df, packing.word_bpe, 2, capacity=capacity)
+    texts = dict(enumerate(r.text for r in df.collect()))
+    numbered = df.sparkSession.createDataFrame([*texts.items()], "row int, text string").repartition(df.rdd.getNumPartitions())
     windows, docs = {}, {}
-    for r in out.collect():
+    for r in packing.pack(numbered, packing.word_bpe, 2, capacity=capacity).collect():
         ids = np.frombuffer(r.ids, "<u4").tolist()
         assert len(ids) == r.length <= capacity
         windows.setdefault(r.sequence_id, []).append((r.offset, r.length))
-        docs.setdefault((r.doc.doc_id, r.doc.text, r.doc_tokens), []).append((r.start, ids))
+        docs.setdefault((r.doc.row, r.doc_tokens), []).append((r.start, ids))
     for pieces in windows.values():
         at = 0
         for offset, length in sorted(pieces):
             assert offset == at
             at += length
         assert at <= capacity
-    expected = sorted(((r.doc_id, r.text, tuple(ids_of(r.text))) for r in df.collect()), key=repr)
-    got = []
-    for (doc_id, text, total), pieces in docs.items():
-        pieces.sort()
-        copies = sum(start == 0 for start, _ in pieces)  # repeated rows are packed each
-        got += [(doc_id, text, tuple(i for _, ids in pieces[::copies] for i in ids))] * copies
-        assert all(len(g[2]) == total for g in got[-copies:])
-    assert sorted(got, key=repr) == expected
+    got = {}
+    for (row, total), pieces in docs.items():
+        assert [start for start, _ in sorted(pieces)] == list(range(0, total, capacity))
+        got[row] = [i for _, ids in sorted(pieces) for i in ids]
+        assert len(got[row]) == total
+    assert got == {row: ids_of(text) for row, text in texts.items()}
     return windows
 
 
@@ -89,4 +88,4 @@ def test_groups_and_empty(spark, monkeypatch):
     monkeypatch.setattr(packing, "SLICE", 100)
     check(awkward(spark).repartition(3), 64)
     assert packing.pack(empty(spark), packing.word_bpe, 2).count() == 0
-    assert packing.pack(awkward(spark), packing.word_bpe, 2).schema["doc"].dataType.names == awkward(spark).columns
+    assert packing.pack(awkward(spark), packing.word_bpe, 2).schema["doc"].dataType.names == [c for c in awkward(spark).columns if c != "text"]
