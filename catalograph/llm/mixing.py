@@ -78,23 +78,29 @@ def targets(sizes: DataFrame, mix: Mix = Mix()) -> DataFrame:
     return levels.select("source", "source_size", target.alias("target"))
 
 
-def queued(docs: DataFrame, size: Column, source: Column, key: Column, mix: Mix = Mix()) -> DataFrame:
-    """All columns of ``docs`` as struct ``doc``, with ``source``, ``size``, ``source_size``,
-    ``target``, ``key`` (the shuffled order) and ``before`` (words of the source up to
-    and including this row). Written to the shared folder."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), source.cast("string").alias("source"), size.alias("size"), F.md5(key.cast("string")).alias("key"))
-    rows = written(rows.withColumn("cell", F.substring("key", 1, CELL_DIGITS)), "mix-sized")
-    cells = rows.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
-    sums = written(cells, "mix-cells")
+def _sized(docs: DataFrame, size: Column, source: Column, key: Column, carry: bool) -> DataFrame:
+    """``source``, ``size``, ``key`` (the shuffled order) and ``cell`` of every row; with ``carry`` all
+    its columns as the struct ``doc``."""
+    doc = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")] if carry else []
+    rows = docs.select(*doc, source.cast("string").alias("source"), size.alias("size"), F.md5(F.coalesce(key.cast("string"), F.lit("null"))).alias("key"))
+    return rows.withColumn("cell", F.substring("key", 1, CELL_DIGITS))
+
+
+def _offsets(sized: DataFrame, mix: Mix) -> DataFrame:
+    """Words before each cell of a source (``s``, ``c``), with the source's size and target."""
+    sums = written(sized.groupBy("source", "cell").agg(F.sum("size").alias("cell_size")), "mix-cells")
     wanted = targets(sums.groupBy("source").agg(F.sum("cell_size").alias("source_size")), mix)
     earlier = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.withColumn("offset", F.coalesce(F.sum("cell_size").over(earlier), F.lit(0)))
     offsets = offsets.join(wanted.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
-    offsets = offsets.select(F.col("source").alias("s"), F.col("cell").alias("c"), "offset", "source_size", "target")
+    return written(offsets.select(F.col("source").alias("s"), F.col("cell").alias("c"), "offset", "source_size", "target"), "mix-offsets")
+
+
+def _queue(sized: DataFrame, offsets: DataFrame) -> DataFrame:
+    """``sized`` with ``source_size``, ``target`` and ``before``: words of the source up to and including the row."""
     in_cell = Window.partitionBy("source", "cell").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, 0)
-    joined = rows.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("cell") == F.col("c")))
-    queue = joined.withColumn("before", F.col("offset") + F.sum("size").over(in_cell))
-    return written(queue.drop("s", "c", "offset", "cell"), "mix-queue")
+    joined = sized.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("cell") == F.col("c")))
+    return joined.withColumn("before", F.col("offset") + F.sum("size").over(in_cell)).drop("s", "c", "offset", "cell")
 
 
 def copies(queue: DataFrame, mix: Mix = Mix()) -> DataFrame:
@@ -136,34 +142,38 @@ def cut_off(entries: DataFrame, budget: float) -> tuple | None:
     return last
 
 
-def merged(docs: DataFrame, size: Column, source: Column, key: Column, mix: Mix = Mix()) -> tuple[DataFrame, DataFrame, Column]:
-    """The queue, its copies, and the condition under which a copy is within the budget."""
-    queue = queued(docs, size, source, key, mix)
-    entries = copies(queue, mix)
+def _within(queue: DataFrame, mix: Mix) -> Column:
+    """The condition under which a copy is within the budget; ``queue`` is written."""
     total = queue.agg(F.sum("size")).first()[0] or 0
-    last = cut_off(entries, mix.budget * total)
+    last = cut_off(copies(queue, mix), mix.budget * total)
     if last is None:
-        return queue, entries, F.lit(False)
-    at = F.struct(*[F.lit(last[f]).alias(f) for f in ("finish", "source", "no_source", "key", "size", "round")])
-    return queue, entries, _order() <= at
+        return F.lit(False)
+    return _order() <= F.struct(*[F.lit(last[f]).alias(f) for f in ("finish", "source", "no_source", "key", "size", "round")])
 
 
 def mix_plan(docs: DataFrame, size: Column, source: Column, key: Column, mix: Mix = Mix()) -> DataFrame:
-    """``doc``, ``source``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` words of every row of ``docs``."""
-    queue, _, within = merged(docs, size, source, key, mix)
-    rounds = F.lit(0)
+    """``doc``, ``source``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` words of every
+    row of ``docs``, all of whose columns are written on the way: give it few."""
+    sized = written(_sized(docs, size, source, key, True), "mix-sized")
+    queue = written(_queue(sized, _offsets(sized, mix)), "mix-queue")
+    within = _within(queue, mix)
+    number = F.lit(0)
     for k in range(mix.rounds):
         done = F.col("before") + k * F.col("source_size")
         finish = F.coalesce(F.try_divide(done, F.col("target")), F.lit(0.0))
-        there = F.lit(True) if k == 0 else F.col("size") > 0
-        rounds = rounds + F.when(there & F.col(f"in{k}"), 1).otherwise(0)
         queue = queue.withColumn("finish", finish).withColumn("round", F.lit(k)).withColumn(f"in{k}", within)
-    out = queue.withColumn("copies", rounds.cast("int"))
+        number = number + F.when(F.col(f"in{k}") & (F.lit(k == 0) | (F.col("size") > 0)), 1).otherwise(0)
+    out = queue.withColumn("copies", number.cast("int"))
     return out.select("doc", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
 def mixed(docs: DataFrame, size: Column, source: Column, key: Column, mix: Mix = Mix()) -> DataFrame:
-    """The mix itself: the columns of ``docs``, a row per copy taken, range-sorted by finish time."""
-    _, entries, within = merged(docs, size, source, key, mix)
-    ordered = entries.where(within).orderBy("finish", "source", "key", "round")
-    return ordered.select("doc.*")
+    """The mix itself: the columns of ``docs``, a row per copy taken, range-sorted by finish time.
+
+    The cut-off is found without the documents, which then go through the queue once.
+    """
+    sized = written(_sized(docs, size, source, key, False), "mix-sized")
+    offsets = _offsets(sized, mix)
+    within = _within(written(_queue(sized, offsets), "mix-queue"), mix)
+    entries = copies(_queue(_sized(docs, size, source, key, True), offsets), mix).where(within)
+    return entries.orderBy("finish", "source", "key", "round").select("doc.*")

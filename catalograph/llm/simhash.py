@@ -188,23 +188,49 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4, radius: int = 4, carry: bool = True) -> DataFrame:
-    """``doc`` (struct of all columns, or of the id alone without ``carry``), ``print`` (fingerprint as
-    a signed number), ``component_id`` (smallest id reachable over links) and ``is_first`` (true
-    for one row of each component) of every row."""
-    kept = docs.columns if carry else [doc_id]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), fingerprint_column(F.col(f"`{text}`"), shingle).alias("print"))
-    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "simhash-prints")
-    # The smallest id and, where rows repeat it, one of its rows.
-    own = F.col(f"doc.`{doc_id}`")
-    first = F.min(F.struct(own.isNull().alias("none"), own.alias("id"), "row"))
+def _grouped(docs: DataFrame, text: str, doc_id: str, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Written: ``(id, print)`` of every row, and ``(print, first, root)`` of every fingerprint with its
+    smallest id and the fingerprint that names its component."""
+    rows = docs.select(F.col(f"`{doc_id}`").alias("id"), fingerprint_column(F.col(f"`{text}`"), shingle).alias("print"))
+    rows = written(rows, "simhash-prints")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id"))
     firsts = written(rows.groupBy("print").agg(first.alias("first")), "simhash-distinct")
     stars = components(links(firsts.select("print"), radius))
     rooted = firsts.join(stars.toDF("print", "root"), "print", "left").withColumn("root", F.coalesce("root", "print"))
-    rooted = written(rooted, "simhash-roots")
+    return rows, written(rooted, "simhash-roots")
+
+
+def _with_prints(docs: DataFrame, text: str, doc_id: str, shingle: int) -> DataFrame:
+    """Every row as the struct ``doc``, with ``id`` and ``print``. Fingerprints are computed again
+    rather than read from a second copy of all texts."""
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    return docs.select(doc, F.col(f"`{doc_id}`").alias("id"), fingerprint_column(F.col(f"`{text}`"), shingle).alias("print"))
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4, radius: int = 4, carry: bool = True) -> DataFrame:
+    """``doc`` (struct of all columns, or of the id alone without ``carry``), ``print`` (fingerprint as
+    a signed number) and ``component_id`` (smallest id reachable over links) of every row."""
+    rows, rooted = _grouped(docs, text, doc_id, shingle, radius)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("least"))
-    named = rooted.join(smallest, "root").select("print", F.col("least.id").alias("component_id"), F.col("least.row").alias("first_row"))
-    return rows.join(named, "print").select("doc", "print", "component_id", (F.col("row") == F.col("first_row")).alias("is_first"))
+    named = rooted.join(smallest, "root").select("print", F.col("least.id").alias("component_id"))
+    if carry:
+        rows = _with_prints(docs, text, doc_id, shingle)
+    else:
+        rows = rows.withColumn("doc", F.struct(F.col("id").alias(doc_id)))
+    return rows.join(named, "print").select("doc", "print", "component_id")
+
+
+def deduplicated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4, radius: int = 4) -> DataFrame:
+    """One row of each component: the one with the smallest id, and where rows repeat that id and
+    fingerprint, the one whose text has the smallest hash."""
+    _, rooted = _grouped(docs, text, doc_id, shingle, radius)
+    own = F.coalesce(F.col("id").cast("string"), F.lit("null")).alias("own")
+    least = rooted.groupBy("root").agg(F.min(F.struct("first", "print")).alias("least"))
+    kept = least.select("least.print", "least.first.id").select("print", own)
+    rows = _with_prints(docs, text, doc_id, shingle).select("doc", "print", own, F.xxhash64(f"doc.`{text}`").alias("tie"))
+    # Equal ids with equal fingerprints are few; they meet where the join has put them.
+    one = rows.join(kept, ["print", "own"]).groupBy("print", "own").agg(F.min_by("doc", "tie").alias("doc"))
+    return one.select("doc.*")
 
 
 def hex_digits(prints: Column) -> Column:

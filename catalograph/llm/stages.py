@@ -23,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest id."""
-    return simhash.near_duplicates(docs, shingle=4, radius=4).where("is_first").select("doc.*")
+    return simhash.deduplicated(docs, shingle=4, radius=4)
 
 
 def substring_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ def brute(rows, mix):
     for _, s, n in rows:
         total[s] = total.get(s, 0) + n
     target = reshared(total, mix)
-    md5 = lambda i: hashlib.md5(str(i).encode()).hexdigest() if i is not None else ""
+    md5 = lambda i: hashlib.md5(("null" if i is None else str(i)).encode()).hexdigest()
     queue = []
     for s in total:
         upto = 0

@@ -47,10 +47,12 @@ def check(df, shingle=4, radius=4):
             ids.append(r.doc_id)
     expected = sorted(((r.doc_id, f"{p:016x}", min(smallest[of[p]], default=None)) for r, p in zip(rows, prints)), key=repr)
     out = simhash.near_duplicates(df, shingle=shingle, radius=radius)
-    got = out.select("doc.doc_id", simhash.hex_digits(simhash.F.col("print")).alias("f"), "component_id", "is_first").collect()
-    assert sorted(((r.doc_id, r.f, r.component_id) for r in got), key=repr) == expected
-    assert sum(r.is_first for r in got) == len(set(of.values()))
-    assert all(r.doc_id == r.component_id for r in got if r.is_first)
+    for frame in (out, simhash.near_duplicates(df, shingle=shingle, radius=radius, carry=False)):
+        got = frame.select("doc.doc_id", simhash.hex_digits(simhash.F.col("print")).alias("f"), "component_id").collect()
+        assert sorted(((r.doc_id, r.f, r.component_id) for r in got), key=repr) == expected
+    one = simhash.deduplicated(df, shingle=shingle, radius=radius)
+    assert one.columns == df.columns
+    assert sorted(repr(r.doc_id) for r in one.collect()) == sorted(repr(min(smallest[c], default=None)) for c in smallest)
 
 
 def test_documents(spark):
@@ -64,7 +66,7 @@ def test_awkward(spark):
 
 
 def test_empty(spark):
-    assert simhash.near_duplicates(empty(spark)).count() == 0
+    assert simhash.near_duplicates(empty(spark)).count() == simhash.deduplicated(empty(spark)).count() == 0
 
 
 @pytest.mark.parametrize("tree", [5, 2000])
