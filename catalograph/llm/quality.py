@@ -124,7 +124,8 @@ aggregate(
 def cutoffs(scored: DataFrame, labels: DataFrame, doc_id: str, label_id: str, quality: str, risk: Risk = Risk()) -> DataFrame:
     """Certified cut-offs: ``stratum``, ``rule``, ``cutoff``, ``n_good``, ``n_lost``, ``p_value``, ``junk_caught``.
 
-    ``scored`` is :func:`with_counts`'s result. At most one row per stratum and rule.
+    ``scored`` is :func:`with_counts`'s result, written: else its counts would be computed again
+    for every use. At most one row per stratum and rule.
     """
     known = labels.groupBy(F.col(label_id).alias("label_id")).agg(F.min(quality).alias("good"))
     known = known.where("label_id IS NOT NULL AND good IS NOT NULL")

@@ -80,14 +80,14 @@ def test_certified_rules_reject_junk_and_keep_good(spark):
 
 def test_no_rule_without_enough_evidence(spark):
     docs, labels = _corpus(spark, 100, 40, 0.0)
-    scored = quality.with_counts(docs, F.col("text"))
+    scored = quality.written(quality.with_counts(docs, F.col("text")), "counts")
     assert quality.cutoffs(scored, labels, "doc_id", "doc_id", "quality").count() == 0
 
 
 def test_risk_holds(spark):
     """A tenth of the good documents has symbols: cut-offs that would reject them are not certified."""
     docs, labels = _corpus(spark, 2000, 200, 0.1)
-    scored = quality.with_counts(docs, F.col("text"))
+    scored = quality.written(quality.with_counts(docs, F.col("text")), "counts")
     found = quality.cutoffs(scored, labels, "doc_id", "doc_id", "quality").collect()
     risk = quality.Risk()
     assert found and all(r.p_value <= risk.error / 12 and r.n_lost <= risk.risk * r.n_good for r in found)
