@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,3 +57,20 @@ def free_name(df: DataFrame, wanted: str) -> str:
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def tidy(work):
+    """A task's generator that, when it ends, gives freed memory back to the system: Spark
+    keeps the worker process for later tasks, whose memory it would add to."""
+
+    @functools.wraps(work)
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim is not None:
+                trim(0)
+
+    return run

@@ -35,10 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalograph.llm.common import tidy
+
 CAPACITY = 4096
 GROUP = 12 << 20  # bytes of ids packed together
 KNOWN = 300_000  # pieces whose ids a task keeps at most
-SLICE = 2 << 20  # characters encoded at once
+SLICE = 4 << 20  # characters encoded at once
 
 
 class OpenWindows:
@@ -96,8 +98,20 @@ _UNUSUAL = re.compile("[^\t-\r -~\xa1-\u012f\u0131-\u024f\u2010-\u2027]|<\\|")
 _LETTER, _NUMBER = (
     "".join(c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == kind).replace("-", r"\-") for kind in "LN"
 )
-# Fixed value: the tokenizer's own splitting pattern, for these characters.
-_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\\s{_LETTER}{_NUMBER}]+")
+# Fixed value: the tokenizer's own splitting pattern, for these characters (letters before the
+# contractions, which start otherwise).
+_PIECE = re.compile(f"[{_LETTER}]+|'s|'t|'re|'ve|'m|'ll|'d|[{_NUMBER}]|[^\\s{_LETTER}{_NUMBER}]+")
+
+
+def _usual(text: str) -> bool:
+    """Only characters that are split here as the tokenizer splits them?"""
+    if "<|" not in text and text.replace("\n", " ").isprintable():
+        try:
+            text.encode("latin-1")
+            return True
+        except UnicodeEncodeError:
+            pass
+    return not _UNUSUAL.search(text)
 
 
 class PieceEncoder:
@@ -127,13 +141,13 @@ class PieceEncoder:
             self.known.update(zip(part, (raw[a:b] for a, b in zip([0, *stops], stops))))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        pieces = [None if _UNUSUAL.search(t) else _PIECE.findall(t.lower()) for t in texts]
+        pieces = [_PIECE.findall(t.lower()) if _usual(t) else None for t in texts]
         met = set(chain.from_iterable(filter(None, pieces)))
         new = met.difference(self.known)
         if len(self.known) + len(new) > KNOWN:
             self.known.clear()
             new = met
-        self._learn(sorted(new))
+        self._learn(list(new))
         look = self.known.__getitem__
         return [self._ids(t).tobytes() if p is None else b"".join(map(look, p)) for t, p in zip(texts, pieces)]
 
@@ -215,10 +229,11 @@ def pack(docs: DataFrame, tokenizer_path: Callable[[], str], end_id: int, text:
                     held, size = [], 0
         if held:
             yield _packed(held, capacity, number)[0]
+        encode.known.clear()  # what the next task meets is mostly new
 
     fields = [("start", T.LongType()), ("length", T.LongType()), ("ids", T.BinaryType()), ("doc_tokens", T.LongType()), ("sequence_id", T.LongType()), ("offset", T.LongType())]
     schema = T.StructType([T.StructField("doc", rows.schema["doc"].dataType), *[T.StructField(n, t) for n, t in fields]])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def word_bpe() -> str:

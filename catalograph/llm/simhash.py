@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalograph.llm.common import partitions, written
+from catalograph.llm.common import partitions, tidy, written
 
 SEED = 42
 TREE = 2000  # fingerprints in one tree
@@ -62,12 +62,11 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 
 def fingerprint_column(text: Column, shingle: int) -> Column:
-    @F.pandas_udf("long")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    return run(text)
+    return F.pandas_udf(tidy(run), "long")(text)
 
 
 class BkTree:
@@ -162,7 +161,7 @@ def links(prints: DataFrame, radius: int) -> DataFrame:
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def _normal(edges: DataFrame) -> DataFrame:

@@ -34,6 +34,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalograph.llm.common import partitions, written
+from catalograph.llm.common import partitions, tidy, written
 
 WINDOW = 13
 BATCH = 4 << 20  # bytes of text in a batch
@@ -55,17 +56,19 @@ INVERSES = tuple(pow(b, -1, 1 << 64) for b in BASES)
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_powers: dict[int, np.ndarray] = {}
+BLOCK = 1 << 20  # bytes hashed at once
+
+
+@cache
+def _powers(base: int) -> np.ndarray:
+    """``base**i`` modulo 2**64 for the places of a block."""
+    return _power(base, BLOCK)
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    """``base**i`` modulo 2**64 for i below n, kept for the next batch."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        factors = np.full(max(n, BATCH + (BATCH >> 3)), base, np.uint64)
-        factors[0] = 1
-        _powers[base] = have = np.multiply.accumulate(factors)
-    return have[:n]
+    factors = np.full(n, base, np.uint64)
+    factors[:1] = 1
+    return np.multiply.accumulate(factors)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -89,11 +92,25 @@ class Suffixes:
 
 
 def _word_hashes(data: np.ndarray, space: np.ndarray, starts: np.ndarray, which: int) -> np.ndarray:
-    values = data.astype(np.uint64) + np.uint64(1)
-    values[space] = 0
-    values *= _power(BASES[which], len(data))
-    sums = np.add.reduceat(values, starts) if len(starts) else np.zeros(0, np.uint64)
-    return _mixed(sums * _power(INVERSES[which], len(data))[starts])
+    """A polynomial hash of each word's bytes, the same wherever the word stands."""
+    out = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        at = int(starts[first])
+        last = int(np.searchsorted(starts, at + BLOCK, side="right"))
+        end = int(starts[last]) if last < len(starts) else len(data)
+        if end - at > BLOCK and last > first + 1:  # the last word may reach beyond: it starts the next block
+            last -= 1
+            end = int(starts[last])
+        n = end - at
+        up, down = (_powers(b) if n <= BLOCK else _power(b, n) for b in (BASES[which], INVERSES[which]))
+        values = data[at:end].astype(np.uint64) + np.uint64(1)
+        values[space[at:end]] = 0
+        values *= up[:n]
+        places = starts[first:last] - at
+        out[first:last] = np.add.reduceat(values, places) * down[places]
+        first = last
+    return _mixed(out)
 
 
 def suffixes(texts: list[str | None], ids: list[int | None], window: int, n_hashes: int) -> Suffixes:
@@ -165,7 +182,7 @@ def _pack(text: str, doc_id: str, window: int):
         if held:
             yield flush()
 
-    return run
+    return tidy(run)
 
 
 def _packed(docs: DataFrame, text: str, doc_id: str, window: int) -> DataFrame:
@@ -289,7 +306,7 @@ def _send_keys(text: str, doc_id: str, window: int, lengths: np.ndarray):
                     number = np.full(len(blobs), batch.column("batch")[row].as_py())
                     yield pa.RecordBatch.from_arrays([pa.array(groups[cuts[:-1]]), pa.array(number), pa.array(blobs, pa.binary())], names=["grp", "batch", "blob"])
 
-    return run
+    return tidy(run)
 
 
 def _send_candidates(text: str, doc_id: str, window: int, lengths: np.ndarray):
@@ -307,7 +324,7 @@ def _send_candidates(text: str, doc_id: str, window: int, lengths: np.ndarray):
                     number = np.full(len(blobs), batch.column("batch")[row].as_py())
                     yield pa.RecordBatch.from_arrays([pa.array(groups[cuts[:-1]]), pa.array(number), pa.array(blobs, pa.binary())], names=["grp", "batch", "blob"])
 
-    return run
+    return tidy(run)
 
 
 def _shared_paths(blobs: list[bytes]) -> list[np.ndarray]:
@@ -358,7 +375,7 @@ def _answers(sent: DataFrame, judge) -> DataFrame:
             yield close(numbers, blobs, group)
 
     dealt = sent.repartition(partitions(sent.sparkSession), "grp").sortWithinPartitions("grp", "batch")
-    bits = dealt.mapInArrow(run, "batch long, grp long, n int, bits binary")
+    bits = dealt.mapInArrow(tidy(run), "batch long, grp long, n int, bits binary")
     return bits.groupBy("batch").agg(F.collect_list(F.struct("grp", "n", "bits")).alias("answers"))
 
 
@@ -377,7 +394,7 @@ def _cut_out(text: str, doc_id: str, window: int, spacing: bool):
                 gone = (claimed[left.entry] | (left.ids > left.least[left.entry])) if len(left.key) else np.zeros(0, bool)
                 yield _rest(docs, found, found.at[left.window[gone]], window, spacing)
 
-    return run
+    return tidy(run)
 
 
 def _rest(docs: pa.StructArray, found: Suffixes, gone: np.ndarray, window: int, spacing: bool) -> pa.RecordBatch:
