@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalograph.llm.common import partitions, tidy, written
+from catalograph.llm.common import partitions, shared_folder, tidy, written
 
 WINDOW = 13
 BATCH = 4 << 20  # bytes of text in a batch
@@ -200,8 +200,12 @@ def _packed(docs: DataFrame, text: str, doc_id: str, window: int) -> DataFrame:
     packed = rows.mapInArrow(_pack(text, doc_id, window), schema)
     packed = packed.withColumn("batch", F.monotonically_increasing_id()).drop("number")
     name = f"substring_batches_{uuid.uuid4().hex}"
-    packed.write.bucketBy(partitions(spark), "batch").option("compression", "zstd").format("parquet").saveAsTable(name)
-    return spark.table(name)
+    writer = packed.write.bucketBy(partitions(spark), "batch").format("parquet").option("compression", "zstd")
+    writer.option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name)
+    table = spark.table(name)
+    # Buckets need a catalog entry to be written; the plan has what it needs, and the files stay.
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def prefix_lengths(counts: dict[int, int], limit: int) -> np.ndarray:
