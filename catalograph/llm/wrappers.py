@@ -33,14 +33,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalograph.llm.common import written
-from catalograph.llm.htmltree import Block, parse, shown
+from catalograph.llm.htmltree import Block, may_hold, parse, shown
 
 MERGED = 64  # parts in which a host's wrappers are merged first
 HELD = 2000  # hosts a task holds wrappers of at once
 SHARED = 3  # pages from which on equal text counts as the template's
 
 # A group: [name, seen, repeated, chrome, main, characters, linked, groups inside].
-# Of a text, the name is "#" and the last item the text, or None for a slot.
+# Of a text, the name is "#" and the last item the text, or None for a slot. Chrome is 2
+# where the article cannot be inside.
 NAME, SEEN, REPEATED, CHROME, MAIN, CHARS, LINKED, INSIDE = range(8)
 
 
@@ -56,12 +57,13 @@ def group_of(block: Block) -> list:
         if isinstance(kid, list):
             text = " ".join("".join(kid).split())
             if text:
-                inside.append(["#", 1, False, False, False, len(text), 0, text])
+                inside.append(["#", 1, False, 0, False, len(text), 0, text])
         elif kid.tag not in ("head", "hr"):
             inside.append(group_of(kid))
     chars = sum(g[CHARS] for g in inside)
     linked = block.links + sum(g[LINKED] for g in inside)
-    return [block.name, 1, False, block.chrome, block.main, chars, min(linked, chars), folded(inside)]
+    chrome = 0 if not block.chrome else 1 if may_hold(block) else 2
+    return [block.name, 1, False, chrome, block.main, chars, min(linked, chars), folded(inside)]
 
 
 def folded(groups: list[list]) -> list[list]:
@@ -87,7 +89,7 @@ def merged(a: list, b: list) -> list:
         inside = a[INSIDE] if a[INSIDE] == b[INSIDE] else None
     else:
         inside = aligned(a[INSIDE], b[INSIDE])
-    return [a[NAME], a[SEEN] + b[SEEN], a[REPEATED] or b[REPEATED], a[CHROME] or b[CHROME], a[MAIN] or b[MAIN], a[CHARS] + b[CHARS], a[LINKED] + b[LINKED], inside]
+    return [a[NAME], a[SEEN] + b[SEEN], a[REPEATED] or b[REPEATED], max(a[CHROME], b[CHROME]), a[MAIN] or b[MAIN], a[CHARS] + b[CHARS], a[LINKED] + b[LINKED], inside]
 
 
 def aligned(a: list[list], b: list[list]) -> list[list]:
@@ -123,19 +125,35 @@ def expression(group: list, within: int | None = None) -> str:
     return f"({out})?" if within is not None and group[SEEN] < within else out
 
 
-def _running(group: list, pages: int) -> int:
-    """Characters of running text: in slots, unlinked, outside what is not the article."""
+def _running(group: list, pages: int, chrome: int = 1) -> int:
+    """Characters of running text: in slots, unlinked, outside what is marked as ``chrome`` or more."""
     if group[NAME] == "#":
         template = group[INSIDE] is not None and pages >= SHARED and group[SEEN] >= pages
         return 0 if template else group[CHARS]
-    if group[CHROME]:
+    if group[CHROME] >= chrome:
         return 0
-    return max(0, sum(_running(g, pages) for g in group[INSIDE]) - group[LINKED])
+    return max(0, sum(_running(g, pages, chrome) for g in group[INSIDE]) - group[LINKED])
+
+
+def _opened(wrapper: list) -> None:
+    """Drop the chrome mark of what holds most of the text that differs between pages."""
+    pages = wrapper[SEEN]
+    whole = _running(wrapper, pages, 2)
+
+    def look(group: list) -> None:
+        for kid in group[INSIDE]:
+            if kid[NAME] != "#" and kid[CHROME] < 2 and _running(kid, pages, 2) * 2 > whole:
+                kid[CHROME] = 0
+                look(kid)
+
+    if pages >= SHARED:
+        look(wrapper)
 
 
 def article_path(wrapper: list) -> list[str]:
     """Names from the page's root to the article."""
     pages = wrapper[SEEN]
+    _opened(wrapper)
     found: list[tuple[bool, int, list[str]]] = []
 
     def look(group: list, path: list[str]) -> None:

@@ -21,6 +21,31 @@ def test_article_without_its_surroundings():
     assert wrappers.main_text(PAGE, None) == "Title & more\nFirst paragraph goes on link.\nSecond <b> bold\none\ntwo"
 
 
+def test_words_in_longer_names_and_anchors_are_no_chrome():
+    inside = '<h2 id="search">Search</h2><section id="related-work"><h2>Related work</h2><p>Others did it.</p></section><p class="social-science">A field.</p><section id="notice"><p>Note <a id="legal">this</a>.</p></section>'
+    expected = "T\nSearch\nRelated work\nOthers did it.\nA field.\nNote this."
+    article = f'<article><h1>T</h1>{inside}<div class="related-posts">No</div><div id="siteFooter">No</div></article>'
+    assert wrappers.main_text(article, None) == expected
+    # What is around the article is never chrome.
+    for page in ('<div class="layout has-sidebar">{}</div>', '<form id="aspnetForm">{}</form>', '<body class="search" style="visibility:hidden"><div class="sidebar">{}</div><footer>No</footer></body>'):
+        assert wrappers.main_text(page.format(article), None) == expected
+    form = '<form id="aspnetForm"><div id="content"><p>The text of the page.</p></div><div class="ads">No</div></form>'
+    assert wrappers.main_text(form, None) == "The text of the page."
+    assert wrappers.main_text('<article><div class="post social"><p>All the text there is.</p></div><div class="social">Share</div></article>', None) == "All the text there is."
+    # A teaser beside more text is still a teaser.
+    teaser = "<body><div><p>The text of the page, which has no mark of its own.</p></div><aside><article><p>Read this</p></article></aside></body>"
+    assert wrappers.main_text(teaser, None) == "The text of the page, which has no mark of its own."
+
+
+def test_chrome_around_most_of_the_text_of_a_host():
+    page = '<body><div class="sidebar"><p>{} is the text of the page</p></div><div class="notice">Words of the host that are the same everywhere</div></body>'
+    whole = None
+    for x in "xyz":
+        own = wrappers.group_of(htmltree.parse(page.format(x)))
+        whole = own if whole is None else wrappers.merged(whole, own)
+    assert wrappers.main_text(page.format("x"), wrappers.article_path(whole)) == "x is the text of the page"
+
+
 def test_pages_without_article_element():
     page = '<body><div class="top-menu"><a href=1>a</a> <a href=2>b</a></div><div><div>{}</div><div class="ads">buy</div></div><p>{}</p></body>'
     a, b, c = (page.format(f"<p>{x} text of the page that is long enough</p><p>{x} again</p>", "Always the same words at the end of every page of this host, longer than the text itself is, and longer still") for x in "xyz")
