@@ -105,6 +105,13 @@ class Block:
         return self.tag in CHROME_TAGS or bool(self.marks) or bool(self.anchor)
 
 
+def key(block: Block) -> str:
+    """A block's name with its mark: blocks of one key are all chrome, all main or neither."""
+    if block.chrome:
+        return block.name + (".:chrome" if may_hold(block) else ".:never")
+    return block.name + (".:main" if block.main and block.tag not in MAIN_TAGS else "")
+
+
 def _chrome_words(mark: str) -> set[str]:
     """Chrome words among the tokens of a class, id or role: a token counts as a whole, or if
     all its parts are such words or plain ones."""

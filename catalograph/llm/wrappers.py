@@ -33,13 +33,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalograph.llm.common import written
-from catalograph.llm.htmltree import Block, may_hold, parse, shown
+from catalograph.llm.htmltree import Block, key, may_hold, parse, shown
 
 MERGED = 64  # parts in which a host's wrappers are merged first
 HELD = 2000  # hosts a task holds wrappers of at once
 SHARED = 3  # pages from which on equal text counts as the template's
 
-# A group: [name, seen, repeated, chrome, main, characters, linked, groups inside].
+# A group: [name with mark, seen, repeated, chrome, main, characters, linked, groups inside].
 # Of a text, the name is "#" and the last item the text, or None for a slot. Chrome is 2
 # where the article cannot be inside.
 NAME, SEEN, REPEATED, CHROME, MAIN, CHARS, LINKED, INSIDE = range(8)
@@ -63,7 +63,7 @@ def group_of(block: Block) -> list:
     chars = sum(g[CHARS] for g in inside)
     linked = block.links + sum(g[LINKED] for g in inside)
     chrome = 0 if not block.chrome else 1 if may_hold(block) else 2
-    return [block.name, 1, False, chrome, block.main, chars, min(linked, chars), folded(inside)]
+    return [key(block), 1, False, chrome, block.main, chars, min(linked, chars), folded(inside)]
 
 
 def folded(groups: list[list]) -> list[list]:
@@ -181,7 +181,7 @@ def article_path(wrapper: list) -> list[str]:
 def at_path(block: Block, path: list[str]) -> list[Block]:
     if not path:
         return [block]
-    return [b for kid in block.kids if isinstance(kid, Block) and kid.name == path[0] for b in at_path(kid, path[1:])]
+    return [b for kid in block.kids if isinstance(kid, Block) and key(kid) == path[0] for b in at_path(kid, path[1:])]
 
 
 def main_text(html: str | None, path: list[str] | None) -> str:

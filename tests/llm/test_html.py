@@ -46,6 +46,14 @@ def test_chrome_around_most_of_the_text_of_a_host():
     assert wrappers.main_text(page.format("x"), wrappers.article_path(whole)) == "x is the text of the page"
 
 
+def test_neighbours_marked_by_ids_only():
+    page = '<body><div id=header>Site</div><div id=content><article><header><h1>{0}</h1></header><p>{0} text</p></article></div><div><p>An unmarked teaser</p></div><div id=sidebar>Side</div></body>'
+    whole = wrappers.merged(*(wrappers.group_of(htmltree.parse(page.format(x))) for x in "xy"))
+    path = wrappers.article_path(whole)
+    assert path[-1] == "article"
+    assert wrappers.main_text(page.format("x"), path) == wrappers.main_text(page.format("x"), None) == "x\nx text"
+
+
 def test_pages_without_article_element():
     page = '<body><div class="top-menu"><a href=1>a</a> <a href=2>b</a></div><div><div>{}</div><div class="ads">buy</div></div><p>{}</p></body>'
     a, b, c = (page.format(f"<p>{x} text of the page that is long enough</p><p>{x} again</p>", "Always the same words at the end of every page of this host, longer than the text itself is, and longer still") for x in "xyz")
