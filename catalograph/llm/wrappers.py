@@ -4,10 +4,12 @@ A wrapper is a union-free regular expression over the page's blocks: elements, s
 text that differs between pages, optional groups ``( )?`` and repeated groups ``( )+``. It
 is inferred by alignment. A page's own blocks are folded first, neighbours of the same
 kind into a repeated group. Then pages are aligned one after the other: where names match,
-the alignment goes on inside; text that differs becomes a slot; what only one side has
-becomes optional. Two wrappers align in the same way, so every task infers wrappers of its
+the alignment goes on inside; text that differs becomes a slot; elements of one tag in the same
+place match with the classes that they share; what only one side has becomes optional. Two wrappers align in the same way, so every task infers wrappers of its
 own pages and these are merged per host, in two levels so that a host of any size is
-spread over tasks.
+spread over tasks. A wrapper holds long texts as hashes, and where it has more than
+``GROUPS`` groups, or a list more than ``WIDE``, groups of one name or kind become one: it
+does not grow with the number of pages.
 
 The wrapper tells where the article is: its ``article`` or ``main`` element, or one named
 so, with the most text; else the block that holds the most text in slots, outside menus,
@@ -23,6 +25,7 @@ kept beside the new ``main_text``.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Iterator
 
@@ -37,6 +40,9 @@ from catalograph.llm.htmltree import Block, key, may_hold, parse, shown
 
 MERGED = 64  # parts in which a host's wrappers are merged first
 HELD = 2000  # hosts a task holds wrappers of at once
+WIDE = 100  # groups in a list from which on those of one name become one
+GROUPS = 5000  # groups of a wrapper from which on its lists are made shorter
+LITERAL = 80  # characters up to which a wrapper holds a text itself
 SHARED = 3  # pages from which on equal text counts as the template's
 
 # A group: [name with mark, seen, repeated, chrome, main, characters, linked, groups inside].
@@ -51,13 +57,18 @@ def host(url: Column) -> Column:
     return F.when(found != "", found)
 
 
+def _short(text: str) -> str:
+    """A text that tells the same whether two are equal, of bounded length."""
+    return text if len(text) <= LITERAL else f"{text[:40]}... {hashlib.md5(text.encode('utf-8', 'replace')).hexdigest()}"
+
+
 def group_of(block: Block) -> list:
     inside = []
     for kid in block.kids:
         if isinstance(kid, list):
             text = " ".join("".join(kid).split())
             if text:
-                inside.append(["#", 1, False, 0, False, len(text), 0, text])
+                inside.append(["#", 1, False, 0, False, len(text), 0, _short(text)])
         elif kid.tag not in ("head", "hr"):
             inside.append(group_of(kid))
     chars = sum(g[CHARS] for g in inside)
@@ -70,49 +81,130 @@ def folded(groups: list[list]) -> list[list]:
     """Neighbours of one name, alone or in pairs, become one repeated group."""
     out: list[list] = []
     for group in groups:
-        if out and out[-1][NAME] == group[NAME] != "#":
+        if out and _same(out[-1], group):
             out[-1] = merged(out[-1], group)
             out[-1][REPEATED] = True
-        elif len(out) >= 3 and out[-3][NAME] == out[-1][NAME] and out[-2][NAME] == group[NAME] and "#" not in (group[NAME], out[-1][NAME]):
+        elif len(out) >= 3 and _same(out[-3], out[-1]) and _same(out[-2], group):
             # a b a b: the second pair goes into the first.
             last = out.pop()
             out[-2], out[-1] = merged(out[-2], last), merged(out[-1], group)
             out[-2][REPEATED] = out[-1][REPEATED] = True
         else:
             out.append(group)
-    return out
+    return narrowed(out, WIDE)
+
+
+def _same(a: list, b: list) -> bool:
+    # Groups named by tag only, of one page each, are different parts of it.
+    return a[NAME] == b[NAME] != "#" and (a[REPEATED] or b[REPEATED] or not a[NAME].endswith(".*"))
+
+
+def narrowed(groups: list[list], wide: int) -> list[list]:
+    """At most ``wide`` groups if names or, failing that, tags and marks are so few: those that
+    agree become one repeated group where the first stands."""
+    for label in (lambda g: g[NAME], kind):
+        if len(groups) <= wide:
+            return groups
+        out: dict[str, list] = {}
+        for group in groups:
+            one = label(group)
+            if one in out:
+                out[one] = merged(out[one], group)
+                out[one][REPEATED] = True
+            else:
+                out[one] = group
+        groups = list(out.values())
+    return groups
+
+
+def kind(group: list) -> str:
+    """A group's tag and mark."""
+    parts = group[NAME].split(".")
+    return ".".join([parts[0], *(p for p in parts[1:] if p[:1] == ":")])
+
+
+def named(a: str, b: str) -> str:
+    """The name of two groups of one kind: the classes of both, open to others."""
+    if a == b:
+        return a
+    first, there = a.split("."), set(b.split(".")[1:])
+    return ".".join([first[0], *(c for c in first[1:] if c in there and c != "*"), "*"])
 
 
 def merged(a: list, b: list) -> list:
-    """One group for two of the same name."""
+    """One group for two of the same kind."""
     if a[NAME] == "#":
         inside = a[INSIDE] if a[INSIDE] == b[INSIDE] else None
     else:
         inside = aligned(a[INSIDE], b[INSIDE])
-    return [a[NAME], a[SEEN] + b[SEEN], a[REPEATED] or b[REPEATED], max(a[CHROME], b[CHROME]), a[MAIN] or b[MAIN], a[CHARS] + b[CHARS], a[LINKED] + b[LINKED], inside]
-
-
-def aligned(a: list[list], b: list[list]) -> list[list]:
-    """Both lists as one: the longest common run of names is merged, the rest stays as it is
-    and is optional from then on, being seen less often than what holds it."""
-    if [g[NAME] for g in a] == [g[NAME] for g in b]:
-        return [merged(x, y) for x, y in zip(a, b)]
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i][NAME] == b[j][NAME] else max(best[i + 1][j], best[i][j + 1])
-    out, i, j = [], 0, 0
-    while i < len(a) and j < len(b):
-        if a[i][NAME] == b[j][NAME]:
-            out.append(merged(a[i], b[j]))
+    name = named(a[NAME], b[NAME])
+    return [name, a[SEEN] + b[SEEN], a[REPEATED] or b[REPEATED], max(a[CHROME], b[CHROME]), a[MAIN] or b[MAIN], a[CHARS] + b[CHARS], a[LINKED] + b[LINKED], inside]
+
+
+def _common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Places of the longest common run, ended by the two lengths."""
+    end = (len(a), len(b))
+    first = 0
+    while first < min(end) and a[first] == b[first]:
+        first += 1
+    last = 0
+    while last < min(end) - first and a[-1 - last] == b[-1 - last]:
+        last += 1
+    x, y = a[first : len(a) - last], b[first : len(b) - last]
+    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i in range(len(x) - 1, -1, -1):
+        for j in range(len(y) - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if x[i] == y[j] else max(best[i + 1][j], best[i][j + 1])
+    out, i, j = [(k, k) for k in range(first)], 0, 0
+    while i < len(x) and j < len(y):
+        if x[i] == y[j]:
+            out.append((first + i, first + j))
             i, j = i + 1, j + 1
         elif best[i + 1][j] >= best[i][j + 1]:
-            out.append(a[i])
             i += 1
         else:
-            out.append(b[j])
             j += 1
-    return folded(out + a[i:] + b[j:])
+    return out + [(len(a) - k, len(b) - k) for k in range(last, -1, -1)]
+
+
+def _zipped(a: list[list], b: list[list], label, rest) -> list[list]:
+    """Groups of the common run of labels merged, between them what ``rest`` makes of both sides."""
+    out, i, j = [], 0, 0
+    for x, y in _common([label(g) for g in a], [label(g) for g in b]):
+        out += rest(a[i:x], b[j:y])
+        if x < len(a):
+            out.append(merged(a[x], b[y]))
+        i, j = x + 1, y + 1
+    return out
+
+
+def aligned(a: list[list], b: list[list]) -> list[list]:
+    """Both lists as one: the longest common run of names is merged; between these, groups of
+    one kind in the same place. The rest stays as it is and is optional from then on, being
+    seen less often than what holds it."""
+    if [g[NAME] for g in a] == [g[NAME] for g in b]:
+        return [merged(x, y) for x, y in zip(a, b)]
+    by_kind = lambda x, y: _zipped(x, y, kind, lambda u, v: u + v) if x and y else x + y
+    return folded(_zipped(a, b, lambda g: g[NAME], by_kind))
+
+
+def size(group: list) -> int:
+    return 1 + sum(size(g) for g in group[INSIDE]) if group[NAME] != "#" else 1
+
+
+def bounded(wrapper: list) -> list:
+    """A wrapper of more than ``GROUPS`` groups with shorter lists of groups, by name or kind."""
+    wide = WIDE
+    while wide > 1 and size(wrapper) > GROUPS:
+        wide //= 2
+        wrapper = _bounded(wrapper, wide)
+    return wrapper
+
+
+def _bounded(group: list, wide: int) -> list:
+    if group[NAME] == "#":
+        return group
+    return [*group[:INSIDE], [_bounded(g, wide) for g in narrowed(group[INSIDE], wide)]]
 
 
 def expression(group: list, within: int | None = None) -> str:
@@ -159,7 +251,7 @@ def article_path(wrapper: list) -> list[str]:
     def look(group: list, path: list[str]) -> None:
         for kid in group[INSIDE]:
             if kid[NAME] != "#" and not kid[CHROME]:
-                here = [*path, kid[NAME]]
+                here = [*path, step(kid)]
                 if kid[MAIN]:
                     found.append((kid[NAME].split(".")[0] in ("article", "main"), _running(kid, pages), here))
                 look(kid, here)
@@ -175,13 +267,32 @@ def article_path(wrapper: list) -> list[str]:
         if not inner or most * 2 <= _running(group, pages):
             return path
         group = group[INSIDE][k]
-        path.append(group[NAME])
+        path.append(step(group))
 
 
 def at_path(block: Block, path: list[str]) -> list[Block]:
     if not path:
         return [block]
-    return [b for kid in block.kids if isinstance(kid, Block) and key(kid) == path[0] for b in at_path(kid, path[1:])]
+    kids = [kid for kid in block.kids if isinstance(kid, Block)]
+    name = path[0].removesuffix("+")
+    if not name.endswith(".*"):
+        return [b for kid in kids if key(kid) == name for b in at_path(kid, path[1:])]
+    found = [(kid.chars, at_path(kid, path[1:])) for kid in kids if fits(key(kid), name)]
+    if path[0] != name:
+        return [b for _, blocks in found for b in blocks]
+    # Of several that fit an element seen once a page, the one with the most text.
+    return max((f for f in found if f[1]), key=lambda f: f[0], default=(0, []))[1]
+
+
+def fits(name: str, step: str) -> bool:
+    """Whether a block has a step's tag, mark and classes, and maybe others."""
+    have, need = name.split("."), step.split(".")[:-1]
+    marks = lambda parts: [p for p in parts[1:] if p[:1] == ":"]
+    return have[0] == need[0] and marks(have) == marks(need) and set(need[1:]) <= set(have[1:])
+
+
+def step(group: list) -> str:
+    return group[NAME] + ("+" if group[REPEATED] and group[NAME].endswith(".*") else "")
 
 
 def main_text(html: str | None, path: list[str] | None) -> str:
@@ -213,7 +324,7 @@ def wrappers(pages: DataFrame, html: str, url: str) -> DataFrame:
         for batch in batches:
             for name, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 own = group_of(parse(page))
-                held[name] = merged(held[name], own) if name in held else own
+                held[name] = bounded(merged(held[name], own) if name in held else own)
                 if len(held) >= HELD:
                     yield flush()
                     held.clear()
@@ -226,7 +337,7 @@ def wrappers(pages: DataFrame, html: str, url: str) -> DataFrame:
         whole = None
         for text in parts["wrapper"]:
             group = json.loads(text)
-            whole = group if whole is None else merged(whole, group)
+            whole = group if whole is None else bounded(merged(whole, group))
         first = parts.iloc[:1]
         return first.assign(wrapper=json.dumps(whole), turn=0)
 

@@ -1,6 +1,8 @@
 """Wrapper inference and extraction."""
 
 import html as entities
+import json
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -54,6 +56,60 @@ def test_neighbours_marked_by_ids_only():
     assert wrappers.main_text(page.format("x"), path) == wrappers.main_text(page.format("x"), None) == "x\nx text"
 
 
+def _slug(rng):
+    return "".join(rng.choice("abcdefghijkl") for _ in range(7))
+
+
+def _varied(rng):
+    """A page whose classes and texts are its own, and its text."""
+    parts = [(rng.choice(["p", "h2", "pre", "blockquote"]), f"{_slug(rng)} goes on {_slug(rng)}") for _ in range(rng.randint(3, 12))]
+    inside = "".join(f'<{t} class="{_slug(rng)}">{x}</{t}>' for t, x in parts)
+    page = (
+        f'<body class="page {_slug(rng)}"><div class="css-{_slug(rng)}"><div class="top {_slug(rng)}">{_slug(rng)}</div><article class="post category-{_slug(rng)}">'
+        f'<h1>{_slug(rng)}</h1>{inside}</article></div><div class="{_slug(rng)}">Beside {_slug(rng)}</div></body>'
+    )
+    return page, "\n".join([re.search("<h1>(.*?)</h1>", page)[1], *(x for _, x in parts)])
+
+
+def test_wrapper_does_not_grow_with_pages():
+    rng = random.Random(3)
+    pages = [_varied(rng) for _ in range(400)]
+    whole, sizes = None, {}
+    for n, (page, _) in enumerate(pages, 1):
+        own = wrappers.group_of(htmltree.parse(page))
+        whole = wrappers.bounded(wrappers.merged(whole, own) if whole else own)
+        sizes[n] = len(json.dumps(whole))
+    assert sizes[400] < 1.2 * sizes[100]
+    path = wrappers.article_path(whole)
+    assert path[-1].startswith("article.post")
+    for page, text in pages:
+        articles = wrappers.at_path(htmltree.parse(page), path)
+        assert len(articles) == 1 and articles[0].tag == "article" and wrappers.main_text(page, path) == text
+
+
+def test_pages_without_article_element_and_with_classes_of_their_own():
+    rng = random.Random(4)
+    pages, whole = [], None
+    for _ in range(20):
+        page = f'<body><div class="{_slug(rng)}"><p>{_slug(rng)}</p></div><div class="{_slug(rng)}"><p>A longer text about {_slug(rng)}</p></div><div class="{_slug(rng)}"><p>Same end</p></div></body>'
+        pages.append(page)
+        own = wrappers.group_of(htmltree.parse(page))
+        whole = wrappers.merged(whole, own) if whole else own
+    path = wrappers.article_path(whole)
+    for page in pages:
+        assert wrappers.main_text(page, path) == re.search("A longer text about [a-z]+", page)[0]
+
+
+def test_long_texts_and_wide_lists_are_bounded():
+    rng = random.Random(5)
+    inside = "".join(f'<div class="{_slug(rng)}">{_slug(rng) * 500}</div><ul class="{_slug(rng)}"></ul>' for _ in range(2000))
+    group = wrappers.group_of(htmltree.parse(f"<body><main>{inside}</main></body>"))
+    assert wrappers.size(group) < 10 and len(json.dumps(group)) < 2000
+    same = [wrappers.group_of(htmltree.parse(f"<p>{'word ' * 100}{x}</p>")) for x in "aab"]
+    assert wrappers.merged(same[0], same[1])[wrappers.INSIDE][0][wrappers.INSIDE][0][wrappers.INSIDE] is not None
+    assert wrappers.merged(same[0], same[2])[wrappers.INSIDE][0][wrappers.INSIDE][0][wrappers.INSIDE] is None
+
+
 def test_pages_without_article_element():
     page = '<body><div class="top-menu"><a href=1>a</a> <a href=2>b</a></div><div><div>{}</div><div class="ads">buy</div></div><p>{}</p></body>'
     a, b, c = (page.format(f"<p>{x} text of the page that is long enough</p><p>{x} again</p>", "Always the same words at the end of every page of this host, longer than the text itself is, and longer still") for x in "xyz")
