@@ -3,13 +3,16 @@
 Rules reject a document whose score lies above a cut-off. Cut-offs are not chosen
 by hand: labelled documents are parted in two by a hash. One half ranks the
 candidate cut-offs by the junk they catch. The other, the holdout, certifies them
-per stratum: the exact binomial test must show that a cut-off rejects at most a
-share ``risk`` of good documents. Candidates of one rule are tested from the most
-lenient on and testing stops at the first failure, which needs no correction
-inside the chain; over rules and strata the error level is divided by the number
-of chains (Bonferroni), and the permitted risk is divided over the rules, because
-their rejections add up. With too few labels nothing can be certified and nothing
-is rejected.
+per stratum: the exact binomial test must show that the rules together reject at most
+a share ``risk`` of good documents. Only cut-offs that catch more junk than the one
+before are candidates. They are added one by one, those that cost the first half the
+fewest good documents first and lenient before strict, and testing stops at the first
+failure, which needs no correction inside the chain; the error level is divided over the
+strata (Bonferroni). With too few labels nothing can be certified and nothing is rejected.
+
+Without ``joint`` every rule has a chain of its own, lenient first, and the error level is
+divided over all chains and the permitted risk over the rules, because their rejections
+add up.
 
 Strata are bands of the word count, so their number is fixed.
 
@@ -38,6 +41,8 @@ class Risk:
 
     risk: float = 0.04
     error: float = 0.1
+    #: One test of all chosen rules together; else each rule has its share of the risk and its own test.
+    joint: bool = True
     #: Rule, score and candidate cut-offs, lenient first.
     grid: tuple[tuple[str, str, tuple[float, ...]], ...] = (
         ("symbols", "n_symbols / n_words", (2.0, 1.0, 0.7, 0.5, 0.35, 0.25, 0.15, 0.1, 0.05)),
@@ -121,6 +126,34 @@ aggregate(
 """
 
 
+def _joint(table: DataFrame, holdout: DataFrame, risk: Risk) -> DataFrame:
+    """Cut-offs certified together: of the rules added one by one, as many as pass."""
+    # Of each rule the steps that catch more junk than the step before.
+    steps = table.groupBy("stratum", "rule").agg(F.sort_array(F.collect_list(F.struct("step", "cutoff", "junk_caught", "good_lost"))).alias("chain"))
+    useful = F.expr("filter(chain, (c, i) -> c.junk_caught > if(i = 0, 0L, chain[greatest(i - 1, 0)].junk_caught))")
+    added = steps.select("stratum", "rule", F.explode(useful).alias("c")).select("stratum", "rule", "c.*")
+    order = F.struct("good_lost", "step", (-F.col("junk_caught")).alias("caught"), "rule", "cutoff", "junk_caught")
+    added = added.groupBy("stratum").agg(F.sort_array(F.collect_list(order)).alias("added"))
+    # A document is lost from the first addition on that rejects it. One row per band.
+    lost = F.expr("array_min(filter(transform(added, (c, i) -> if(scores[c.rule].score > c.cutoff, i, NULL)), i -> i IS NOT NULL))")
+    places = holdout.join(F.broadcast(added), "stratum").select("stratum", "added", lost.alias("place"))
+    counted = places.groupBy("stratum").agg(
+        F.any_value("added").alias("added"),
+        F.count("*").alias("n"),
+        *[F.sum((F.col("place") <= m).cast("long")).alias(f"k{m}") for m in range(sum(len(grid) for _, _, grid in risk.grid))],
+    )
+    ks = F.array(*[F.coalesce(F.col(c), F.lit(0).cast("long")) for c in counted.columns if c[:1] == "k"])
+    tested = counted.select("stratum", "added", "n", F.posexplode(F.slice(ks, F.lit(1), F.size("added"))).alias("m", "k"))
+    tested = tested.withColumn("p", F.lit(risk.risk)).withColumn("p_value", F.expr(BINOMIAL))
+    chain = tested.groupBy("stratum").agg(F.any_value("added").alias("added"), F.sort_array(F.collect_list(F.struct("m", "n", "k", "p_value"))).alias("chain"))
+    bad = F.expr(f"coalesce(array_min(transform(filter(chain, c -> c.p_value > {risk.error / (len(BANDS) + 1)!r}), c -> c.m)), size(chain))")
+    passed = chain.withColumn("bad", bad).where("bad > 0").withColumn("last", F.expr("chain[bad - 1]"))
+    chosen = passed.select("stratum", "last", F.explode(F.expr("slice(added, 1, bad)")).alias("c"))
+    # Of each rule the strictest step added.
+    found = chosen.groupBy("stratum", F.col("c.rule").alias("rule")).agg(F.max_by("c", "c.step").alias("c"), F.any_value("last").alias("last"))
+    return found.select("stratum", "rule", "c.cutoff", F.col("last.n").alias("n_good"), F.col("last.k").alias("n_lost"), "last.p_value", "c.junk_caught")
+
+
 def cutoffs(scored: DataFrame, labels: DataFrame, doc_id: str, label_id: str, quality: str, risk: Risk = Risk()) -> DataFrame:
     """Certified cut-offs: ``stratum``, ``rule``, ``cutoff``, ``n_good``, ``n_lost``, ``p_value``, ``junk_caught``.
 
@@ -130,8 +163,9 @@ def cutoffs(scored: DataFrame, labels: DataFrame, doc_id: str, label_id: str, qu
     known = labels.groupBy(F.col(label_id).alias("label_id")).agg(F.min(quality).alias("good"))
     known = known.where("label_id IS NOT NULL AND good IS NOT NULL")
     half = (F.substring(F.md5(F.col(f"doc.{doc_id}").cast("string")), 1, 1) >= "8").cast("int")
-    told = scored.where(~base_failed()).select(F.col(f"doc.{doc_id}").alias("label_id"), stratum().alias("stratum"), half.alias("half"), F.explode(_scores(risk)).alias("s"))
-    told = told.join(known, "label_id").select("stratum", "half", "good", "s.*")
+    told = scored.where(~base_failed()).select(F.col(f"doc.{doc_id}").alias("label_id"), stratum().alias("stratum"), half.alias("half"), _scores(risk).alias("scores"))
+    told = told.join(known, "label_id")
+    labelled, told = told, told.select("stratum", "half", "good", F.explode("scores").alias("s")).select("stratum", "half", "good", "s.*")
     steps = F.array(*[F.array(*[F.lit(float(c)) for c in grid]) for _, _, grid in risk.grid])
     tested = told.select("*", F.posexplode(F.element_at(steps, F.col("rule") + 1)).alias("step", "cutoff"))
     above = (F.col("score") > F.col("cutoff")).cast("long")
@@ -142,7 +176,10 @@ def cutoffs(scored: DataFrame, labels: DataFrame, doc_id: str, label_id: str, qu
         F.sum(F.when(held & good, F.lit(1).cast("long")).otherwise(zero)).alias("n"),
         F.sum(F.when(held & good, above).otherwise(zero)).alias("k"),
         F.sum(F.when(tune & junk, above).otherwise(zero)).alias("junk_caught"),
+        F.sum(F.when(tune & good, above).otherwise(zero)).alias("good_lost"),
     )
+    if risk.joint:
+        return _joint(table, labelled.where(held & good), risk)
     chains = len(risk.grid) * (len(BANDS) + 1)
     rate = risk.risk / len(risk.grid)
     table = table.withColumn("p", F.lit(rate)).withColumn("p_value", F.when(F.col("n") > 0, F.expr(BINOMIAL)).otherwise(F.lit(1.0)))

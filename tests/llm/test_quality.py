@@ -5,9 +5,10 @@ import random
 from collections import Counter
 
 from awkward import awkward, awkward_rows, empty, words
+from compare import connect, difference
 from pyspark.sql import functions as F
 
-from catalograph.llm import quality
+from catalograph.llm import quality, queries
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -93,3 +94,25 @@ def test_risk_holds(spark):
     assert found and all(r.p_value <= risk.error / 12 and r.n_lost <= risk.risk * r.n_good for r in found)
     kept = quality.judged(scored, labels).where("kept").select("doc.doc_id").collect()
     assert sum(r.doc_id < 2000 for r in kept) >= 1990 and sum(r.doc_id >= 2000 for r in kept) == 0
+
+
+def test_rules_together_certify_with_fewer_labels(spark):
+    """Two hundred good documents in the holdout are enough for one test of the useful rules."""
+    docs, labels = _corpus(spark, 400, 60, 0.0)
+    scored = quality.written(quality.with_counts(docs, F.col("text")), "counts")
+    found = quality.cutoffs(scored, labels, "doc_id", "doc_id", "quality").collect()
+    assert [(r.stratum, r.rule, r.n_lost) for r in found] == [(0, 0, 0)] and found[0].p_value <= 0.1 / 3
+    assert math.isclose(found[0].p_value, 0.96 ** found[0].n_good)
+    assert all(r.kept == (r.doc_id < 400) for r in quality.judged(scored, labels).select("doc.doc_id", "kept").collect())
+    assert quality.cutoffs(scored, labels, "doc_id", "doc_id", "quality", quality.Risk(joint=False)).count() == 0
+
+
+def test_long_documents_certify(spark):
+    """At sf0.1, with SQL's verdicts for the query, every stratum certifies when rules are tested together."""
+    sf = "/root/testdata/sf0.1"
+    assert difference(queries.op5_quality_rules(spark, sf), connect(sf), queries.ORACLES["op5_quality_rules"]) is None
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    scored = quality.written(quality.with_counts(docs, F.col("text")), "counts")
+    found = quality.cutoffs(scored, labels, "doc_id", "doc_id", "quality").collect()
+    assert {r.stratum for r in found} == {0, 1, 2} and all(r.p_value <= 0.1 / 3 for r in found)
