@@ -6,8 +6,9 @@ down, of the word between its edge marks. The scores become probabilities at equ
 priors.
 
 The model is learned with Spark from a bounded sample of labelled rows (``SAMPLE``
-documents, chosen by a hash) and has at most ``WORDS`` words and ``GRAMS`` n-grams, so it
-can be sent to the tasks whatever the corpus. Prediction reads every whole text.
+documents, chosen by a hash, the same number of every language or all that there are) and
+keeps the most frequent of every language, at most ``WORDS`` words and ``GRAMS`` n-grams, so
+it can be sent to the tasks whatever the corpus. Prediction reads every whole text.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, as is
 every text when nothing could be learned; rows without a language are not learned from;
@@ -24,13 +25,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE = 20_000
 WORDS = 100_000
 GRAMS = 100_000
 LONGEST = 5
+BUCKETS = 4096  # of a hash that chooses among equally frequent words
 SMOOTH = 0.5
 UNSEEN = 100_000  # unseen words whose scores a task keeps
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -53,17 +55,46 @@ def _log_rates(counts: pd.DataFrame, langs: list[str], key: str) -> tuple[list[s
 
 
 def _most_frequent(counts: DataFrame, key: str, most: int) -> DataFrame:
-    totals = counts.groupBy(key).agg(F.sum("n").alias("total"))
-    chosen = totals.orderBy(F.desc("total"), key).limit(most).select(key)
+    """Of every language an even part of ``most``, its most frequent, with their counts in all
+    languages. Where equally frequent ones do not all fit, a hash chooses."""
+    found = counts.groupBy("lang").agg(F.count("*").alias("size")).collect()  # one row a language
+    part = F.lit(int(_even_part([r["size"] for r in found], most))).cast("long")
+    # Per language: the frequency at which its part ends, and the room left for it.
+    upto = F.sum("size").over(Window.partitionBy("lang").orderBy(F.desc("n")))
+    sizes = counts.groupBy("lang", "n").agg(F.count("*").alias("size")).withColumn("upto", upto)
+    edges = sizes.where(F.col("upto") > part).groupBy("lang").agg(F.max("n").alias("edge"), F.max_by(part - F.col("upto") + F.col("size"), "n").alias("room"))
+    placed = counts.join(F.broadcast(edges), "lang", "left").withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(BUCKETS)))
+    ties = placed.where("n = edge").groupBy("lang", "room", "bucket").agg(F.count("*").alias("size"))
+    ties = ties.withColumn("upto", F.sum("size").over(Window.partitionBy("lang").orderBy("bucket")))
+    last = ties.where("upto <= room").groupBy("lang").agg(F.max("bucket").alias("last"))
+    placed = placed.join(F.broadcast(last), "lang", "left")
+    chosen = placed.where("edge IS NULL OR n > edge OR (n = edge AND bucket <= last)").select(key).distinct()
     return counts.join(chosen, key)
 
 
+def _even_part(sizes: list[int], sample: int) -> float:
+    """Rows of each language at most, so that all together are ``sample``: what small
+    languages leave goes to the others."""
+    left, part = float(sample), float(sample)
+    for k, n in enumerate(sorted(sizes)):
+        part = left / (len(sizes) - k)
+        if n >= part:
+            return part
+        left -= n
+    return max([part, *sizes])
+
+
 def train(docs: DataFrame, text: Column, lang: Column, key: Column, sample: int = SAMPLE) -> Model:
-    """Learn from about ``sample`` rows of ``docs`` that have a text and a language; ``key`` chooses them."""
+    """Learn from about ``sample`` rows of ``docs`` that have a text and a language, as many of
+    each language as there are up to an even part; ``key`` chooses them."""
     known = docs.where(lang.isNotNull() & text.isNotNull())
-    share = min(1.0, sample / max(known.count(), 1))
     place = F.pmod(F.xxhash64(key.cast("string")), F.lit(1 << 32)) / float(1 << 32)
-    chosen = known.where(place < share).select(lang.cast("string").alias("lang"), F.lower(text).alias("text"))
+    found = known.groupBy(lang.cast("string").alias("lang")).agg(F.count("*").alias("n")).collect()  # one row a language
+    sizes = {r.lang: r.n for r in found}
+    part = _even_part(list(sizes.values()), sample)
+    shares = F.create_map(*[F.lit(x) for name, n in sizes.items() for x in (name, min(1.0, part / n))]) if sizes else None
+    chosen = known.where(place < F.element_at(shares, lang.cast("string"))) if sizes else known.limit(0)
+    chosen = chosen.select(lang.cast("string").alias("lang"), F.lower(text).alias("text"))
     found = chosen.select("lang", F.explode(F.regexp_extract_all("text", F.lit(r"(\p{L}+)"), 1)).alias("word"))
     counts = found.groupBy("lang", "word").agg(F.count("*").alias("n")).cache()
     marked = F.concat(F.lit("<"), "word", F.lit(">"))

@@ -39,6 +39,21 @@ def test_no_letters_and_unknown_letters(spark):
     assert score("東京")[1] == 0.5
 
 
+def test_rare_languages_are_learned(spark, monkeypatch):
+    """Ten documents among five thousand, at most a hundred learned from and few words kept."""
+    rows = [(f"the house number{chr(97 + k % 26)}{chr(97 + k // 26 % 26)} stands", "en", k) for k in range(5000)]
+    rows += [(f"das haus steht {w}", "de", 9000 + k) for k, w in enumerate("eins zwei drei vier acht neun zehn elf rot blau".split())]
+    df = spark.createDataFrame(rows, "text string, lang string, id long")
+    monkeypatch.setattr(langid, "WORDS", 8)
+    monkeypatch.setattr(langid, "GRAMS", 40)
+    learned = langid.train(df, F.col("text"), F.col("lang"), F.col("id"), sample=100)
+    assert learned.langs == ["de", "en"] and {"das", "haus", "steht", "the", "house", "stands"} <= set(learned.words)
+    assert len(learned.words) <= 8 and len(learned.grams) <= 40
+    score = langid.Scorer(learned)
+    assert score("das haus")[0] == "de" and score("the house")[0] == "en"
+    assert langid._even_part([10, 5000], 100) == 90 and langid._even_part([3, 4], 100) >= 4 and langid._even_part([], 5) == 5
+
+
 def test_long_texts_in_parts(spark, monkeypatch):
     learned = model(spark, [("the cat", "en"), ("das tier", "de")])
     text = " ".join(f"the{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(300))
