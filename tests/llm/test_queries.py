@@ -19,7 +19,7 @@ def test_sql_twin(spark, con, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op2_simhash_near_dedup", "op7_packing"])
