@@ -30,7 +30,6 @@ import hashlib
 import os
 import re
 from collections.abc import Callable, Iterator
-from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -114,31 +113,33 @@ def public_pieces() -> Pieces:
     return Pieces(public.path("piece_bpe_32k.model"))
 
 
-def walk(a: list[int], b: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
+def walk(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
     """Runs and irregular groups of two rising arrays with the same last element: ``(i, j, n, x, y)`` is
     ``n`` groups of one to one from ``a[i]`` and ``b[j]`` on, then one of ``a[i + n : x]`` and
     ``b[j + n : y]`` (empty at the end)."""
+    raw_a, raw_b = a.astype("<u8").tobytes(), b.astype("<u8").tobytes()  # eight bytes an element
+    a, b = a.tolist(), b.tolist()
     i = j = 0
     end = len(a)
+    number = int.from_bytes
     while i < end:
         first, second = i, j
-        step = 4
-        while a[i : i + step] == b[j : j + step] and i < end:
-            i += step
-            j += step
+        at, to = 8 * i, 8 * j
+        step = 32
+        left, right = raw_a[at : at + step], raw_b[to : to + step]
+        while left == right and left:
+            at += step
+            to += step
             step += step
-        if i >= end:  # a last stretch was shorter than probed
+            left, right = raw_a[at : at + step], raw_b[to : to + step]
+        if not left:  # equal to the end
             yield first, second, end - first, end, second + end - first
             return
-        while step > 1:
-            step >>= 1
-            if a[i : i + step] == b[j : j + step]:
-                i += step
-                j += step
-                if i >= end:
-                    yield first, second, end - first, end, second + end - first
-                    return
-        n = i - first
+        # The lowest bit that differs says which element does.
+        differ = number(left, "little") ^ number(right, "little")
+        n = (at >> 3) + ((differ & -differ).bit_length() - 1 >> 6) - first
+        i += n
+        j += n
         left, right = a[i], b[j]
         while left != right:
             if left < right:
@@ -153,13 +154,17 @@ def walk(a: list[int], b: list[int]) -> Iterator[tuple[int, int, int, int, int]]
 
 
 def _shown(a: list[str], b: list[str], runs: list[tuple[int, int, int, int, int]]) -> str:
-    """The groups as text: ids of a side parted by commas, sides by bars, groups by semicolons."""
+    """The groups as text: ids of a side parted by commas, sides by bars, groups by semicolons. ``a`` and
+    ``b`` are the ids' texts with a bar, or a semicolon, behind each."""
     out: list[str] = []
     for i, j, n, x, y in runs:
-        out += map("%s|%s".__mod__, zip(a[i : i + n], b[j : j + n]))
+        pairs = [""] * (2 * n)
+        pairs[::2] = a[i : i + n]
+        pairs[1::2] = b[j : j + n]
+        out += pairs
         if i + n < x:
-            out.append(f"{','.join(a[i + n : x])}|{','.join(b[j + n : y])}")
-    return ";".join(out)
+            out.append("".join(a[i + n : x])[:-1].replace("|", ",") + "|" + "".join(b[j + n : y])[:-1].replace(";", ",") + ";")
+    return "".join(out)[:-1]
 
 
 class Aligner:
@@ -167,8 +172,8 @@ class Aligner:
 
     def __init__(self, first: Callable[[], object], second: Callable[[], object]):
         self.sides = first(), second()
-        self.length_of = [[len(x) for x in side.bytes_of] for side in self.sides]
-        self.name_of = [[str(i) for i in range(len(side.bytes_of))] for side in self.sides]
+        self.length_of = [np.array([len(x) for x in side.bytes_of], np.int64) for side in self.sides]
+        self.name_of = [[f"{i}{mark}" for i in range(len(side.bytes_of))] for side, mark in zip(self.sides, "|;")]
         self.shift = max(len(self.sides[1].bytes_of) - 1, 1).bit_length()
         self.width = self.shift + max(len(self.sides[0].bytes_of) - 1, 1).bit_length()
 
@@ -189,7 +194,6 @@ class Aligner:
         # Links as arrays over the slice: stretches of one to one, and the groups of others.
         a_all, b_all, runs, groups, doc_of_run, doc_of_group = [], [], [], [], [], []
         a_at = b_at = 0
-        a_length, b_length = (x.__getitem__ for x in self.length_of)
         a_name, b_name = (x.__getitem__ for x in self.name_of)
         for doc, ids in enumerate(self._ids(texts)):
             if ids is None:
@@ -197,7 +201,9 @@ class Aligner:
                     numbers[name].append(nothing)
                 continue
             a, b = ids
-            found = list(walk(list(accumulate(map(a_length, a))), list(accumulate(map(b_length, b)))))
+            a_all.append(np.fromiter(a, np.int64, len(a)))
+            b_all.append(np.fromiter(b, np.int64, len(b)))
+            found = list(walk(*(np.cumsum(length[x[-1]]) for length, x in zip(self.length_of, (a_all, b_all)))))
             text = _shown(list(map(a_name, a)), list(map(b_name, b)), found)
             one = np.array(found, np.int64)
             i, j, n, x, y = one.T
@@ -213,8 +219,6 @@ class Aligner:
             groups.append(np.stack([(i + n)[odd] + a_at, (x - i - n)[odd], (j + n)[odd] + b_at, (y - j - n)[odd]]))
             doc_of_run.append(np.full(len(n), doc))
             doc_of_group.append(np.full(len(odd), doc))
-            a_all.append(np.fromiter(a, np.int64, len(a)))
-            b_all.append(np.fromiter(b, np.int64, len(b)))
             a_at += len(a)
             b_at += len(b)
         none = np.zeros(0, np.int64)

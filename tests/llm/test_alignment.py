@@ -3,8 +3,10 @@
 import base64
 import hashlib
 import random
+from bisect import bisect_left
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers as public
 import pytest
 import sentencepiece
@@ -41,7 +43,11 @@ def groups_of(text):
             own.append((at, i))
         ends.append(own)
     common = sorted({e for e, _ in ends[0]} & {e for e, _ in ends[1]})
-    return [tuple([i for e, i in side if low < e <= high] for side in ends) for low, high in zip([0, *common], common)]
+    groups = [([], []) for _ in common]
+    for k, side in enumerate(ends):
+        for e, i in side:
+            groups[bisect_left(common, e)][k].append(i)
+    return groups
 
 
 def brute(texts):
@@ -136,7 +142,7 @@ def test_walk(share):
         b = sorted({x for x in a if rng.random() < share} | {x for x in rising(rng, rng.randint(0, end - 1), end) if rng.random() > share} | {end})
         cuts = []
         i = j = 0
-        for first, second, n, x, y in alignment.walk(a, b):
+        for first, second, n, x, y in alignment.walk(np.array(a), np.array(b)):
             assert (first, second) == (i, j)
             assert a[i : i + n] == b[j : j + n]
             cuts += a[i : i + n]
