@@ -49,6 +49,7 @@ SPACE = "▁"  # stands for a space in pieces
 _USUAL = re.compile("[\t\n\r -~\xa1-\xac\xae-ɏΑ-ΡΣ-ώА-я‐-‧€]*")
 
 
+
 def _byte_of_letter() -> dict[str, int]:
     """The byte for each letter of a byte-level vocabulary: printable bytes stand for themselves,
     the others for the letters from U+0100 on."""
@@ -70,6 +71,7 @@ class ByteLevel:
         self.bytes_of = [b""] * self.whole.get_vocab_size()
         for token, i in self.whole.get_vocab(with_added_tokens=False).items():
             self.bytes_of[i] = bytes(map(letters.__getitem__, token)) if all(c in letters for c in token) else token.encode()
+        self.length_of = np.array([len(x) for x in self.bytes_of], np.int64)
         self.fast = None
         if ranks_path is not None:
             import tiktoken
@@ -79,12 +81,20 @@ class ByteLevel:
             if all(self.bytes_of[i] == token for token, i in ranks.items()):  # the same vocabulary
                 self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def __call__(self, texts: list[str]) -> list[list[int]]:
-        spaced = [" " + t for t in texts]
-        if self.fast is not None:
-            encode = self.fast.encode_ordinary
-            return [encode(t) if _USUAL.fullmatch(t) else self.whole.encode_batch_fast([t], add_special_tokens=False)[0].ids for t in spaced]
-        return [e.ids for e in self.whole.encode_batch_fast(spaced, add_special_tokens=False)]
+    def __call__(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of each text behind a space; None where they do not give back its bytes."""
+        out = []
+        for text in texts:
+            text = " " + text
+            if self.fast is not None and _USUAL.fullmatch(text):
+                ids = np.array(self.fast.encode_ordinary(text), np.int64)
+                fine = int(self.length_of[ids].sum()) == len(text.encode())  # its ids are stretches of the text
+            else:
+                found = self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids
+                ids = np.array(found, np.int64)
+                fine = b"".join(map(self.bytes_of.__getitem__, found)) == text.encode()
+            out.append(ids if fine else None)
+        return out
 
 
 class Pieces:
@@ -96,9 +106,15 @@ class Pieces:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [(i, self.model.id_to_piece(i)) for i in range(self.model.get_piece_size())]
         self.bytes_of = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in pieces]
+        self.length_of = np.array([len(x) for x in self.bytes_of], np.int64)
 
-    def __call__(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+    def __call__(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of each text; None where they do not give back its bytes behind a space."""
+        out = []
+        for text, ids in zip(texts, self.model.encode(texts, num_threads=1)):
+            fine = b"".join(map(self.bytes_of.__getitem__, ids)) == b" " + text.encode()
+            out.append(np.array(ids, np.int64) if fine else None)
+        return out
 
 
 def public_byte_level() -> ByteLevel:
@@ -172,21 +188,11 @@ class Aligner:
 
     def __init__(self, first: Callable[[], object], second: Callable[[], object]):
         self.sides = first(), second()
-        self.length_of = [np.array([len(x) for x in side.bytes_of], np.int64) for side in self.sides]
+        self.length_of = [side.length_of for side in self.sides]
         self.name_of = [[f"{i}{mark}" for i in range(len(side.bytes_of))] for side, mark in zip(self.sides, "|;")]
         self.shift = max(len(self.sides[1].bytes_of) - 1, 1).bit_length()
         self.width = self.shift + max(len(self.sides[0].bytes_of) - 1, 1).bit_length()
 
-    def _ids(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """Ids of both sides of each text; None where they do not give back the text."""
-        out = []
-        a_bytes, b_bytes = (side.bytes_of.__getitem__ for side in self.sides)
-        for text, a, b in zip(texts, *(side(texts) for side in self.sides)):
-            whole = b" " + text.encode()
-            fine = text and b"".join(map(a_bytes, a)) == whole and b"".join(map(b_bytes, b)) == whole
-            out.append((a, b) if fine else None)
-        return out
-
     def __call__(self, texts: list[str], keep_text: bool) -> tuple[dict[str, list], dict[str, np.ndarray]]:
         """Numbers per text, and the links of all: per text its distinct pairs with how often they
         are linked; the distinct pairs of the slice with the texts that hold them."""
@@ -195,16 +201,15 @@ class Aligner:
         a_all, b_all, runs, groups, doc_of_run, doc_of_group = [], [], [], [], [], []
         a_at = b_at = 0
         a_name, b_name = (x.__getitem__ for x in self.name_of)
-        for doc, ids in enumerate(self._ids(texts)):
-            if ids is None:
+        for doc, (text, a, b) in enumerate(zip(texts, *(side(texts) for side in self.sides))):
+            if not text or a is None or b is None:
                 for name, nothing in (("n_a", 0), ("n_b", 0), ("n_groups", 0), ("n_links", 0), ("groups", ""), ("groups_sha256", "")):
                     numbers[name].append(nothing)
                 continue
-            a, b = ids
-            a_all.append(np.fromiter(a, np.int64, len(a)))
-            b_all.append(np.fromiter(b, np.int64, len(b)))
-            found = list(walk(*(np.cumsum(length[x[-1]]) for length, x in zip(self.length_of, (a_all, b_all)))))
-            text = _shown(list(map(a_name, a)), list(map(b_name, b)), found)
+            found = list(walk(*(np.cumsum(length[x]) for length, x in zip(self.length_of, (a, b)))))
+            text = _shown(list(map(a_name, a.tolist())), list(map(b_name, b.tolist())), found)
+            a_all.append(a)
+            b_all.append(b)
             one = np.array(found, np.int64)
             i, j, n, x, y = one.T
             odd = np.flatnonzero(i + n < x)
