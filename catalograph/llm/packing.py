@@ -5,10 +5,12 @@ first cut into full windows; the remainders are placed from the longest to the
 shortest, each into the open window it fills best. A segment tree indexed by remaining
 capacity finds that window: the smallest remainder that is large enough.
 
-A task packs its own documents in groups of ``GROUP`` token bytes, so nothing is
-shuffled and memory is bounded; a group of some thousand documents leaves about one window
-in a thousand open. Window numbers hold the partition's number, so a task that runs again
-gives the same ones.
+Packing is done twice. A task first packs its own documents in groups of ``GROUP`` token bytes, so memory is
+bounded; windows with at most one ``CLOSED``-th of their room left are final. The pieces of the others
+are few where a task has many documents, and all where it has a handful; only their keys and
+lengths are shuffled, into groups whose number follows from the ids they hold, and packed again. So
+padding does not depend on how the input is partitioned. Pieces are written between the two, so a
+task that runs again changes no numbers.
 
 The tokenizer first splits a text into words, digits and runs of other signs and encodes
 each by itself. Texts in Latin letters are split here by the same pattern and the ids of
@@ -26,7 +28,7 @@ import os
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalograph.llm.common import tidy
+from catalograph.llm.common import tidy, written
 
 CAPACITY = 4096
 GROUP = 12 << 20  # bytes of ids packed together
-KNOWN = 300_000  # pieces whose ids a task keeps at most
+CLOSED = 64  # a window with at most this part of its room left is final
+AGAIN = 1 << 62  # first number of the windows that are packed again
+KNOWN = 600_000  # pieces whose ids a worker keeps at most
 SLICE = 4 << 20  # characters encoded at once
 
 
@@ -129,6 +133,10 @@ class PieceEncoder:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
+    def _forget(self) -> None:
+        """Keep the half of the pieces that was learned last."""
+        self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
+
     def _learn(self, pieces: list[str]) -> None:
         for first in range(0, len(pieces), 5000):
             part = pieces[first : first + 5000]
@@ -141,13 +149,13 @@ class PieceEncoder:
             self.known.update(zip(part, (raw[a:b] for a, b in zip([0, *stops], stops))))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        pieces = [_PIECE.findall(t.lower()) if _usual(t) else None for t in texts]
+        # Some letters that are split alike have small letters that are not.
+        lower = [t.lower() for t in texts]
+        pieces = [_PIECE.findall(t) if _usual(t) else None for t in lower]
         met = set(chain.from_iterable(filter(None, pieces)))
-        new = met.difference(self.known)
-        if len(self.known) + len(new) > KNOWN:
-            self.known.clear()
-            new = met
-        self._learn(list(new))
+        if len(self.known) > KNOWN:
+            self._forget()
+        self._learn(list(met.difference(self.known)))
         look = self.known.__getitem__
         return [self._ids(t).tobytes() if p is None else b"".join(map(look, p)) for t, p in zip(texts, pieces)]
 
@@ -188,6 +196,7 @@ def _packed(rows: list[tuple[pa.StructArray, list[bytes]]], capacity: int, first
             length.append(len(piece) // 4)
             pieces.append(piece)
     windows, offsets = best_fit(length, capacity)
+    used = np.bincount(windows, weights=length)
     columns = [
         docs.take(pa.array(row, pa.int64())),
         pa.array(start, pa.int64()),
@@ -196,11 +205,23 @@ def _packed(rows: list[tuple[pa.StructArray, list[bytes]]], capacity: int, first
         pa.array([len(ids[k]) // 4 for k in row], pa.int64()),
         pa.array([first + w for w in windows], pa.int64()),
         pa.array(offsets, pa.int64()),
+        pa.array(((capacity - used) * CLOSED > capacity)[windows], pa.bool_()),
     ]
-    names = ["doc", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+    names = ["doc", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "open"]
     return pa.RecordBatch.from_arrays(columns, names=names), first + max(windows, default=-1) + 1
 
 
+def _packed_again(capacity: int):
+    def run(pieces: pa.Table) -> pa.Table:
+        pieces = pieces.sort_by([("sequence_id", "ascending"), ("offset", "ascending")])
+        windows, offsets = best_fit(pieces.column("length").to_pylist(), capacity)
+        group = AGAIN | pieces.column("grp")[0].as_py() << 32
+        columns = [pieces.column("sequence_id"), pieces.column("offset"), pa.array([group + w for w in windows], pa.int64()), pa.array(offsets, pa.int64())]
+        return pa.Table.from_arrays(columns, names=["was", "was_at", "sequence_id", "offset"])
+
+    return run
+
+
 def pack(docs: DataFrame, tokenizer_path: Callable[[], str], end_id: int, text: str = "text", capacity: int = CAPACITY, carry: list[str] | None = None) -> DataFrame:
     """Pieces of all documents: ``doc`` (struct of the columns in ``carry``, or all but the text,
     which would be repeated with every piece), ``start`` and ``length`` in the document's
@@ -229,11 +250,19 @@ def pack(docs: DataFrame, tokenizer_path: Callable[[], str], end_id: int, text:
                     held, size = [], 0
         if held:
             yield _packed(held, capacity, number)[0]
-        encode.known.clear()  # what the next task meets is mostly new
 
     fields = [("start", T.LongType()), ("length", T.LongType()), ("ids", T.BinaryType()), ("doc_tokens", T.LongType()), ("sequence_id", T.LongType()), ("offset", T.LongType())]
+    fields.append(("open", T.BooleanType()))
     schema = T.StructType([T.StructField("doc", rows.schema["doc"].dataType), *[T.StructField(n, t) for n, t in fields]])
-    return rows.mapInArrow(tidy(run), schema)
+    pieces = written(rows.mapInArrow(tidy(run), schema), "packed")
+    # Only what says where a piece is and how long; the number of groups follows from the ids in all.
+    left = pieces.where("open").select("sequence_id", "offset", "length")
+    n_groups = 1 + (left.agg(F.sum("length")).first()[0] or 0) * 4 // GROUP
+    dealt = left.withColumn("grp", F.pmod(F.xxhash64("sequence_id", "offset"), F.lit(n_groups)))
+    moves = dealt.groupBy("grp").applyInArrow(_packed_again(capacity), "was long, was_at long, sequence_id long, offset long")
+    names = ["doc", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+    opened = pieces.where("open").withColumnsRenamed({"sequence_id": "was", "offset": "was_at"}).join(moves, ["was", "was_at"])
+    return pieces.where("NOT open").select(*names).unionByName(opened.select(*names))
 
 
 def word_bpe() -> str:

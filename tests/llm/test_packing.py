@@ -40,10 +40,23 @@ def check(df, capacity=4096):
     return windows
 
 
+def filled(windows, capacity=4096):
+    return sum(n for pieces in windows.values() for _, n in pieces) / (capacity * len(windows))
+
+
 def test_documents(spark):
     windows = check(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").coalesce(1))
-    filled = sum(n for pieces in windows.values() for _, n in pieces)
-    assert filled / (4096 * len(windows)) > 0.95
+    assert filled(windows) > 0.95
+
+
+@pytest.mark.parametrize("parts", [1, 64, 1000])
+def test_padding_does_not_depend_on_partitions(spark, parts):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").repartition(parts)
+    windows = {}
+    for r in packing.pack(docs, packing.word_bpe, 2).select("sequence_id", "offset", "length").collect():
+        windows.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert all(sum(n for _, n in pieces) <= 4096 for pieces in windows.values())
+    assert filled(windows) >= 0.97
 
 
 @pytest.mark.parametrize("capacity", [1, 5, 64])
@@ -59,6 +72,17 @@ def test_piece_by_piece_encoding_is_exact():
         assert np.frombuffer(got, "<u4").tolist() == WHOLE.encode(text, add_special_tokens=False).ids
 
 
+def test_every_character_that_is_split_here():
+    """Alone, between letters and among others: each character whose small letters are taken for usual."""
+    admitted = [chr(c) for c in range(0x3000) if packing._usual(chr(c).lower())]
+    assert len(admitted) > 500 and "\u0181" not in admitted
+    rng = random.Random(4)
+    texts = [a + c + b for c in map(chr, range(1, 0x3000)) if packing._usual(c) or packing._usual(c.lower()) for a, b in (("", ""), ("a", "b"), ("1", "2"), ("!", "'s"), (" ", " "))]
+    texts += ["".join(rng.choices(admitted, k=rng.randint(2, 30))) for _ in range(5000)]
+    whole = [e.ids for e in WHOLE.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in packing.PieceEncoder(packing.word_bpe())(texts)] == whole
+
+
 def test_forgetting_known_pieces(monkeypatch):
     monkeypatch.setattr(packing, "KNOWN", 10)
     encode = packing.PieceEncoder(packing.word_bpe())
