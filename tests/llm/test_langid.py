@@ -1,5 +1,10 @@
 """Language identification: held-out accuracy and defined cases."""
 
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
 from awkward import awkward, empty
 from pyspark.sql import functions as F
 
@@ -39,14 +44,12 @@ def test_no_letters_and_unknown_letters(spark):
     assert score("東京")[1] == 0.5
 
 
-def test_rare_languages_are_learned(spark, monkeypatch):
+def test_rare_languages_are_learned(spark):
     """Ten documents among five thousand, at most a hundred learned from and few words kept."""
     rows = [(f"the house number{chr(97 + k % 26)}{chr(97 + k // 26 % 26)} stands", "en", k) for k in range(5000)]
     rows += [(f"das haus steht {w}", "de", 9000 + k) for k, w in enumerate("eins zwei drei vier acht neun zehn elf rot blau".split())]
     df = spark.createDataFrame(rows, "text string, lang string, id long")
-    monkeypatch.setattr(langid, "WORDS", 8)
-    monkeypatch.setattr(langid, "GRAMS", 40)
-    learned = langid.train(df, F.col("text"), F.col("lang"), F.col("id"), sample=100)
+    learned = langid.train(df, F.col("text"), F.col("lang"), F.col("id"), sample=100, most_words=8, most_grams=40)
     assert learned.langs == ["de", "en"] and {"das", "haus", "steht", "the", "house", "stands"} <= set(learned.words)
     assert len(learned.words) <= 8 and len(learned.grams) <= 40
     score = langid.Scorer(learned)
@@ -63,6 +66,69 @@ def test_long_texts_in_parts(spark, monkeypatch):
     assert parts[0] == whole[0] and abs(parts[1] - whole[1]) < 1e-4
 
 
+def test_only_the_most_common_languages(spark):
+    rows = [("the house", "en", 1), ("the cat", "en", 2), ("das haus", "de", 3), ("das tier", "de", 4), ("la maison", "fr", 5)]
+    df = spark.createDataFrame(rows, "text string, lang string, id long")
+    assert langid.train(df, F.col("text"), F.col("lang"), F.col("id"), most_langs=2).langs == ["de", "en"]
+
+
+def test_clashing_names(spark):
+    df = spark.createDataFrame([("the", "kept", "old", 7.0)], "text string, found string, Lang_Pred string, score double")
+    out = langid.predict(df, model(spark, [("the", "en"), ("das", "de")]))
+    assert out.columns == ["text", "found", "lang_pred", "score"]
+    assert out.first()[:3] == ("the", "kept", "en")
+
+
+def brute(docs):
+    """Language and score of each text from plain counts of all labelled rows."""
+    words, grams = defaultdict(Counter), defaultdict(Counter)
+    known = [d for d in docs if d.lang is not None and d.text is not None and zlib.crc32(str(d.doc_id).encode()) % 4 != 2]
+    langs = sorted({d.lang for d in known})
+    for d in known:
+        for w in re.findall(r"[^\W\d_]+", d.text.lower()):
+            words[d.lang][w] += 1
+            marked = f"<{w}>"
+            grams[d.lang].update(marked[i : i + n] for n in range(1, 6) for i in range(len(marked) - n + 1))
+
+    def rates(counts):
+        every = set().union(*counts.values())
+        total = {c: sum(counts[c].values()) + 0.5 * len(every) for c in langs}
+        return {x: [math.log((counts[c][x] + 0.5) / total[c]) for c in langs] for x in every}
+
+    word_rates, gram_rates = rates(words), rates(grams)
+    out = {}
+    for d in docs:
+        own = re.findall(r"[^\W\d_]+", (d.text or "").lower())
+        if not own:
+            out[d.doc_id] = ("und", 0.0)
+            continue
+        scores = [0.0] * len(langs)
+        for w in own:
+            found = [word_rates[w]] if w in word_rates else []
+            marked = f"<{w}>"
+            if not found:
+                for i in range(len(marked)):
+                    longest = next((marked[i : i + n] for n in range(5, 0, -1) if i + n <= len(marked) and marked[i : i + n] in gram_rates), None)
+                    if longest is not None:
+                        found.append([x / 5 for x in gram_rates[longest]])
+            scores = [s + sum(f[k] for f in found) for k, s in enumerate(scores)]
+        chances = [math.exp(s - max(scores)) for s in scores]
+        best = chances.index(max(chances))
+        out[d.doc_id] = (langs[best], chances[best] / sum(chances))
+    return out
+
+
+def test_whole_query_against_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    expected = brute(spark.read.parquet(f"{sf}/documents.parquet").collect())
+    got = queries.op1_language_id(spark, sf).collect()
+    assert len(got) == len(expected)
+    for r in got:
+        lang, score = expected[r.doc_id]
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-3, r
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+
+
 def test_awkward_and_empty(spark):
     df = awkward(spark)
     learned = langid.train(df, F.col("text"), F.col("lang"), F.col("doc_id"))
