@@ -147,6 +147,7 @@ class Scorer:
             new = {w for w, row in zip(words, rows) if row is None}
             if len(self.unseen) + len(new) > self.room:
                 self._forget()
+                new = {w for w in words if w not in self.rows}
             for word in new:
                 row = self.n_words + len(self.unseen)
                 self.scores[row] = self._backoff(word)

@@ -129,6 +129,19 @@ def test_whole_query_against_brute_force(spark):
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
 
 
+def test_forgetting_unseen_words(spark, monkeypatch):
+    learned = model(spark, [("the cat", "en"), ("das tier", "de")])
+    texts = [" ".join(f"the{chr(97 + (k * j) % 26)}" for k in range(9)) for j in range(1, 40)]
+    whole = langid.Scorer(learned)
+    expected = [whole(t) for t in texts]
+    monkeypatch.setattr(langid, "UNSEEN", 24)
+    few = langid.Scorer(learned)
+    for text, (lang, score) in zip(texts, expected):
+        found = few(text)
+        assert found[0] == lang and abs(found[1] - score) < 1e-5
+        assert len(few.unseen) <= few.room
+
+
 def test_awkward_and_empty(spark):
     df = awkward(spark)
     learned = langid.train(df, F.col("text"), F.col("lang"), F.col("doc_id"))
