@@ -157,7 +157,7 @@ def _pack(text: str, doc_id: str, window: int):
             nonlocal held, size, number
             rows = pa.concat_arrays(held)
             found = suffixes(rows.field(text).to_pylist(), rows.field(doc_id).to_pylist(), window, 1)
-            counts = np.bincount((np.unique(found.key) >> np.uint64(64 - LETTER * COUNTED)).astype(np.int64), minlength=1 << (LETTER * COUNTED))
+            counts = np.bincount((_distinct(found.key) >> np.uint64(64 - LETTER * COUNTED)).astype(np.int64), minlength=1 << (LETTER * COUNTED))
             some = np.flatnonzero(counts)
             listed = pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)
             prefix, n = (pa.array([x.tolist()], pa.list_(pa.int32())) for x in (some, counts[some]))
@@ -231,6 +231,12 @@ def _groups(keys: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return (prefix >> np.uint64(1)).astype(np.int64)
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values. By sorting: several times as fast as the hash table of ``np.unique``."""
+    values = np.sort(values)
+    return values[np.concatenate([np.ones(min(len(values), 1), bool), values[1:] != values[:-1]])]
+
+
 def _cuts(values: np.ndarray) -> np.ndarray:
     """Places at which a run of equal values starts, and the end."""
     return np.concatenate([[0], np.flatnonzero(np.diff(values)) + 1, [len(values)]])
@@ -281,7 +287,7 @@ class Candidates:
 def candidates(found: Suffixes, ids: list[int | None], answers: list[dict] | None) -> Candidates:
     """Windows whose key goes on in another batch or another document of this one."""
     doc_ids = np.array([0 if i is None else i for i in ids], np.int64)[found.doc[found.at]]
-    order = np.argsort(found.key, kind="stable")
+    order = np.argsort(found.key)
     cuts = _cuts(found.key[order])
     elsewhere = _flags(answers, len(cuts) - 1) if len(order) else np.zeros(0, bool)
     if len(order):
@@ -302,7 +308,7 @@ def _send_keys(text: str, doc_id: str, window: int, lengths: np.ndarray):
         for batch in batches:
             for row in range(len(batch)):
                 docs = batch.column("docs")[row].values
-                keys = np.unique(suffixes(docs.field(text).to_pylist(), docs.field(doc_id).to_pylist(), window, 1).key)
+                keys = _distinct(suffixes(docs.field(text).to_pylist(), docs.field(doc_id).to_pylist(), window, 1).key)
                 if len(keys):
                     groups = _groups(keys, lengths)
                     cuts = _cuts(groups)
@@ -335,7 +341,7 @@ def _shared_paths(blobs: list[bytes]) -> list[np.ndarray]:
     """For each batch's keys of one subtree: does another batch have the same path?"""
     keys = [_expanded(b) for b in blobs]
     every = np.concatenate(keys)
-    order = np.argsort(every, kind="stable")
+    order = np.argsort(every)
     cuts = _cuts(every[order])
     shared = np.empty(len(every), bool)
     shared[order] = np.repeat(np.diff(cuts) > 1, np.diff(cuts))
