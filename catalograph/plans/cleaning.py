@@ -19,7 +19,22 @@ from catalograph.schema import (
     present_columns,
     rename_if_present,
 )
-from catalograph.sources import SUFFIXES, archive_entries, read_archives, workbook_rows, workbook_table
+from catalograph.sources import (
+    GAPS,
+    SUFFIXES,
+    archive_entries,
+    archive_gaps,
+    archive_index,
+    is_readable,
+    listed_files,
+    open_anywhere,
+    read_archives,
+    read_entries,
+    workbook_rows,
+    workbook_table,
+)
+from catalograph.sources.ranged import Opener
+from catalograph.storage import stored
 
 LINK_KEYS = ("id_web", "product_id")
 
@@ -39,11 +54,24 @@ class Catalog:
 POSITION = ("archive", "entry", "row_idx")
 
 
-def missing_tables(archives: DataFrame) -> list[str]:
-    """Names of the three tables that no workbook in the archives is for. Runs a job that only lists entries."""
-    found = archive_entries(archives, list(TABLES), SUFFIXES, content=False).groupBy("table_name").agg(F.lit(1))
-    there = {row["table_name"] for row in found.take(len(TABLES))}
-    return [name for name in TABLES if name not in there]
+class IncompleteArchives(ValueError):
+    """Archives that lack a workbook of a table."""
+
+
+NAMED = 10  # gaps that an error message names
+
+
+def require_complete(index: DataFrame, below: str) -> None:
+    """Raise :class:`IncompleteArchives` if an archive lacks a workbook that can be read for one of the three
+    tables, or if there is no archive. Runs one job over the index."""
+    if index.isEmpty():
+        raise IncompleteArchives(f"no workbook for {', '.join(TABLES)} below {below}")
+    gaps = archive_gaps(index, list(TABLES), SUFFIXES).where(F.col("problem").isin(*GAPS))
+    found = gaps.orderBy("archive", "table_name").take(NAMED + 1)
+    if found:
+        only = lambda r: f" (only {r['other']}, not {' or '.join(SUFFIXES)})" if r["other"] else ""
+        texts = [f"no workbook for {r['table_name']} in {r['archive']}{only(r)}" for r in found[:NAMED]]
+        raise IncompleteArchives("; ".join(texts) + ("; and more" if len(found) > NAMED else ""))
 
 
 def read_catalog(
@@ -52,22 +80,42 @@ def read_catalog(
     rest: str | None = "other_cells",
     keep_position: bool = False,
     strict: bool = True,
+    complete: bool = True,
+    work: str | None = None,
+    open_file: Opener | None = open_anywhere,
 ) -> Catalog:
     """The three raw tables from all archives of workbooks below ``path``.
 
-    A table reads only its own workbooks: entries are chosen by name before they are
-    inflated, shuffled and parsed. A table without any workbook is an error. Cells of
+    Only the archives' directories are read to plan; a table then reads the byte ranges of its own workbooks.
+    With a shared folder ``work`` the index of all entries is stored there, so no byte of
+    an archive is read twice; without it directories are read again for each table. ``open_file`` opens a
+    path in a task; None leaves reading to Spark, which takes whole archives, for stores that only
+    it can reach.
+
+    With ``complete`` an archive that lacks a workbook of a table is an error that names it, old formats
+    included; :func:`archive_gaps` of the index lists all. Without it the other archives' rows are used. Cells of
     columns that no schema declares go to the map column ``rest`` (None: left out).
     ``keep_position`` keeps ``archive``, ``entry`` and ``row_idx``, the input order that
     ``clean_by_first`` can follow. Write the tables before using them more than once.
     """
-    archives = read_archives(spark, path)
-    missing = missing_tables(archives)
-    if missing:
-        raise ValueError(f"no workbook for {', '.join(missing)} below {path}")
+    if open_file is None:
+        archives = read_archives(spark, path)
+        listed = archive_entries(archives, content=False)
+        empty = archives.select(F.col("path").alias("archive"), *[F.lit(None).cast("string").alias(c) for c in ("entry", "table_name")])
+        index = listed.unionByName(empty)
+    else:
+        index = archive_index(listed_files(spark, path, "*.zip"), open_file)
+        if work is not None:
+            index = stored(index, work, "archive-index")
+    if complete:
+        require_complete(index, str(path))
 
     def read(name: str) -> DataFrame:
-        rows = workbook_rows(archive_entries(archives, [name], SUFFIXES))
+        if open_file is None:
+            rows = workbook_rows(archive_entries(archives, [name], SUFFIXES))
+        else:
+            own = index.where((F.col("table_name") == name) & is_readable(F.col("entry"), SUFFIXES))
+            rows = workbook_rows(read_entries(own, open_file), spread=False)
         table = workbook_table(rows, name, TABLES[name], rest=rest, strict=strict)
         return table if keep_position else table.drop(*POSITION)
 

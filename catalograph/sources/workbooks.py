@@ -200,7 +200,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield packed()
 
 
-def workbook_rows(entries: DataFrame) -> DataFrame:
+def workbook_rows(entries: DataFrame, spread: bool = True) -> DataFrame:
     """(archive, entry, table_name, row_idx, cells) of each workbook among archive entries.
 
     Row 1 is the header; ``cells`` maps every header name to the cell's text, or
@@ -210,11 +210,13 @@ def workbook_rows(entries: DataFrame) -> DataFrame:
     parsed by many tasks. The number of tasks is given, as adaptive execution
     would merge them by size, and a megabyte of workbook takes seconds to parse.
     The file format holds at most 1,048,576 rows per sheet, which bounds what one
-    task parses at a time.
+    task parses at a time. ``spread=False`` is for entries that are spread already (``read_entries``).
     """
     tasks = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_book = F.lower("entry").rlike(r"\.xls[xm]$")
-    books = entries.where(is_book).repartition(tasks, "archive", "entry")
+    books = entries.where(is_book)
+    if spread:
+        books = books.repartition(tasks, "archive", "entry")
     rows = books.select("archive", "entry", "table_name", "content").mapInArrow(_parse, ROW_SCHEMA)
     return rows.withColumn("cells", F.transform_values("cells", lambda _, v: missing_to_null(v)))
 

@@ -26,11 +26,23 @@ from catalograph.operators.segment import (
 )
 from catalograph.plans.cleaning import LINK_KEYS, POSITION, Catalog, clean, clean_by_first, read_catalog
 from catalograph.plans.monthly import Expectations, catalog_checks, stage_metrics
-from catalograph.schema import LINK, LINK_TABLE, LISTING, LISTING_TABLE, MASTER, MASTER_TABLE, rename_if_present
+from catalograph.schema import LINK, LINK_TABLE, LISTING, LISTING_TABLE, MASTER, MASTER_TABLE, TABLES, rename_if_present
 from catalograph.sinks import save_table, write_csv, write_parquet
-from catalograph.sources import archive_entries, load_table, read_csv, register, workbook_rows, workbook_table
+from catalograph.sources import (
+    SUFFIXES,
+    archive_entries,
+    archive_gaps,
+    archive_index,
+    listed_files,
+    load_table,
+    read_csv,
+    register,
+    workbook_rows,
+    workbook_table,
+)
 from catalograph.storage import row_position
 from queries import views
+from queries.landing import document_lots
 from queries.packing import archive_files, document_archives, table_archives
 from queries.views import table, with_views
 from queries.work import new_path, stored
@@ -587,12 +599,40 @@ def q_catalog_from_archives(spark, sf_dir):
     raw = views.raw_catalog(spark, sf_dir)
     files = archive_files(table_archives([raw.master, raw.link, raw.listing]), new_path(spark, "archives"))
     out = None
-    for name, df in read_catalog(spark, files, rest=None).named():
+    for name, df in read_catalog(spark, files, rest=None, work=new_path(spark, "work")).named():
         df = df.withColumn("table_name", F.lit(name))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out.select("table_name", "product_id", "price", "stock_quantity", "id_web", "post_type", "post_title", "total_sales")
 
 
+@query(
+    "archive_gaps",
+    """
+    WITH expected AS (
+      SELECT doc_id, t.table_name FROM documents
+      CROSS JOIN (SELECT 'fichier_erp' AS table_name UNION ALL SELECT 'fichier_liaison' UNION ALL SELECT 'fichier_web') t),
+    found AS (
+      SELECT doc_id, table_name,
+             CASE WHEN doc_id % 13 = 4 THEN 0
+                  WHEN table_name = 'fichier_erp' AND doc_id % 7 = 2 THEN 0
+                  WHEN table_name = 'fichier_web' AND doc_id % 5 = 1 THEN 0
+                  WHEN table_name = 'fichier_liaison' AND doc_id % 11 = 3 THEN 2 ELSE 1 END AS entries,
+             CASE WHEN doc_id % 13 <> 4 AND table_name = 'fichier_erp' AND doc_id % 7 = 2
+                  THEN 'Export/Fichier_ERP.XLS' END AS other
+      FROM expected)
+    SELECT 'lot-' || doc_id || '.zip' AS archive, table_name,
+           CASE WHEN entries > 1 THEN 'several' WHEN other IS NULL THEN 'missing' ELSE 'format' END AS problem,
+           CAST(entries AS BIGINT) AS entries, other
+    FROM found WHERE entries <> 1""",
+)
+def q_archive_gaps(spark, sf_dir):
+    """Archives written as files, of which some lack a workbook, hold an old one or one too many."""
+    folder = archive_files(document_lots(table(spark, sf_dir, "documents")), new_path(spark, "lots"))
+    index = archive_index(listed_files(spark, folder, "*.zip"))
+    gaps = archive_gaps(index, list(TABLES), SUFFIXES)
+    return gaps.withColumn("archive", F.regexp_replace("archive", "^.*/", ""))
+
+
 @query(
     "legacy_from_archives",
     """
