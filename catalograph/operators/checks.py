@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from catalograph.functions import thousands
@@ -60,6 +61,32 @@ def metric_rows(df: DataFrame, metrics: Sequence[tuple[str, str, Column]]) -> Da
     return values.select(F.inline(F.array(*rows)))
 
 
+@dataclass
+class Watch:
+    """Figures that are gathered while frames are written: no pass of their own.
+
+    :meth:`on` gives the frame to write; when it has been written, :meth:`rows` has its figures. A task that is
+    tried again counts once, as Spark takes the figures of the attempt that ends well.
+    """
+
+    seen: list[tuple[str, dict[str, Column], Observation]] = field(default_factory=list)
+
+    def on(self, df: DataFrame, step: str, **figures: Column) -> DataFrame:
+        """``df``, whose ``figures`` (aggregates) are noted under ``step`` when it is written."""
+        observation = Observation(f"{step}-{uuid.uuid4().hex}")
+        self.seen.append((step, figures, observation))
+        return df.observe(observation, *[value.cast("double").alias(name) for name, value in figures.items()])
+
+    def figures(self) -> dict[tuple[str, str], float | None]:
+        """By step and name. Waits for frames that have not been written yet."""
+        return {(step, name): seen.get.get(name) for step, names, seen in self.seen for name in names}
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """(step, metric, value) of all frames watched."""
+        found = [(step, name, value) for (step, name), value in self.figures().items()]
+        return spark.createDataFrame(found, "step string, metric string, value double")
+
+
 def count_lines(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """(step, msg): ``name: row count`` per table, numbered in the order given."""
     lines = [

@@ -1,4 +1,4 @@
-"""Inner join for a fact side where a few keys may hold most of the rows."""
+"""Inner joins: spread where a few keys hold most of the rows, and counted before they run."""
 
 from __future__ import annotations
 
@@ -41,3 +41,55 @@ def spread_join(fact: DataFrame, dim: DataFrame, key: str, spread_by: Column, he
     parted = fact.join(parts, key, "left").withColumn("_part", F.pmod(F.xxhash64(spread_by), count).cast("int"))
     repeated = dim.join(parts, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), count - 1)))
     return parted.drop(PARTS).join(repeated.drop(PARTS), [key, "_part"], "inner").drop("_part")
+
+
+def _per_key(df: DataFrame, key: str, name: str) -> DataFrame:
+    return df.where(F.col(f"`{key}`").isNotNull()).groupBy(key).agg(F.count("*").alias(name))
+
+
+def join_sizes(link: DataFrame, master: DataFrame, listing: DataFrame, master_key: str = "product_id", listing_key: str = "id_web") -> DataFrame:
+    """(master_key, listing_key, links, masters, listings, rows) of every pair of keys that the two joins match.
+
+    ``rows`` is how many rows the pair gives: the product of its counts in the three tables. Only counts
+    meet, one per key, combined before their shuffle; no row is joined, so a key that would fan out into
+    billions of rows costs as much as any other.
+    """
+    links = link.where(F.col(f"`{master_key}`").isNotNull() & F.col(f"`{listing_key}`").isNotNull())
+    pairs = links.groupBy(master_key, listing_key).agg(F.count("*").alias("links"))
+    met = pairs.join(_per_key(master, master_key, "masters"), master_key).join(_per_key(listing, listing_key, "listings"), listing_key)
+    rows = F.col("links").cast("decimal(38,0)") * F.col("masters") * F.col("listings")
+    return met.select(master_key, listing_key, "links", "masters", "listings", rows.cast("decimal(38,0)").alias("rows"))
+
+
+def predicted_rows(sizes: DataFrame) -> DataFrame:
+    """One row: ``links`` that find both partners, ``rows`` the joins give, ``fan_out`` how many of these exceed one per
+    link, ``keys`` how many pairs cause that."""
+    none = F.lit(0).cast("decimal(38,0)")
+    total = F.coalesce(F.sum("rows"), none)
+    links = F.coalesce(F.sum("links"), F.lit(0).cast("long"))
+    return sizes.agg(
+        links.alias("links"),
+        total.cast("decimal(38,0)").alias("rows"),
+        (total - links).cast("decimal(38,0)").alias("fan_out"),
+        F.count_if(F.col("rows") > F.col("links")).alias("keys"),
+    )
+
+
+def fan_out_keys(sizes: DataFrame) -> DataFrame:
+    """The pairs of keys that give more rows than they have links."""
+    return sizes.where(F.col("rows") > F.col("links"))
+
+
+class FanOut(ValueError):
+    """A join that would give more rows than allowed."""
+
+
+def require_fan_out(sizes: DataFrame, most: float, named: int = 5) -> None:
+    """Raise :class:`FanOut` before a join runs, if it gives more than ``most`` rows per link; the error names the pairs
+    that add most. Runs one job over the counts, and another if it raises."""
+    found = predicted_rows(sizes).first()
+    if found["rows"] > most * found["links"]:
+        extra = F.col("rows") - F.col("links")
+        worst = sizes.orderBy(extra.desc(), *[F.col(c) for c in sizes.columns[:2]]).limit(named).collect()
+        pairs = ", ".join(f"({r[0]}, {r[1]}): {r['rows']} rows" for r in worst)
+        raise FanOut(f"{found['links']} links give {found['rows']} rows, more than {most} each; {pairs}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Sequence
 from typing import BinaryIO
-from urllib.parse import unquote, urlsplit
+from urllib.parse import quote
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -19,13 +19,15 @@ Opener = Callable[[str], BinaryIO]
 def open_anywhere(path: str) -> BinaryIO:
     """A file that can seek, by the path that Spark lists it under: on shared disks, or in a store
     that Arrow's file systems reach (S3, GCS, HDFS, Azure)."""
-    parts = urlsplit(path)
-    if parts.scheme in ("", "file"):
-        return open(unquote(parts.path) if parts.scheme else path, "rb")
+    scheme, colon, rest = path.partition(":")
+    if path.startswith("/") or not colon:
+        return open(path, "rb")
+    if scheme == "file":  # such paths are not escaped
+        return open("/" + rest.lstrip("/"), "rb")
     from pyarrow import fs
 
-    scheme = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}.get(parts.scheme, parts.scheme)
-    store, name = fs.FileSystem.from_uri(parts._replace(scheme=scheme).geturl())
+    scheme = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}.get(scheme, scheme)
+    store, name = fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
     return store.open_input_file(name)
 
 

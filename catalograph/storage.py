@@ -8,7 +8,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -51,3 +51,26 @@ def row_position(df: DataFrame) -> list[Column]:
             raise
         return []
     return [F.xxhash64("_metadata.file_path", "_metadata.row_index")]
+
+
+def numbered(df: DataFrame, file: str, position: str, name: str = "row_number", width: int = 1 << 20) -> DataFrame:
+    """Add the rows' numbers, from 1, in the order of their files and byte positions.
+
+    Positions are cut into stretches of ``width`` bytes. A stretch is numbered by itself and starts behind the
+    rows of all stretches before it, so no task sees more than a stretch, or a number per stretch of one file
+    and per file. ``df`` is read twice, so pass a stored table rather than a long plan.
+    """
+    piece, own, files, before, file_rows = (f"_{name}_{x}" for x in ("piece", "own", "files", "before", "rows"))
+    placed = df.withColumn(piece, F.floor(F.col(position) / width))
+    counts = placed.groupBy(file, piece).agg(F.count("*").alias(file_rows))
+    earlier = Window.partitionBy(file).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn(before, F.coalesce(F.sum(file_rows).over(earlier), F.lit(0)))
+    per_file = counts.groupBy(file).agg(F.sum(file_rows).alias(file_rows))
+    # One row a file, in the order of their names.
+    earlier = Window.orderBy(file).rowsBetween(Window.unboundedPreceding, -1)
+    per_file = per_file.select(file, F.coalesce(F.sum(file_rows).over(earlier), F.lit(0)).alias(files))
+    starts = counts.select(file, piece, before).join(per_file, file)
+    within = F.row_number().over(Window.partitionBy(file, piece).orderBy(position))
+    out = placed.withColumn(own, within).join(starts, [file, piece])
+    number = F.col(files) + F.col(before) + F.col(own)
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], number.cast("long").alias(name))

@@ -78,7 +78,7 @@ def test_plan_reads_no_content_and_moves_no_content(spark, tmp_path):
 
 def test_both_ways_read_alike(spark, tmp_path):
     for lot in range(2):
-        (tmp_path / f"lot{lot}.zip").write_bytes(zip_bytes({**books(lot, 5), "x/": "", "é.txt": "ü", "__MACOSX/é.txt": "fork"}))
+        (tmp_path / f"lot #{lot} é%20?.zip").write_bytes(zip_bytes({**books(lot, 5), "x/": "", "é.txt": "ü", "__MACOSX/é.txt": "fork"}))
     ranged = read_entries(archive_index(listed_files(spark, str(tmp_path), "*.zip")))
     whole = archive_entries(read_archives(spark, str(tmp_path)))
     assert rows(ranged) == rows(whole) and ranged.count() == 8
