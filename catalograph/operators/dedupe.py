@@ -89,14 +89,21 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]
 
 
 def dedupe_if_duplicated(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] = (), count_null_keys: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str | Column] = (),
+    count_null_keys: bool = False,
+    duplicates: int | None = None,
 ) -> DataFrame:
     """``dedupe`` when there is any duplicate; else the table as it is, NULL keys included.
 
     What counts as a duplicate is ``dup_profile``'s: with ``count_null_keys``
     over all rows, else over rows with every key set. One plan decides, by a
-    scalar subquery; the driver never branches.
+    scalar subquery; the driver never branches. Where the profile has been made
+    already, its number of ``duplicates`` spares that.
     """
+    if duplicates is not None:
+        return dedupe(df, keys, order_by) if duplicates else df
     if count_null_keys and len(keys) > 1 and set(df.columns) == set(keys):
         return _distinct_if_duplicated(df, keys)
     profile = dup_profile(df, keys, ignore_null_keys=not count_null_keys)

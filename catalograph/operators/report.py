@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalograph.functions import finite, revenue, round_to, thousands
+from catalograph.functions.exact import exact_sums
 from catalograph.operators.joins import spread_join
 
 
@@ -41,8 +42,14 @@ def revenue_report(
     )
 
 
-def revenue_total(report: DataFrame, name: str = "chiffre_affaires_total") -> DataFrame:
-    """One row: total revenue to the cent; NULL, NaN and infinite revenues are skipped, no row gives 0."""
+def revenue_total(report: DataFrame, name: str = "chiffre_affaires_total", exact: bool = False) -> DataFrame:
+    """One row: total revenue to the cent; NULL, NaN and infinite revenues are skipped, no row gives 0.
+
+    With ``exact`` the cents do not depend on the order in which tasks add up (:mod:`catalograph.functions.exact`).
+    """
+    if exact:
+        sums = exact_sums(report, "chiffre_affaires", name="_sum")
+        return sums.select(F.coalesce(round_to(F.col("_sum"), 2), F.lit(0.0)).cast("double").alias(name))
     amounts = finite(F.col("chiffre_affaires"))
     return report.agg(F.coalesce(round_to(F.sum(amounts), 2), F.lit(0.0)).cast("double").alias(name))
 

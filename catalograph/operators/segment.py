@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalograph.functions import finite, round_to
+from catalograph.functions.exact import exact_deviation, exact_mean
 
 THRESHOLD = 2.0
 RAW_SCORE = "_z"
@@ -13,7 +14,7 @@ PREMIUM = "premium"
 ORDINARY = "ordinary"
 
 
-def with_raw_score(df: DataFrame, column: str, name: str = RAW_SCORE) -> DataFrame:
+def with_raw_score(df: DataFrame, column: str, name: str = RAW_SCORE, exact: bool = False) -> DataFrame:
     """Add the unrounded z-score of ``column`` over all rows of ``df``.
 
     Mean and sample deviation come from one aggregate, read back as a scalar
@@ -21,9 +22,13 @@ def with_raw_score(df: DataFrame, column: str, name: str = RAW_SCORE) -> DataFra
     any later filter, over finite values only. The score is NULL when the value is
     NULL, NaN or infinite, when there is one row, or when the deviation is zero.
 
-    ``df`` is read twice, so pass a stored table rather than a long plan.
+    ``df`` is read twice, so pass a stored table rather than a long plan. With ``exact`` it is read three times, and
+    scores are the same bits however the rows are dealt to tasks (:mod:`catalograph.functions.exact`).
     """
     value = finite(F.col(column))
+    if exact:
+        mean = exact_mean(df, column)
+        return df.withColumn(name, F.try_divide(value - mean, exact_deviation(df, column, mean)))
     stats = df.agg(F.struct(F.avg(value).alias("mean"), F.stddev_samp(value).alias("dev")).alias("s")).scalar()
     z = F.try_divide(value - stats["mean"], stats["dev"])
     return df.withColumn(name, z)

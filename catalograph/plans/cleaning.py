@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from catalograph.operators.clean import drop_blank_keys, drop_null_keys, keep_type
 from catalograph.operators.dedupe import dedupe, dedupe_if_duplicated, dedupe_keep_first
+from catalograph.operators.profile import dup_profile
 from catalograph.schema import (
     KEY_COLUMNS,
     LINK_TABLE,
@@ -122,7 +123,16 @@ def read_catalog(
     return Catalog(read(MASTER_TABLE), read(LINK_TABLE), read(LISTING_TABLE))
 
 
-def clean(raw: Catalog, keep_undoubled_nulls: bool = True) -> Catalog:
+def profile(raw: Catalog) -> dict[str, Row]:
+    """Rows, distinct keys and duplicates of master and link, one row each. One pass over their keys."""
+    names = ("total", "distinct", "duplicates")
+    return {
+        MASTER_TABLE: dup_profile(raw.master, ["product_id"], ignore_null_keys=True, names=names).first(),
+        LINK_TABLE: dup_profile(raw.link, LINK_KEYS, ignore_null_keys=False, names=names).first(),
+    }
+
+
+def clean(raw: Catalog, keep_undoubled_nulls: bool = True, profiles: Mapping[str, Row] | None = None) -> Catalog:
     """Current rules.
 
     Master and link are de-duplicated by key, the listing loses blank keys and
@@ -130,11 +140,13 @@ def clean(raw: Catalog, keep_undoubled_nulls: bool = True) -> Catalog:
 
     A master or link table without any duplicate keeps its NULL keys. Inner
     joins drop those rows anyway, so a plan that only joins the result may pass
-    ``keep_undoubled_nulls=False`` and save the duplicate profile.
+    ``keep_undoubled_nulls=False`` and save the duplicate profile. So may one that has made
+    it (:func:`profile`) and passes it as ``profiles``.
     """
     if keep_undoubled_nulls:
-        master = dedupe_if_duplicated(raw.master, ["product_id"])
-        link = dedupe_if_duplicated(raw.link, LINK_KEYS, count_null_keys=True)
+        known = {name: row["duplicates"] for name, row in (profiles or {}).items()}
+        master = dedupe_if_duplicated(raw.master, ["product_id"], duplicates=known.get(MASTER_TABLE))
+        link = dedupe_if_duplicated(raw.link, LINK_KEYS, count_null_keys=True, duplicates=known.get(LINK_TABLE))
     else:
         master = dedupe(raw.master, ["product_id"])
         link = dedupe(raw.link, LINK_KEYS)

@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from catalograph.functions import finite, round_to
-from catalograph.operators.checks import Check, check_lines, count_lines, joined_log, metric_rows, run_checks
-from catalograph.operators.clean import drop_blank_keys
-from catalograph.operators.joins import heavy_keys
+from catalograph.operators.checks import Check, Watch, check_lines, count_lines, joined_log, metric_rows, run_checks
+from catalograph.operators.clean import drop_blank_keys, listing_rules, with_reasons, write_routed
+from catalograph.operators.joins import heavy_keys, join_sizes, require_fan_out
 from catalograph.operators.report import ranked, revenue_report, revenue_total
 from catalograph.operators.segment import ORDINARY, PREMIUM, displayed, with_raw_score, with_segment
-from catalograph.plans.cleaning import LINK_KEYS, Catalog, clean
+from catalograph.plans.cleaning import LINK_KEYS, Catalog, clean, profile
 from catalograph.schema import LINK_TABLE, LISTING_TABLE, MASTER_TABLE
-from catalograph.sinks import write_csv, write_parquet
+from catalograph.sinks import write_csv, write_one_csv, write_parquet
 from catalograph.sources import load_table
-from catalograph.storage import row_position
+from catalograph.storage import remove, row_position
 
 
 @dataclass(frozen=True)
@@ -110,41 +111,85 @@ def stage_metrics(raw: Catalog, cleaned: Catalog, report: DataFrame) -> DataFram
     return reduce(DataFrame.unionByName, parts)
 
 
+def watched_metrics(watch: Watch, profiles: Mapping[str, Row], spark: SparkSession) -> DataFrame:
+    """(step, metric, value): :func:`stage_metrics` from figures gathered while the tables were written, and the
+    profiles that cleaning needed anyway. Reads no table."""
+    found = [(f"profile {name}", figure, float(row[figure])) for name, row in profiles.items() for figure in ("total", "distinct", "duplicates")]
+    return watch.rows(spark).unionByName(spark.createDataFrame(found, "step string, metric string, value double"))
+
+
 def run_month(
-    raw: Catalog, out: str, expected: Expectations = Expectations(), copy_raw: bool = True
+    raw: Catalog,
+    out: str,
+    expected: Expectations = Expectations(),
+    copy_raw: bool = True,
+    one_file: bool = False,
+    keep_rejected: bool = False,
+    most_fan_out: float | None = None,
 ) -> dict[str, DataFrame]:
     """Run everything and write it below ``out``, a folder all executors share.
 
     Each table is written once and read back before it is used again, so no
     join or de-duplication runs twice and a lost executor never replays the
-    whole plan. ``copy_raw=False`` is for raw tables that are stored already.
+    whole plan. ``copy_raw=False`` is for raw tables that are stored already. Row counts and
+    the revenue of the run's metrics are taken while tables are written. Total and scores are
+    the same bits in every run over the same rows.
+
+    ``one_file`` writes every report as one ordered CSV file instead of a folder of parts. ``keep_rejected``
+    also keeps the listing rows that cleaning removes, with the reasons, as table ``rejected``. ``most_fan_out`` stops
+    the run before the joins if they would give more rows than that per link.
     Returns the written tables by name.
     """
     spark = raw.master.sparkSession
     folder = out.rstrip("/")
+    watch = Watch()
+    rows = F.count("*")
 
-    def keep(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-        write_parquet(df, f"{folder}/{name}", partition_by)
+    def keep(df: DataFrame, name: str, partition_by: str | None = None, step: str | None = None, **figures: Column) -> DataFrame:
+        watched = watch.on(df, step, **figures) if step else df
+        write_parquet(watched, f"{folder}/{name}", partition_by)
         return load_table(spark, folder, name, df.schema)
 
     if copy_raw:
-        raw = Catalog(*(keep(df, f"raw/{name}") for name, df in raw.named()))
-    cleaned = Catalog(*(keep(df, f"clean/{name}") for name, df in clean(raw).named()))
+        raw = Catalog(*(keep(df, f"raw/{name}", step=f"read {name}", rows=rows) for name, df in raw.named()))
+    profiles = profile(raw)
+    kept = clean(raw, profiles=profiles)
+    others = {}
+    if keep_rejected:
+        tagged = with_reasons(raw.listing, listing_rules())
+        remove(spark, f"{folder}/routed")
+        listing, others["rejected"] = write_routed(tagged, f"{folder}/routed")
+        kept = Catalog(kept.master, kept.link, listing)
+    cleaned = Catalog(*(keep(df, f"clean/{name}", step=f"clean {name}", rows=rows) for name, df in kept.named()))
+    if most_fan_out is not None:
+        require_fan_out(join_sizes(cleaned.link, cleaned.master, cleaned.listing), most_fan_out)
 
     heavy = keep(heavy_keys(cleaned.link, "product_id"), "heavy")
-    report = keep(revenue_report(cleaned.master, cleaned.link, cleaned.listing, heavy), "report")
-    total = keep(revenue_total(report), "total")
+    joined = revenue_report(cleaned.master, cleaned.link, cleaned.listing, heavy)
+    revenue = round_to(F.sum(finite(F.col("chiffre_affaires"))), 2)
+    report = keep(joined, "report", step="report", rows=rows, revenue=revenue)
+    total = keep(revenue_total(report, exact=True), "total")
     # Scored once: both parts come from the same mean and deviation.
-    segments = keep(displayed(with_segment(with_raw_score(report, "prix_unitaire"))), "segments", "segment")
+    scored = with_raw_score(report, "prix_unitaire", exact=True)
+    segments = keep(displayed(with_segment(scored)), "segments", "segment")
+
+    def export(df: DataFrame, name: str) -> None:
+        if one_file:
+            write_one_csv(df, f"{folder}/csv/{name}.csv")
+        else:
+            write_csv(df, f"{folder}/csv/{name}")
 
-    write_csv(ranked(report, "chiffre_affaires", row_position(report)), f"{folder}/csv/report")
-    write_csv(total, f"{folder}/csv/total")
+    export(ranked(report, "chiffre_affaires", row_position(report)), "report")
+    export(total, "total")
     for name in (PREMIUM, ORDINARY):
         part = segments.where(F.col("segment") == name).drop("segment")
-        write_csv(ranked(part, "z_score", row_position(part)), f"{folder}/csv/{name}")
+        export(ranked(part, "z_score", row_position(part)), name)
 
     checks = keep(catalog_checks(cleaned, drop_blank_keys(raw.listing), report, segments, expected), "checks")
-    metrics = keep(stage_metrics(raw, cleaned, report), "metrics")
+    found = watched_metrics(watch, profiles, spark)
+    if not copy_raw:
+        found = found.unionByName(reduce(DataFrame.unionByName, [metric_rows(df, [(f"read {name}", "rows", rows)]) for name, df in raw.named()]))
+    metrics = keep(found, "metrics")
     counts = count_lines(raw.named())
     verdicts = check_lines(checks, CHECK_NAMES, first_step=len(raw.named()) + 1)
     log = keep(joined_log(counts.unionByName(verdicts)), "log")
@@ -156,4 +201,5 @@ def run_month(
         "checks": checks,
         "metrics": metrics,
         "log": log,
+        **others,
     }

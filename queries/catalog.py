@@ -3,31 +3,43 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalograph.functions import MISSING_TOKENS, has_all_keys, is_blank, revenue, round_to
-from catalograph.operators.checks import Check, check_lines, count_lines, joined_log, run_checks
-from catalograph.operators.clean import drop_blank_keys, drop_null_keys, keep_type
+from catalograph.functions import MISSING_TOKENS, finite, has_all_keys, is_blank, revenue, round_to
+from catalograph.functions.exact import exact_sums
+from catalograph.operators.checks import Check, Watch, check_lines, count_lines, joined_log, run_checks
+from catalograph.operators.clean import (
+    REASONS,
+    drop_blank_keys,
+    drop_null_keys,
+    keep_type,
+    key_rules,
+    listing_rules,
+    reason_counts,
+    with_reasons,
+    write_routed,
+)
 from catalograph.operators.dedupe import dedupe, dedupe_if_duplicated, dedupe_keep_first
-from catalograph.operators.joins import heavy_keys
+from catalograph.operators.inference import inferred_types
+from catalograph.operators.joins import fan_out_keys, heavy_keys, join_sizes, predicted_rows
 from catalograph.operators.profile import dup_count, dup_profile, table_counts, type_filter_counts
 from catalograph.operators.report import ranked, revenue_report, revenue_total, revenue_total_text
 from catalograph.operators.segment import (
-    ORDINARY,
-    PREMIUM,
     THRESHOLD,
     displayed,
+    ordinary,
     premium,
     price_scores,
     with_raw_score,
     with_segment,
 )
-from catalograph.plans.cleaning import LINK_KEYS, POSITION, Catalog, clean, clean_by_first, read_catalog
-from catalograph.plans.monthly import Expectations, catalog_checks, stage_metrics
+from catalograph.plans.cleaning import LINK_KEYS, POSITION, Catalog, clean, clean_by_first, profile, read_catalog
+from catalograph.plans.monthly import Expectations, catalog_checks, watched_metrics
 from catalograph.schema import LINK, LINK_TABLE, LISTING, LISTING_TABLE, MASTER, MASTER_TABLE, TABLES, rename_if_present
-from catalograph.sinks import save_table, write_csv, write_parquet
+from catalograph.sinks import PART, drop_table, save_bucketed, save_table, write_csv, write_one_csv, write_parquet
 from catalograph.sources import (
     SUFFIXES,
     archive_entries,
@@ -36,11 +48,13 @@ from catalograph.sources import (
     listed_files,
     load_table,
     read_csv,
+    read_large_csv,
     register,
     workbook_rows,
     workbook_table,
 )
-from catalograph.storage import row_position
+from catalograph.storage import numbered, row_position
+from catalograph.versions import load_version, replace_table
 from queries import views
 from queries.landing import document_lots
 from queries.packing import archive_files, document_archives, table_archives
@@ -278,6 +292,137 @@ def q_revenue_report(spark, sf_dir):
     return ranked(report, "chiffre_affaires", row_position(report))
 
 
+@query(
+    "ordered_report_file",
+    """
+    SELECT ROW_NUMBER() OVER (ORDER BY chiffre_affaires DESC NULLS LAST, product_id, id_web, nom_produit, prix_unitaire,
+                              ventes_totales, stock) AS row_number,
+           product_id, id_web, chiffre_affaires
+    FROM report""",
+    "report",
+)
+def q_ordered_report_file(spark, sf_dir):
+    """The ordered report as one CSV file, read back by many tasks with the numbers of its rows."""
+    report = views.stored_report(spark, sf_dir)
+    path = write_one_csv(ranked(report, "chiffre_affaires", row_position(report)), new_path(spark, "report") + ".csv")
+    rows = read_large_csv(spark, path, report.schema, position=True, split_bytes=1 << 16, work=new_path(spark, "ranges"))
+    rows = stored(rows.select("_file", "_position", "product_id", "id_web", "chiffre_affaires"), "report-rows")
+    return numbered(rows, "_file", "_position", width=1 << 14).select("row_number", "product_id", "id_web", "chiffre_affaires")
+
+
+@query(
+    "exact_totals",
+    """
+    SELECT event_type, ROUND(fsum(value), 2) AS total, COUNT(value) AS total_n FROM events GROUP BY event_type
+    UNION ALL
+    SELECT 'revenue', ROUND(fsum(chiffre_affaires), 2), COUNT(chiffre_affaires) FROM report""",
+    "report",
+)
+def q_exact_totals(spark, sf_dir):
+    """Sums that are the same bits whatever the partitioning."""
+    events = exact_sums(table(spark, sf_dir, "events"), "value", ["event_type"])
+    revenue = exact_sums(views.report(spark, sf_dir), "chiffre_affaires").withColumn("event_type", F.lit("revenue"))
+    return events.unionByName(revenue).withColumn("total", round_to(F.col("total"), 2))
+
+
+@query(
+    "exact_zscore",
+    """
+    SELECT product_id, id_web, ROUND((prix_unitaire - a) / NULLIF(sd, 0), 4) AS z_score
+    FROM report CROSS JOIN (SELECT fsum(prix_unitaire) / COUNT(prix_unitaire) AS a, STDDEV(prix_unitaire) AS sd FROM report) s""",
+    "report",
+)
+def q_exact_zscore(spark, sf_dir):
+    scored = with_raw_score(views.stored_report(spark, sf_dir), "prix_unitaire", exact=True)
+    return displayed(scored).select("product_id", "id_web", "z_score")
+
+
+@query(
+    "predicted_report_rows",
+    """
+    SELECT name, CAST(rows AS DOUBLE) AS rows FROM (
+      SELECT 'raw' AS name, COUNT(*) AS rows
+      FROM erp e JOIN liaison l ON e.product_id = l.product_id JOIN web w ON l.id_web = w.id_web
+      UNION ALL
+      SELECT 'clean', COUNT(*) FROM report
+      UNION ALL
+      SELECT 'hot', COUNT(*) FROM hot_report) x""",
+    "report", "hot_report",
+)
+def q_predicted_report_rows(spark, sf_dir):
+    """How many rows the joins will give, from counts per key alone."""
+    raw, kept = views.raw_catalog(spark, sf_dir), clean(views.raw_catalog(spark, sf_dir), keep_undoubled_nulls=False)
+    hot = join_sizes(views.hot_link(spark, sf_dir), kept.master, views.hot_listing(spark, sf_dir))
+    sizes = {"raw": join_sizes(raw.link, raw.master, raw.listing), "clean": join_sizes(kept.link, kept.master, kept.listing), "hot": hot}
+    parts = [predicted_rows(s).select(F.lit(name).alias("name"), F.col("rows").cast("double").alias("rows")) for name, s in sizes.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "fan_out_keys",
+    """
+    SELECT product_id, id_web, links, rows FROM (
+      SELECT l.product_id, l.id_web, COUNT(*) AS rows FROM erp e JOIN liaison l ON e.product_id = l.product_id
+      JOIN web w ON l.id_web = w.id_web GROUP BY 1, 2) j
+    JOIN (SELECT product_id, id_web, COUNT(*) AS links FROM liaison GROUP BY 1, 2) k USING (product_id, id_web)
+    WHERE rows > links""",
+    "erp", "liaison", "web",
+)
+def q_fan_out_keys(spark, sf_dir):
+    raw = views.raw_catalog(spark, sf_dir)
+    found = fan_out_keys(join_sizes(raw.link, raw.master, raw.listing))
+    return found.select("product_id", "id_web", "links", F.col("rows").cast("long").alias("rows"))
+
+
+@query(
+    "rejected_rows",
+    """
+    SELECT 'fichier_web' AS table_name, reason, COUNT(*) AS n FROM (
+      SELECT CASE WHEN COALESCE(id_web, '') = '' THEN 'blank_key' END AS reason FROM web
+      UNION ALL SELECT CASE WHEN post_type <> 'product' THEN 'other_type' END FROM web
+      UNION ALL SELECT CASE WHEN COALESCE(id_web, '') = '' OR post_type <> 'product' THEN 'rejected' ELSE 'accepted' END FROM web) x
+    WHERE reason IS NOT NULL GROUP BY reason
+    UNION ALL
+    SELECT 'fichier_erp', reason, COUNT(*) FROM (
+      SELECT CASE WHEN product_id IS NULL THEN 'null_key' WHEN rn > 1 THEN 'duplicate' END AS reason FROM ranked
+      UNION ALL SELECT CASE WHEN product_id IS NULL OR rn > 1 THEN 'rejected' ELSE 'accepted' END FROM ranked) x
+    WHERE reason IS NOT NULL GROUP BY reason
+    UNION ALL SELECT 'both parts', 'rows', COUNT(*) FROM web""",
+    "web", "ranked",
+)
+def q_rejected_rows(spark, sf_dir):
+    """Listing rows routed in one pass, accepted and rejected ones apart; master rows told why they go."""
+    tagged = with_reasons(views.web(spark, sf_dir), listing_rules())
+    kept, gone = write_routed(tagged, new_path(spark, "routed"))
+    listing = reason_counts(kept.withColumn(REASONS, F.array().cast("array<string>")).unionByName(gone))
+    ranked_rows, rules = key_rules(views.erp(spark, sf_dir), ["product_id"])
+    master = reason_counts(with_reasons(ranked_rows, rules))
+    both = kept.unionByName(gone.drop(REASONS)).agg(F.lit("rows").alias("reason"), F.count("*").alias("n"))
+    parts = {"fichier_web": listing, "fichier_erp": master, "both parts": both}
+    return reduce(DataFrame.unionByName, [df.select(F.lit(name).alias("table_name"), "reason", "n") for name, df in parts.items()])
+
+
+@query(
+    "bucketed_join",
+    """
+    SELECT product_id, id_web, price, stock_quantity FROM erp_d
+    JOIN (SELECT CASE WHEN n % 3 = 0 THEN 7 ELSE l_partkey END AS product_id, CAST(n AS VARCHAR(20)) AS id_web
+          FROM (SELECT l_partkey, l_orderkey * 8 + l_linenumber AS n FROM lineitem) x) l USING (product_id)""",
+    "erp_d",
+)
+def q_bucketed_join(spark, sf_dir):
+    """Master and links stored in buckets by product, the hot product in parts: the join moves no row."""
+    link = views.hot_link(spark, sf_dir)
+    heavy = stored(heavy_keys(link, "product_id"), "heavy")
+    names = [f"catalograph_{new_path(spark, 'bucketed').rsplit('-', 1)[1]}" for _ in range(2)]
+    links = save_bucketed(link, names[0], new_path(spark, "links"), "product_id", 16, heavy, F.col("id_web"))
+    masters = save_bucketed(views.erp_d(spark, sf_dir), names[1], new_path(spark, "masters"), "product_id", 16, heavy)
+    joined = links.join(masters, ["product_id", PART]).select("product_id", "id_web", "price", "stock_quantity")
+    for name in names:  # the plan has what it needs, and the files stay
+        spark.sql(f"DROP TABLE {name}")
+    return joined
+
+
 @query(
     "revenue_total",
     "SELECT COALESCE(ROUND(SUM(chiffre_affaires), 2), 0) AS chiffre_affaires_total FROM report",
@@ -306,16 +451,21 @@ def q_price_zscore(spark, sf_dir):
     return price_scores(views.stored_report(spark, sf_dir))
 
 
+def _by_score(spark, sf_dir, part):
+    """One part of the scored report in the order of its scores; only the report is written."""
+    report = views.stored_report(spark, sf_dir)
+    placed = report.withColumn("_place", row_position(report)[0])
+    return ranked(displayed(part(with_raw_score(placed, "prix_unitaire"))), "z_score").drop("_place")
+
+
 @query("premium", f"SELECT {SCORED_COLUMNS} FROM scored WHERE z > 2", "scored")
 def q_premium(spark, sf_dir):
-    part = views.segments(spark, sf_dir).where(F.col("segment") == PREMIUM).drop("segment")
-    return ranked(part, "z_score", row_position(part))
+    return _by_score(spark, sf_dir, premium)
 
 
 @query("ordinary", f"SELECT {SCORED_COLUMNS} FROM scored WHERE z <= 2", "scored")
 def q_ordinary(spark, sf_dir):
-    part = views.segments(spark, sf_dir).where(F.col("segment") == ORDINARY).drop("segment")
-    return ranked(part, "z_score", row_position(part))
+    return _by_score(spark, sf_dir, ordinary)
 
 
 @query(
@@ -326,7 +476,7 @@ def q_ordinary(spark, sf_dir):
     "scored",
 )
 def q_price_segments(spark, sf_dir):
-    return views.segments(spark, sf_dir)
+    return displayed(with_segment(views.scored(spark, sf_dir)))
 
 
 @query(
@@ -424,7 +574,7 @@ def q_skewed_report(spark, sf_dir):
 def q_checks(spark, sf_dir):
     """The shipped checks on cleaned, stored tables. Expected figures are aggregates that go
     another way; ``report_rows`` fails, as listings without a type fan out."""
-    raw = views.raw_catalog(spark, sf_dir)
+    raw = views.stored_catalog(spark, sf_dir)
     kept = clean(raw)
     cleaned = Catalog(stored(kept.master, "erp"), stored(kept.link, "liaison"), stored(kept.listing, "web"))
     report = stored(revenue_report(cleaned.master, cleaned.link, cleaned.listing, heavy_keys(cleaned.link, "product_id")), "report")
@@ -498,12 +648,19 @@ def q_check_log(spark, sf_dir):
     "report",
 )
 def q_stage_metrics(spark, sf_dir):
-    raw = views.raw_catalog(spark, sf_dir)
-    kept = clean(raw)
-    cleaned = Catalog(stored(kept.master, "erp"), stored(kept.link, "liaison"), stored(kept.listing, "web"))
+    """Figures gathered while the tables are written; the profiles are those that cleaning needs."""
+    watch, rows = Watch(), F.count("*")
+
+    def kept(df, step, label, **figures):
+        return stored(watch.on(df, step, rows=rows, **figures), label)
+
+    raw = Catalog(*(kept(df, f"read {name}", "raw") for name, df in views.raw_catalog(spark, sf_dir).named()))
+    profiles = profile(raw)
+    cleaned = Catalog(*(kept(df, f"clean {name}", "clean") for name, df in clean(raw, profiles=profiles).named()))
     heavy = heavy_keys(cleaned.link, "product_id")
-    report = stored(revenue_report(cleaned.master, cleaned.link, cleaned.listing, heavy), "report")
-    return stage_metrics(raw, cleaned, report)
+    revenue_sum = round_to(F.sum(finite(F.col("chiffre_affaires"))), 2)
+    kept(revenue_report(cleaned.master, cleaned.link, cleaned.listing, heavy), "report", "report", revenue=revenue_sum)
+    return watched_metrics(watch, profiles, spark)
 
 
 # Files in, files out
@@ -521,13 +678,63 @@ def q_csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, LISTING)
 
 
-@query(
-    "csv_text_roundtrip",
-    f"""
+TEXTS_SQL = f"""
     SELECT doc_id, CASE WHEN text NOT IN ({MISSING_SQL}) THEN text END AS text,
            CASE WHEN source NOT IN ({MISSING_SQL}) THEN source END AS source
-    FROM documents""",
+    FROM documents"""
+
+
+@query("csv_large_file", TEXTS_SQL)
+def q_csv_large_file(spark, sf_dir):
+    """All texts, line breaks and quotes included, as one file that many tasks read."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    path = write_one_csv(documents, new_path(spark, "documents") + ".csv")
+    return read_large_csv(spark, path, documents.schema, split_bytes=1 << 18, work=new_path(spark, "ranges"))
+
+
+@query(
+    "csv_inferred",
+    """
+    SELECT p_partkey, p_name, CAST(p_size AS BIGINT) AS p_size, p_retailprice,
+           CASE WHEN p_partkey % 3 > 0 THEN DATE '2024-01-01' + CAST(p_size AS INTEGER) END AS day,
+           CASE p_partkey % 3 WHEN 0 THEN CAST(p_size AS VARCHAR) WHEN 1 THEN '2.5' ELSE 'x' || p_size END AS mixed,
+           CAST(NULL AS VARCHAR) AS nothing
+    FROM part""",
+)
+def q_csv_inferred(spark, sf_dir):
+    """A file read without a schema has the types that all its cells allow."""
+    path = write_csv(views.typed_parts(spark, sf_dir), new_path(spark, "parts-csv"))
+    return read_csv(spark, path, None)
+
+
+@query(
+    "inferred_types",
+    """
+    WITH cells AS (
+      SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, CAST(p_size AS VARCHAR) AS p_size,
+             CAST(p_retailprice AS VARCHAR) AS p_retailprice,
+             CASE WHEN p_partkey % 3 > 0 THEN CAST(DATE '2024-01-01' + CAST(p_size AS INTEGER) AS VARCHAR) END AS day,
+             CASE p_partkey % 3 WHEN 0 THEN CAST(p_size AS VARCHAR) WHEN 1 THEN '2.5' ELSE 'x' || p_size END AS mixed,
+             CAST(NULL AS VARCHAR) AS nothing
+      FROM part),
+    long AS (
+      SELECT 'p_partkey' AS "column", p_partkey AS cell FROM cells UNION ALL SELECT 'p_name', p_name FROM cells
+      UNION ALL SELECT 'p_size', p_size FROM cells UNION ALL SELECT 'p_retailprice', p_retailprice FROM cells
+      UNION ALL SELECT 'day', day FROM cells UNION ALL SELECT 'mixed', mixed FROM cells
+      UNION ALL SELECT 'nothing', nothing FROM cells)
+    SELECT "column", CASE WHEN COUNT(cell) = 0 THEN 'missing'
+             WHEN COUNT(cell) = COUNT(*) FILTER (WHERE regexp_full_match(cell, '[+-]?[0-9]{1,19}')) THEN 'bigint'
+             WHEN COUNT(cell) = COUNT(*) FILTER (WHERE regexp_full_match(cell, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]{1,3})?')) THEN 'double'
+             WHEN COUNT(cell) = COUNT(*) FILTER (WHERE TRY_CAST(cell AS DATE) IS NOT NULL) THEN 'date' ELSE 'string' END AS type,
+           COUNT(cell) AS n_values, COUNT(*) - COUNT(cell) AS n_missing
+    FROM long GROUP BY 1""",
 )
+def q_inferred_types(spark, sf_dir):
+    parts = views.typed_parts(spark, sf_dir)
+    return inferred_types(parts.select(*[F.col(c).cast("string").alias(c) for c in parts.columns]))
+
+
+@query("csv_text_roundtrip", TEXTS_SQL)
 def q_csv_text_roundtrip(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     path = write_csv(documents, new_path(spark, "documents-csv"))
@@ -666,10 +873,25 @@ def q_saved_tables(spark, sf_dir):
     again = save_table(raw.where("product_id IS NOT NULL"), name)
     out = first.withColumn("table_name", F.lit("erp")).unionByName(again.withColumn("table_name", F.lit("again")))
     out = stored(out.select("table_name", "product_id", "price"), "saved")
-    spark.sql(f"DROP TABLE {name}")
+    drop_table(spark, name)
     return out
 
 
+@query("kept_after_failure", "SELECT product_id, price FROM erp", "erp")
+def q_kept_after_failure(spark, sf_dir):
+    """A table whose replacement fails in the midst of its write: the rows before are still read."""
+    place = new_path(spark, "versions")
+    raw = views.erp(spark, sf_dir).select("product_id", "price")
+    replace_table(raw, place)
+    broken = F.when(F.col("product_id").isNull(), F.raise_error(F.lit("planted failure")).cast("double")).otherwise(F.col("price"))
+    try:
+        replace_table(raw.withColumn("price", broken), place)
+    except Exception as error:
+        if "planted failure" not in str(error):
+            raise
+    return load_version(spark, place)
+
+
 @query(
     "report_sinks",
     """

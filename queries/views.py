@@ -171,6 +171,21 @@ def hot_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def typed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with a column of each type a file may show: days with gaps, mixed values, nothing."""
+    key, size = F.col("p_partkey"), F.col("p_size")
+    return table(spark, sf_dir, "part").select(
+        "p_partkey",
+        "p_name",
+        "p_size",
+        "p_retailprice",
+        F.when(key % 3 > 0, F.date_add(F.to_date(F.lit("2024-01-01")), size)).alias("day"),
+        F.when(key % 3 == 0, size.cast("string")).when(key % 3 == 1, "2.5").otherwise(F.concat(F.lit("x"), size)).alias("mixed"),
+        F.lit(None).cast("string").alias("nothing"),
+    )
+
+
+# The SQL says what the views above say.
 ORACLE_VIEWS = {
     "priced": """
         SELECT p_partkey, price, p_size
@@ -240,6 +255,8 @@ ORACLE_VIEWS = {
         SELECT product_id, id_web, CASE WHEN product_id % 13 = 0 OR product_id % 17 = 0 OR product_id % 19 = 0
                OR product_id % 23 = 0 THEN NULL ELSE prix_unitaire END AS price
         FROM report""",
+    "ranked": """
+        SELECT product_id, ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY price, stock_quantity) AS rn FROM erp""",
     "legacy_link": """
         SELECT DISTINCT product_id, id_web FROM liaison WHERE product_id IS NOT NULL AND id_web IS NOT NULL""",
     "legacy_web": """
@@ -263,6 +280,7 @@ NEEDS = {
     "report": ["erp_d", "liaison_d", "web_c"],
     "scored": ["report"],
     "legacy_link": ["liaison"],
+    "ranked": ["erp"],
     "legacy_web": ["web"],
 }
 

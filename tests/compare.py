@@ -40,7 +40,7 @@ def _rows(columns, rows):
 
 
 # Type names of either engine under one name.
-TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean", "DATE": "date"}
 
 
 def difference(df, con, sql: str) -> str | None:

@@ -6,7 +6,9 @@ import pandas as pd
 import pytest
 from conftest import rows
 
+from catalograph.operators.joins import FanOut
 from catalograph.plans import Catalog, Expectations, read_catalog, run_month
+from catalograph.plans.monthly import stage_metrics
 from catalograph.schema import TABLES
 from catalograph.sources import load_table
 from queries.packing import workbook_bytes, zip_bytes
@@ -100,3 +102,34 @@ def test_stored_raw_tables_need_no_copy(spark, run, tmp_path):
     assert not (tmp_path / "raw").exists()
     assert rows(again["total"]) == [(revenue,)]
     assert rows(again["report"]) == rows(tables["report"])
+
+
+def test_metrics_need_no_pass_of_their_own(spark, run, tmp_path):
+    """The same figures as a pass over every stored table gives."""
+    out, tables, _ = run
+    raw = Catalog(*(load_table(spark, f"{out}/raw", name) for name in TABLES))
+    cleaned = Catalog(*(tables[name] for name in TABLES))
+    assert rows(tables["metrics"]) == rows(stage_metrics(raw, cleaned, tables["report"]))
+    again = run_month(raw, str(tmp_path), copy_raw=False)
+    assert rows(again["metrics"]) == rows(tables["metrics"])
+
+
+def test_one_file_per_report(spark, run, tmp_path):
+    out, tables, _ = run
+    raw = Catalog(*(load_table(spark, f"{out}/raw", name) for name in TABLES))
+    again = run_month(raw, str(tmp_path), copy_raw=False, one_file=True, keep_rejected=True, most_fan_out=1)
+    assert sorted(p.name for p in (tmp_path / "csv").iterdir() if p.suffix != ".crc") == ["ordinary.csv", "premium.csv", "report.csv", "total.csv"]
+    pd.testing.assert_frame_equal(pd.read_csv(tmp_path / "csv" / "report.csv"), read_parts(out / "csv" / "report"))
+    assert rows(again["report"]) == rows(tables["report"])
+    reasons = sorted(tuple(r._reasons) for r in again["rejected"].collect())
+    assert reasons == [("blank_key",)] * 2 + [("other_type",)] * (N + 1)
+    assert again["rejected"].count() + again["fichier_web"].count() == raw.listing.count()
+
+
+def test_a_run_stops_before_joins_that_fan_out(spark, run, tmp_path):
+    out, _, _ = run
+    raw = Catalog(*(load_table(spark, f"{out}/raw", name) for name in TABLES))
+    double = Catalog(raw.master, raw.link, raw.listing.unionByName(raw.listing.where("id_web = 'w3'")))
+    with pytest.raises(FanOut, match=r"60 links give 61 rows, more than 1 each; \(3, w3\): 2 rows"):
+        run_month(double, str(tmp_path), copy_raw=False, most_fan_out=1)
+    assert not (tmp_path / "report").exists()
