@@ -44,12 +44,13 @@ FROM merged GROUP BY doc_id
 
 EXACT_TOP_K = """
 WITH v AS (
-  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS vector FROM embeddings
+  SELECT row_number() OVER () AS row, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS vector
+  FROM embeddings
   WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([a[1] * a[2] for a in list_zip(q.vector, c.vector)]) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
-ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+  SELECT q.row, q.vec_id AS query_id, c.vec_id, CAST(list_sum([a[1] * a[2] for a in list_zip(q.vector, c.vector)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.row <> c.row AND len(q.vector) = len(c.vector) WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
@@ -71,7 +72,7 @@ def quality_sql(risk: quality.Risk = quality.Risk()) -> str:
     rules = ", ".join(f"{{'rule': {k}, 'score': coalesce(CAST({score.replace(' / ', ' AS DOUBLE) / nullif(')}, 0), 0)}}" for k, (_, score, _) in enumerate(risk.grid))
     steps = ", ".join(f"({k}, {step}, {cut!r})" for k, (_, _, grid) in enumerate(risk.grid) for step, cut in enumerate(grid))
     bands = " + ".join(f"CAST(n_words >= {b} AS INTEGER)" for b in quality.BANDS)
-    p, error = risk.risk / len(risk.grid), risk.error / (len(risk.grid) * (len(quality.BANDS) + 1))
+    p, error = risk.risk, risk.error / (len(quality.BANDS) + 1)
     spaces = r"'[\x20\x09-\x0D]'"
     return f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS ws FROM documents),
@@ -87,23 +88,32 @@ counted AS (
          CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
   FROM docs JOIN line USING (doc_id) LEFT JOIN again USING (doc_id)),
 scored AS (
-  SELECT *, {bands} AS stratum, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, [{rules}] AS scores FROM counted),
+  SELECT *, row_number() OVER () AS row, {bands} AS stratum, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         [{rules}] AS scores FROM counted),
 known AS (SELECT doc_id, min(quality) AS good FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) IS NOT NULL),
-told AS (SELECT stratum, good > 0 AS good, substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) >= '8' AS held, s.rule AS rule, s.score AS score
+told AS (SELECT row, stratum, good > 0 AS good, substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) >= '8' AS held, s.rule AS rule, s.score AS score
          FROM scored JOIN known USING (doc_id), unnest(scores) t(s) WHERE NOT base_failed),
 grid AS (SELECT * FROM (VALUES {steps}) t(rule, step, cutoff)),
 tested AS (
-  SELECT stratum, rule, step, cutoff, count(*) FILTER (held AND good) AS n, count(*) FILTER (held AND good AND score > cutoff) AS k,
-         count(*) FILTER (NOT held AND NOT good AND score > cutoff) AS junk
+  SELECT stratum, rule, step, cutoff, count(*) FILTER (NOT held AND NOT good AND score > cutoff) AS junk,
+         count(*) FILTER (NOT held AND good AND score > cutoff) AS lost
   FROM told JOIN grid USING (rule) GROUP BY ALL),
+useful AS (SELECT * FROM (SELECT *, lag(junk, 1, 0) OVER (PARTITION BY stratum, rule ORDER BY step) AS earlier FROM tested) x WHERE junk > earlier),
+added AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY lost, step, junk DESC, rule) AS m FROM useful),
+lost AS (
+  SELECT h.row, h.stratum, min(a.m) AS place
+  FROM told h LEFT JOIN added a ON a.stratum = h.stratum AND a.rule = h.rule AND h.score > a.cutoff WHERE held AND good GROUP BY ALL),
+reached AS (
+  SELECT a.stratum, a.m, a.rule, a.cutoff, count(*) AS n, count(*) FILTER (l.place <= a.m) AS k
+  FROM added a JOIN lost l USING (stratum) GROUP BY ALL),
 certified AS (
-  SELECT *, coalesce(n > 0 AND list_sum([exp(lgamma(n + 1) - CASE WHEN j = 0 THEN 0 ELSE lgamma(j + 1) END - CASE WHEN j = n THEN 0 ELSE lgamma(n - j + 1) END
-         + j * ln({p!r}) + (n - j) * ln(1 - {p!r})) for j in range(0, k + 1)]) <= {error!r}, false) AS good FROM tested),
-chain AS (SELECT *, bool_and(good) OVER (PARTITION BY stratum, rule ORDER BY step) AS passed FROM certified),
-best AS (SELECT stratum, rule, arg_max(cutoff, junk * 1000 - step) AS cutoff FROM chain WHERE passed AND junk > 0 GROUP BY ALL),
-broken AS (SELECT DISTINCT doc_id FROM scored, unnest(scores) t(s), best b WHERE b.stratum = scored.stratum AND b.rule = s.rule AND s.score > b.cutoff)
+  SELECT *, list_sum([exp(lgamma(n + 1) - CASE WHEN j = 0 THEN 0 ELSE lgamma(j + 1) END - CASE WHEN j = n THEN 0 ELSE lgamma(n - j + 1) END
+         + j * ln({p!r}) + (n - j) * ln(1 - {p!r})) for j in range(0, k + 1)]) <= {error!r} AS good FROM reached),
+chain AS (SELECT *, bool_and(good) OVER (PARTITION BY stratum ORDER BY m) AS passed FROM certified),
+broken AS (SELECT DISTINCT d.row FROM scored d, unnest(d.scores) t(s), chain b
+           WHERE b.passed AND b.stratum = d.stratum AND b.rule = s.rule AND s.score > b.cutoff)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM broken) AS kept
+       NOT base_failed AND row NOT IN (SELECT row FROM broken) AS kept
 FROM scored
 """
 

@@ -50,8 +50,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.with_counts(docs, F.col("text")).withColumn("doc", F.struct("doc.doc_id"))
     scored = quality.written(scored, "quality-counts")
-    # Its SQL twin tests every rule on its own.
-    out = quality.judged(scored, _table(spark, sf_dir, "labels"), risk=quality.Risk(joint=False))
+    out = quality.judged(scored, _table(spark, sf_dir, "labels"))
     return out.select("doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
@@ -71,7 +70,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings")
     rows = rows.select(F.col("vec_id").alias("id"), topk.whole_vector(F.col("embedding")).alias("vector"))
-    out = topk.top_k(rows.where("id % 50 = 0"), rows, k=5)
+    out = topk.top_k(rows, F.col("id") % 50 == 0, k=5)
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("vec_id"), "score")
 
 

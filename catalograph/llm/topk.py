@@ -16,9 +16,9 @@ in 64-bit integers where a block could exceed that.
 
 Defined cases: vectors that are null, empty of meaning (a null component) or of
 another length than the query's take no part with it; a query with fewer than ``k``
-candidates gets all; ties go to the smaller id; a row with the query's id is never its
-candidate; a repeated query id is asked once, repeated candidates count each; empty
-tables give an empty result; no other columns are read.
+candidates gets all; ties go to the smaller id, a null id last; only the query's own row is
+never its candidate, so rows that repeat its id are, and each of them is a query of its own;
+repeated candidates count each; empty tables give an empty result; no other columns are read.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ SLICES = 2
 NO_CUTOFF = -(1 << 62)  # of a query with fewer than k candidates: all reach it
 QUERY_BLOCK = 1024
 BLOCK = 4096
+LAST_ID = (1 << 63) - 1  # stands for a null id while rows are compared
 
 
 def whole_vector(vector: Column, scale: float = 256.0) -> Column:
@@ -56,7 +57,8 @@ def _matrices(queries: pd.DataFrame, rows: pd.DataFrame):
     for n in np.unique(asked):
         q, c = queries[asked == n], rows[lengths == n].sort_values("id", kind="stable")
         if len(c):
-            yield q, np.stack(q["vector"].to_numpy()).reshape(len(q), n), c["id"].to_numpy(), np.stack(c["vector"].to_numpy()).reshape(len(c), n)
+            vectors = (np.stack(x["vector"].to_numpy()).reshape(len(x), n) for x in (q, c))
+            yield q, next(vectors), c["row"].to_numpy(), c["id"].to_numpy(), next(vectors)
 
 
 def _best(scores: np.ndarray, k: int) -> np.ndarray:
@@ -78,14 +80,14 @@ def _cutoffs(k: int, slices: int):
 
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for q, asked, ids, vectors in _matrices(queries, rows) if len(queries) and len(rows) else ():
+        for q, asked, places, _, vectors in _matrices(queries, rows) if len(queries) and len(rows) else ():
             partial = [_products(asked[:, p], vectors[:, p]) for p in _parts(asked.shape[1], slices)]
-            for row, own in enumerate(q["id"].to_numpy()):
-                there = np.flatnonzero(ids != own)
+            for row, own in enumerate(q["row"].to_numpy()):
+                there = np.flatnonzero(places != own)
                 found = np.unique(np.concatenate([there[_best(p[row, there], k)] for p in partial]))
                 totals = np.sort(sum(p[row, found] for p in partial))[::-1][:k]
                 out.append((own, totals.tolist()))
-        return pd.DataFrame(out, columns=["id", "totals"])
+        return pd.DataFrame(out, columns=["row", "totals"])
 
     return run
 
@@ -95,46 +97,49 @@ def _entries(k: int, slices: int):
 
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for q, asked, ids, vectors in _matrices(queries, rows) if len(queries) and len(rows) else ():
+        for q, asked, places, ids, vectors in _matrices(queries, rows) if len(queries) and len(rows) else ():
             partial = [_products(asked[:, p], vectors[:, p]) for p in _parts(asked.shape[1], slices)]
-            for row, (own, cutoff) in enumerate(zip(q["id"].to_numpy(), q["cutoff"].to_numpy())):
+            for row, (own, cutoff) in enumerate(zip(q["row"].to_numpy(), q["cutoff"].to_numpy())):
                 # In whole numbers: a slice reaches cutoff / slices, rounded up.
                 enough = np.logical_or.reduce([p[row] >= -(-cutoff // slices) for p in partial])
-                there = np.flatnonzero(enough & (ids != own))
+                there = np.flatnonzero(enough & (places != own))
                 totals = sum(p[row, there] for p in partial)
                 best = _best(totals, k)
                 out += [(own, i, s) for i, s in zip(ids[there[best]].tolist(), totals[best].tolist())]
-        return pd.DataFrame(out, columns=["query_id", "id", "score"])
+        return pd.DataFrame(out, columns=["row", "id", "score"])
 
     return run
 
 
-def top_k(queries: DataFrame, rows: DataFrame, k: int = 5, slices: int = SLICES) -> DataFrame:
-    """``query_id``, ``rank``, ``id``, ``score``: the ``k`` best ``rows`` of every query.
+def top_k(rows: DataFrame, is_query: Column, k: int = 5, slices: int = SLICES) -> DataFrame:
+    """``query_id``, ``rank``, ``id``, ``score``: the ``k`` best other ``rows`` of every row that is a query.
 
-    Both tables have ``id`` (long) and ``vector`` (array of long).
+    ``rows`` has ``id`` (long) and ``vector`` (array of long).
     """
-    rows = rows.where("id IS NOT NULL AND vector IS NOT NULL AND forall(vector, x -> x IS NOT NULL)").select("id", "vector")
-    queries = queries.where("id IS NOT NULL AND vector IS NOT NULL AND forall(vector, x -> x IS NOT NULL)")
-    queries = queries.groupBy("id").agg(F.min("vector").alias("vector"))
-    rows, queries = written(rows, "topk-rows"), written(queries, "topk-queries")
+    fine = rows.where("vector IS NOT NULL AND forall(vector, x -> x IS NOT NULL)").withColumn("asked", F.coalesce(is_query, F.lit(False)))
+    fine = fine.select(F.monotonically_increasing_id().alias("row"), F.coalesce("id", F.lit(LAST_ID)).alias("id"), "vector", "asked")
+    rows = written(fine, "topk-rows")
+    queries = rows.where("asked").select("row", "id", "vector")
     n_blocks = max(1, -(-rows.count() // BLOCK))
     n_asked = max(1, -(-queries.count() // QUERY_BLOCK))
     # Every query block meets every block of rows once.
-    place = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    place = lambda n: F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    spread = rows.withColumn("block", place(n_blocks)).withColumn("asked", every(n_asked)).groupBy("asked", "block")
+    spread = rows.drop("asked").withColumn("block", place(n_blocks)).withColumn("queries", every(n_asked)).groupBy("queries", "block")
 
     def met(some: DataFrame, work, schema: str) -> DataFrame:
-        asked = some.withColumn("asked", place(n_asked)).withColumn("block", every(n_blocks))
-        return asked.groupBy("asked", "block").cogroup(spread).applyInPandas(work, schema)
+        dealt = some.withColumn("queries", place(n_asked)).withColumn("block", every(n_blocks))
+        return dealt.groupBy("queries", "block").cogroup(spread).applyInPandas(work, schema)
 
-    lists = met(queries, _cutoffs(k, slices), "id long, totals array<long>")
-    falling = Window.partitionBy("id").orderBy(F.desc("cutoff"))
-    ranked = lists.select("id", F.explode("totals").alias("cutoff")).withColumn("rank", F.row_number().over(falling))
+    lists = met(queries, _cutoffs(k, slices), "row long, totals array<long>")
+    falling = Window.partitionBy("row").orderBy(F.desc("cutoff"))
+    ranked = lists.select("row", F.explode("totals").alias("cutoff")).withColumn("rank", F.row_number().over(falling))
     cutoffs = ranked.where(F.col("rank") == k).drop("rank")
-    asked = queries.join(cutoffs, "id", "left").withColumn("cutoff", F.coalesce("cutoff", F.lit(NO_CUTOFF)))
+    asked = queries.join(cutoffs, "row", "left").withColumn("cutoff", F.coalesce("cutoff", F.lit(NO_CUTOFF)))
     asked = written(asked, "topk-cutoffs")
-    found = met(asked, _entries(k, slices), "query_id long, id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+    found = met(asked, _entries(k, slices), "row long, id long, score long")
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "id")
+    first = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    known = lambda c: F.when(c != LAST_ID, c)
+    named = first.join(asked.select("row", F.col("id").alias("query_id")), "row")
+    return named.select(known(F.col("query_id")).alias("query_id"), "rank", known(F.col("id")).alias("id"), "score")

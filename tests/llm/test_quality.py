@@ -104,7 +104,12 @@ def test_rules_together_certify_with_fewer_labels(spark):
     assert [(r.stratum, r.rule, r.n_lost) for r in found] == [(0, 0, 0)] and found[0].p_value <= 0.1 / 3
     assert math.isclose(found[0].p_value, 0.96 ** found[0].n_good)
     assert all(r.kept == (r.doc_id < 400) for r in quality.judged(scored, labels).select("doc.doc_id", "kept").collect())
-    assert quality.cutoffs(scored, labels, "doc_id", "doc_id", "quality", quality.Risk(joint=False)).count() == 0
+
+
+def test_certified_rules_reject_in_the_query(spark):
+    """At sf0.01, where the twin is compared, a cut-off is certified and rejects documents that the base rule keeps."""
+    out = queries.op5_quality_rules(spark, "/root/testdata/sf0.01")
+    assert out.where("kept = base_failed").count() > 0
 
 
 def test_long_documents_certify(spark):
