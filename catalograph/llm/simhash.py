@@ -35,7 +35,6 @@ from catalograph.llm.common import partitions, tidy, written
 
 SEED = 42
 TREE = 2000  # fingerprints in one tree
-FEW = 10_000  # rows up to which the list of large shards is broadcast
 CHUNK = 1 << 16
 
 
@@ -114,22 +113,33 @@ def shard_links(nodes: np.ndarray, searched: np.ndarray, radius: int) -> tuple[n
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Fingerprints and node marks of one shard's tree after the other; rows come sorted."""
     kept: list[np.ndarray] = []
-    columns = ("part", "bits", "tree", "print", "is_node")
+    columns = ("part", "bits", "sub", "rest", "tree", "print", "is_node")
     for batch in batches:
         now = [batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
         if kept:
             now = [np.concatenate(x) for x in zip(kept, now)]
         if not len(now[0]):
             continue
-        new = (np.diff(now[0]) != 0) | (np.diff(now[1]) != 0) | (np.diff(now[2]) != 0)
+        new = np.logical_or.reduce([np.diff(x) != 0 for x in now[:-2]])
         starts = np.concatenate([[0], np.flatnonzero(new) + 1])
         sizes = np.diff(starts)
         for k in np.flatnonzero(sizes > 1):  # a lone fingerprint has no link
             at = slice(starts[k], starts[k + 1])
-            yield now[3][at].view(np.uint64), now[4][at]
+            yield now[-2][at].view(np.uint64), now[-1][at]
         kept = [x[starts[-1] :] for x in now]
     if kept and len(kept[0]) > 1:
-        yield kept[3].view(np.uint64), kept[4]
+        yield kept[-2].view(np.uint64), kept[-1]
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def _rest_masks(mask: int, n: int) -> list[int]:
+    """The bits outside ``mask``, from the lowest on, in ``n`` about equal parts."""
+    free = [b for b in range(64) if not mask >> b & 1]
+    edges = np.linspace(0, len(free), n + 1).astype(int)
+    return [sum(1 << b for b in free[x:y]) for x, y in zip(edges, edges[1:])]
 
 
 def links(prints: DataFrame, radius: int) -> DataFrame:
@@ -138,20 +148,31 @@ def links(prints: DataFrame, radius: int) -> DataFrame:
     spark = prints.sparkSession
     edges = np.linspace(0, 64, radius + 3).astype(int)
     masks = [sum(((1 << int(edges[b + 1])) - (1 << int(edges[b]))) for b in pair) for pair in combinations(range(radius + 2), 2)]
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keys = F.array(*[F.col("print").bitwiseAND(F.lit(m).cast("long")) for m in signed])
-    rows = prints.select("print", F.posexplode(keys).alias("part", "bits"))
-    sizes = rows.groupBy("part", "bits").count().where(F.col("count") > TREE)
-    large = written(sizes.withColumn("trees", F.ceil(F.col("count") / TREE).cast("int")).drop("count"), "simhash-large")
-    n_large = large.count()
-    if n_large == 0:
-        rows = rows.withColumn("trees", F.lit(1))
+    at = lambda m: F.col("print").bitwiseAND(F.lit(_signed(m)).cast("long"))
+    rows = prints.select("print", F.posexplode(F.array(*[at(m) for m in masks])).alias("part", "bits"))
+
+    def crowded(by: list[str]) -> DataFrame:
+        sizes = rows.groupBy(*by).count().where(F.col("count") > TREE)
+        return written(sizes.withColumn("trees", F.ceil(F.col("count") / TREE).cast("int")).drop("count"), "simhash-large")
+
+    # All bits that may differ lie outside a shard's own: cut into one part more than may differ, two
+    # fingerprints within the radius agree in one of them. So a crowded shard is parted again.
+    large = crowded(["part", "bits"])
+    if large.isEmpty():
+        rows = rows.select("*", F.lit(0).alias("sub"), F.lit(0).cast("long").alias("rest"), F.lit(1).alias("trees"))
     else:
-        large = F.broadcast(large) if n_large <= FEW else large
-        rows = rows.join(large, ["part", "bits"], "left").withColumn("trees", F.coalesce("trees", F.lit(1)))
-    rows = rows.select("part", "bits", "print", "trees", F.explode(F.expr("sequence(0, trees - 1)")).alias("tree"))
-    rows = rows.withColumn("is_node", F.pmod(F.xxhash64("print"), F.col("trees")) == F.col("tree")).drop("trees")
-    dealt = rows.repartition(partitions(spark), "part", "bits", "tree").sortWithinPartitions("part", "bits", "tree", "print")
+        parts = [F.array(*[at(m) for m in _rest_masks(mask, radius + 1)]) for mask in masks]
+        again = F.element_at(F.array(*parts), F.col("part") + 1)
+        alone = F.array(F.lit(0).cast("long"))
+        rows = rows.join(large.withColumnRenamed("trees", "many"), ["part", "bits"], "left")
+        rows = rows.select("print", "part", "bits", F.posexplode(F.when(F.col("many").isNull(), alone).otherwise(again)).alias("sub", "rest"))
+        # What is crowded even then is searched by several trees.
+        by = ["part", "bits", "sub", "rest"]
+        rows = rows.join(crowded(by), by, "left").withColumn("trees", F.coalesce("trees", F.lit(1)))
+    shard = ["part", "bits", "sub", "rest", "tree"]
+    rows = rows.select(*shard[:-1], "print", "trees", F.explode(F.expr("sequence(0, trees - 1)")).alias("tree"))
+    rows = rows.withColumn("is_node", F.pmod(F.xxhash64("print"), F.col("trees")) == F.col("tree")).select(*shard, "print", "is_node")
+    dealt = rows.repartition(partitions(spark), *shard).sortWithinPartitions(*shard, "print")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found, is_node in _shards(batches):
@@ -175,10 +196,12 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         # Large star: neighbours above a vertex go to its smallest neighbour.
         both = now.union(now.select(F.col("b"), F.col("a")))
-        least = both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("m")).withColumn("m", F.least("m", "v"))
+        # Smallest neighbours are written: their join then has two plain shuffles, and Spark splits a vertex that
+        # holds many edges.
+        least = written(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("m")).withColumn("m", F.least("m", "v")), "simhash-least")
         now = written(_normal(both.where("b > a").join(least, F.col("a") == F.col("v")).select(F.col("b").alias("a"), F.col("m").alias("b"))), "simhash-links")
         # Small star: neighbours below a vertex, and itself, go to the smallest of them.
-        least = now.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("m"))
+        least = written(now.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("m")), "simhash-least")
         joined = now.join(least, F.col("a") == F.col("v"))
         now = written(_normal(joined.select("b", "m").toDF("a", "b").union(least.toDF("a", "b"))), "simhash-links")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
