@@ -31,7 +31,6 @@ the struct ``doc``.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -42,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalograph.llm.common import partitions, shared_folder, tidy, written
+from catalograph.llm.common import new_folder, partitions, tidy, written
 
 WINDOW = 13
 BATCH = 4 << 20  # bytes of text in a batch
@@ -199,9 +198,10 @@ def _packed(docs: DataFrame, text: str, doc_id: str, window: int) -> DataFrame:
     )
     packed = rows.mapInArrow(_pack(text, doc_id, window), schema)
     packed = packed.withColumn("batch", F.monotonically_increasing_id()).drop("number")
-    name = f"substring_batches_{uuid.uuid4().hex}"
+    folder = new_folder(spark, "substring_batches")
+    name = folder.rsplit("/", 1)[1].replace("-", "_")
     writer = packed.write.bucketBy(partitions(spark), "batch").format("parquet").option("compression", "zstd")
-    writer.option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name)
+    writer.option("path", folder).saveAsTable(name)
     table = spark.table(name)
     # Buckets need a catalog entry to be written; the plan has what it needs, and the files stay.
     spark.sql(f"DROP TABLE {name}")

@@ -20,7 +20,7 @@ A page that has nothing at that place is its own wrapper.
 Defined cases: a null or empty page has an empty text; a page without a host is its own
 wrapper; a page cut off in the middle gives the text up to there, without the tag cut off;
 repeated pages give the same text; an empty table gives an empty result; other columns are
-kept beside the new ``main_text``.
+kept beside the new ``main_text``, which replaces one of that name.
 """
 
 from __future__ import annotations
@@ -367,4 +367,5 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", found: DataF
     # Spark broadcasts the paths while they are small; beyond that both sides are shuffled and skewed hosts split.
     rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("page"), host(F.col(f"`{url}`")).alias("_host"))
     joined = rows.join(paths, F.col("_host") == F.col("_wrapper_host"), "left")
-    return joined.select("page.*", run(F.col(f"page.`{html}`"), "_wrapper_path").alias("main_text"))
+    kept = [F.col(f"page.`{c}`") for c in pages.columns if c.lower() != "main_text"]
+    return joined.select(*kept, run(F.col(f"page.`{html}`"), "_wrapper_path").alias("main_text"))
