@@ -86,6 +86,14 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def trim() -> None:
+    """Give freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    give = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if give is not None:
+        give(0)
+
+
 def tidy(work):
     """A task's generator that, when it ends, gives freed memory back to the system: Spark
     keeps the worker process for later tasks, whose memory it would add to."""
@@ -95,9 +103,6 @@ def tidy(work):
         try:
             yield from work(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-            if trim is not None:
-                trim(0)
+            trim()
 
     return run

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import os
 import re
+import threading
 import unicodedata
 from collections.abc import Callable, Iterator
 from itertools import chain, islice
@@ -37,13 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalograph.llm.common import tidy, written
+from catalograph.llm.common import tidy, trim, written
 
 CAPACITY = 4096
 GROUP = 12 << 20  # bytes of ids packed together
 CLOSED = 64  # a window with at most this part of its room left is final
 AGAIN = 1 << 62  # first number of the windows that are packed again
-KNOWN = 600_000  # pieces whose ids a worker keeps at most
+KNOWN = 500_000  # pieces whose ids a worker keeps at most
+IDLE = 2.0  # seconds without a task after which a worker forgets them
 SLICE = 4 << 20  # characters encoded at once
 
 
@@ -129,13 +131,33 @@ class PieceEncoder:
         self.ends = np.zeros(max(words.values()) + 1, bool)
         self.ends[[i for word, i in words.items() if word.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        self.again: set[str] = set()
+        self.busy = threading.Lock()
+        self.timer: threading.Timer | None = None
+
+    def start(self) -> None:
+        if self.timer is not None:
+            self.timer.cancel()
+
+    def rest(self) -> None:
+        """Forget all pieces unless another task of this worker starts soon: others may need the memory."""
+        self.timer = threading.Timer(IDLE, self.clear)
+        self.timer.daemon = True
+        self.timer.start()
+
+    def clear(self) -> None:
+        with self.busy:
+            self.known, self.again = {}, set()
+        trim()
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _forget(self) -> None:
-        """Keep the half of the pieces that was learned last."""
-        self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
+        """Keep pieces that were met again since the last time, at most half of what fits: most are met once."""
+        kept = islice(self.again.intersection(self.known), KNOWN // 2)
+        self.known = {p: self.known[p] for p in kept}
+        self.again.clear()
 
     def _learn(self, pieces: list[str]) -> None:
         for first in range(0, len(pieces), 5000):
@@ -149,13 +171,19 @@ class PieceEncoder:
             self.known.update(zip(part, (raw[a:b] for a, b in zip([0, *stops], stops))))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        with self.busy:
+            return self._encoded(texts)
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
         # Some letters that are split alike have small letters that are not.
         lower = [t.lower() for t in texts]
         pieces = [_PIECE.findall(t) if _usual(t) else None for t in lower]
         met = set(chain.from_iterable(filter(None, pieces)))
         if len(self.known) > KNOWN:
             self._forget()
-        self._learn(list(met.difference(self.known)))
+        new = met.difference(self.known)
+        self.again.update(met.difference(new))
+        self._learn(list(new))
         look = self.known.__getitem__
         return [self._ids(t).tobytes() if p is None else b"".join(map(look, p)) for t, p in zip(texts, pieces)]
 
@@ -236,6 +264,7 @@ def pack(docs: DataFrame, tokenizer_path: Callable[[], str], end_id: int, text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path())
+        encode.start()
         number = TaskContext.get().partitionId() << 32
         held, size = [], 0
         for batch in batches:
@@ -250,6 +279,7 @@ def pack(docs: DataFrame, tokenizer_path: Callable[[], str], end_id: int, text:
                     held, size = [], 0
         if held:
             yield _packed(held, capacity, number)[0]
+        encode.rest()
 
     fields = [("start", T.LongType()), ("length", T.LongType()), ("ids", T.BinaryType()), ("doc_tokens", T.LongType()), ("sequence_id", T.LongType()), ("offset", T.LongType())]
     fields.append(("open", T.BooleanType()))

@@ -1,6 +1,7 @@
 """Packing: exact round trip against encoding whole texts; windows within capacity."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -90,6 +91,20 @@ def test_forgetting_known_pieces(monkeypatch):
         assert np.frombuffer(encode([text])[0], "<u4").tolist() == WHOLE.encode(text, add_special_tokens=False).ids
 
 
+def test_an_idle_worker_forgets(monkeypatch):
+    monkeypatch.setattr(packing, "IDLE", 0.2)
+    encode = packing.PieceEncoder(packing.word_bpe())
+    encode.start()
+    first = encode(["a b c"])
+    encode.rest()
+    encode.start()  # the next task comes in time
+    time.sleep(0.4)
+    assert encode.known
+    encode.rest()
+    time.sleep(0.6)
+    assert not encode.known and encode(["a b c"]) == first
+
+
 def test_best_fit_takes_the_tightest_window():
     rng = random.Random(5)
     for capacity in (1, 7, 64, 4096):
