@@ -49,5 +49,5 @@ def inferred_types(text: DataFrame) -> DataFrame:
 
 def inferred_schema(text: DataFrame) -> T.StructType:
     """The inferred types as a schema; runs one job, whose result has a row per column."""
-    found = {r["column"]: r["type"] for r in inferred_types(text).collect()}
+    found = {r["column"]: r["type"] for r in inferred_types(text).take(len(text.columns))}
     return T.StructType([T.StructField(name, TYPES[found[name]]) for name in text.columns])

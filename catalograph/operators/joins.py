@@ -43,6 +43,18 @@ def spread_join(fact: DataFrame, dim: DataFrame, key: str, spread_by: Column, he
     return parted.drop(PARTS).join(repeated.drop(PARTS), [key, "_part"], "inner").drop("_part")
 
 
+def parted(df: DataFrame, key: str, heavy: DataFrame, spread_by: Column | None = None, name: str = "_part") -> DataFrame:
+    """``df`` with the part of each row in column ``name``: 0, but for keys in ``heavy`` (:func:`heavy_keys`'s result).
+
+    Their rows are dealt to parts by a hash of ``spread_by``, or without it repeated once per part, for the other side of
+    a join by key and part.
+    """
+    count = F.coalesce(PARTS, F.lit(1))
+    part = F.explode(F.sequence(F.lit(0), count - 1)) if spread_by is None else F.pmod(F.xxhash64(spread_by), count).cast("int")
+    # Fewer rows than tasks, whatever the data: safe to broadcast.
+    return df.join(F.broadcast(heavy), key, "left").withColumn(name, part).drop(PARTS)
+
+
 def _per_key(df: DataFrame, key: str, name: str) -> DataFrame:
     return df.where(F.col(f"`{key}`").isNotNull()).groupBy(key).agg(F.count("*").alias(name))
 
@@ -87,9 +99,9 @@ class FanOut(ValueError):
 def require_fan_out(sizes: DataFrame, most: float, named: int = 5) -> None:
     """Raise :class:`FanOut` before a join runs, if it gives more than ``most`` rows per link; the error names the pairs
     that add most. Runs one job over the counts, and another if it raises."""
-    found = predicted_rows(sizes).first()
+    found = predicted_rows(sizes).take(1)[0]
     if found["rows"] > most * found["links"]:
         extra = F.col("rows") - F.col("links")
-        worst = sizes.orderBy(extra.desc(), *[F.col(c) for c in sizes.columns[:2]]).limit(named).collect()
+        worst = sizes.orderBy(extra.desc(), *[F.col(c) for c in sizes.columns[:2]]).take(named)
         pairs = ", ".join(f"({r[0]}, {r[1]}): {r['rows']} rows" for r in worst)
         raise FanOut(f"{found['links']} links give {found['rows']} rows, more than {most} each; {pairs}")

@@ -127,8 +127,8 @@ def profile(raw: Catalog) -> dict[str, Row]:
     """Rows, distinct keys and duplicates of master and link, one row each. One pass over their keys."""
     names = ("total", "distinct", "duplicates")
     return {
-        MASTER_TABLE: dup_profile(raw.master, ["product_id"], ignore_null_keys=True, names=names).first(),
-        LINK_TABLE: dup_profile(raw.link, LINK_KEYS, ignore_null_keys=False, names=names).first(),
+        MASTER_TABLE: dup_profile(raw.master, ["product_id"], ignore_null_keys=True, names=names).take(1)[0],
+        LINK_TABLE: dup_profile(raw.link, LINK_KEYS, ignore_null_keys=False, names=names).take(1)[0],
     }
 
 

@@ -13,10 +13,9 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalograph.operators.joins import PARTS
+from catalograph.operators.joins import parted
 from catalograph.storage import remove
 from catalograph.versions import replace_table
 
@@ -170,9 +169,7 @@ def save_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int, h
     """
     keys = [key]
     if heavy is not None:
-        count = F.coalesce(PARTS, F.lit(1))
-        part = F.pmod(F.xxhash64(spread_by), count).cast("int") if spread_by is not None else F.explode(F.sequence(F.lit(0), count - 1))
-        df = df.join(F.broadcast(heavy), key, "left").withColumn(PART, part).drop(PARTS)  # fewer keys than tasks
+        df = parted(df, key, heavy, spread_by, PART)
         keys.append(PART)
     # One task per bucket, so that a bucket is one file.
     df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).format("parquet").option("path", path).saveAsTable(name)

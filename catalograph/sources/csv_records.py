@@ -166,7 +166,7 @@ def csv_records(
     found = per_file.agg(
         F.max(F.when(F.col("odd") == 1, F.col("path"))).alias("odd"), F.min("header").alias("low"), F.max("header").alias("high"),
         F.min_by("path", "header").alias("first"), F.max_by("path", "header").alias("last"),
-    ).first()
+    ).take(1)[0]
     if found["odd"] is not None:
         raise ValueError(f"{found['odd']}: an odd number of quotes")
     if found["low"] != found["high"]:
