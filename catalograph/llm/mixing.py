@@ -7,15 +7,22 @@ queues are merged by finish time and cut off at the total budget, so that every
 source stops near its target.
 
 Running sums never gather a source in one task: the shuffle key's first hex digits
-part each source into cells, sums per cell give offsets, and only the rows of one
-cell are summed one after the other. The cut-off is found by two rounds of sums
-over equal steps of finish time, and exactly inside the last step.
-
-Defined cases: a null text has size 0; the null source is a source, after all
-others; an empty document is in the mix once and takes no words; repeated rows are
-separate documents with tied keys, whose order does not change the result; an
-empty table gives an empty result; other columns are carried through, and the
-names this module adds are chosen free of clashes.
+part each source into cells, and sums per cell give offsets. Rows that share key and
+size (copies of an id, rows without one) are counted before any shuffle, per lane: a
+lane is a part of such a group, of which there are as many as shuffle partitions. Only
+these counts are summed one after the other within a cell; the rows themselves are
+numbered within their lane. One id, or none, may so hold a third of all rows. The
+cut-off is found by two rounds of sums over equal steps of finish time, and exactly
+inside the last step.
+
+Windows over sources (:func:`targets`) hold one row per distinct source in one task;
+offsets, one row per source and cell, are joined by shuffles, never broadcast.
+
+Defined cases: a null text (or size) has size 0; texts of any length are one document;
+the null source is a source, after all others; null ids share one key; an empty
+document is in the mix once and takes no words; repeated rows are separate documents
+with tied keys, whose order does not change the result; an empty table gives an empty
+result; other columns are carried in the struct ``doc``, so that no name clashes.
 """
 
 from __future__ import annotations
@@ -25,7 +32,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalograph.llm.common import words, written
+from catalograph.llm.common import partitions, words, written
 
 CELL_DIGITS = 3  # 4,096 cells a source
 STEPS = 4096  # equal steps of finish time, twice
@@ -78,29 +85,53 @@ def targets(sizes: DataFrame, mix: Mix = Mix()) -> DataFrame:
     return levels.select("source", "source_size", target.alias("target"))
 
 
-def _sized(docs: DataFrame, size: Column, source: Column, key: Column, carry: bool) -> DataFrame:
-    """``source``, ``size``, ``key`` (the shuffled order) and ``cell`` of every row; with ``carry`` all
-    its columns as the struct ``doc``."""
-    doc = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")] if carry else []
-    rows = docs.select(*doc, source.cast("string").alias("source"), size.alias("size"), F.md5(F.coalesce(key.cast("string"), F.lit("null"))).alias("key"))
-    return rows.withColumn("cell", F.substring("key", 1, CELL_DIGITS))
+def _any_lane(docs: DataFrame) -> Column:
+    """A row's lane by its place in the input: equal rows are spread too, but only a stored result keeps it."""
+    return F.monotonically_increasing_id() % partitions(docs.sparkSession)
 
 
-def _offsets(sized: DataFrame, mix: Mix) -> DataFrame:
-    """Words before each cell of a source (``s``, ``c``), with the source's size and target."""
-    sums = written(sized.groupBy("source", "cell").agg(F.sum("size").alias("cell_size")), "mix-cells")
-    wanted = targets(sums.groupBy("source").agg(F.sum("cell_size").alias("source_size")), mix)
-    earlier = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.withColumn("offset", F.coalesce(F.sum("cell_size").over(earlier), F.lit(0)))
-    offsets = offsets.join(wanted.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
-    return written(offsets.select(F.col("source").alias("s"), F.col("cell").alias("c"), "offset", "source_size", "target"), "mix-offsets")
+def _lane_by_content(docs: DataFrame) -> Column:
+    """A row's lane by what it holds, the same each time: rows equal in all columns share a lane."""
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    return F.pmod(F.xxhash64(*hashed), F.lit(partitions(docs.sparkSession)))
 
 
-def _queue(sized: DataFrame, offsets: DataFrame) -> DataFrame:
+def _sized(docs: DataFrame, size: Column, source: Column, key: Column, lane: Column, carry: bool) -> DataFrame:
+    """``source``, ``queue`` (its name, never null), ``size``, ``key`` (the shuffled order), ``cell`` and
+    ``lane`` of every row; with ``carry`` all its columns as the struct ``doc``."""
+    doc = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")] if carry else []
+    key = F.md5(F.coalesce(key.cast("string"), F.lit("null")))
+    rows = docs.select(*doc, source.cast("string").alias("source"), F.coalesce(size, F.lit(0)).cast("long").alias("size"), key.alias("key"), lane.alias("lane"))
+    queue = F.coalesce(F.concat(F.lit("s"), "source"), F.lit(""))
+    return rows.withColumn("queue", queue).withColumn("cell", F.substring("key", 1, CELL_DIGITS))
+
+
+def _starts(sized: DataFrame, mix: Mix) -> DataFrame:
+    """``start``, the words of the source before the first row of each group of rows that share key, size
+    and lane, with the source's size and target."""
+    group = ["queue", "cell", "key", "size", "lane"]
+    groups = written(sized.groupBy(*group).agg(F.count("*").alias("n")), "mix-groups")
+    held = F.col("size") * F.col("n")
+    sums = written(groups.groupBy("queue", "cell").agg(F.sum(held).alias("cell_size")), "mix-cells")
+    name = F.when(F.col("queue") != "", F.col("queue").substr(F.lit(2), F.length("queue"))).alias("source")
+    wanted = targets(sums.groupBy(name).agg(F.sum("cell_size").alias("source_size")), mix)
+    wanted = wanted.select(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("queue"), "source_size", "target")
+    earlier = Window.partitionBy("queue").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("queue", "cell", F.coalesce(F.sum("cell_size").over(earlier), F.lit(0)).alias("offset"))
+    offsets = offsets.join(wanted.hint("merge"), "queue")
+    in_cell = Window.partitionBy("queue", "cell").orderBy("key", "size", "lane").rowsBetween(Window.unboundedPreceding, 0)
+    start = F.col("offset") + F.sum(held).over(in_cell) - held
+    placed = groups.join(offsets.hint("merge"), ["queue", "cell"])
+    return written(placed.select("queue", "key", "size", "lane", start.alias("start"), "source_size", "target"), "mix-starts")
+
+
+def _queue(sized: DataFrame, starts: DataFrame) -> DataFrame:
     """``sized`` with ``source_size``, ``target`` and ``before``: words of the source up to and including the row."""
-    in_cell = Window.partitionBy("source", "cell").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, 0)
-    joined = sized.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("cell") == F.col("c")))
-    return joined.withColumn("before", F.col("offset") + F.sum("size").over(in_cell)).drop("s", "c", "offset", "cell")
+    group = ["queue", "key", "size", "lane"]
+    # Rows of a group are alike to the queue, so any order numbers them.
+    number = F.row_number().over(Window.partitionBy(*group).orderBy("lane"))
+    joined = sized.withColumn("number", number).join(starts.hint("merge"), group)
+    return joined.withColumn("before", F.col("start") + F.col("number") * F.col("size")).drop("queue", "lane", "cell", "number", "start")
 
 
 def copies(queue: DataFrame, mix: Mix = Mix()) -> DataFrame:
@@ -154,8 +185,8 @@ def _within(queue: DataFrame, mix: Mix) -> Column:
 def mix_plan(docs: DataFrame, size: Column, source: Column, key: Column, mix: Mix = Mix()) -> DataFrame:
     """``doc``, ``source``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` words of every
     row of ``docs``, all of whose columns are written on the way: give it few."""
-    sized = written(_sized(docs, size, source, key, True), "mix-sized")
-    queue = written(_queue(sized, _offsets(sized, mix)), "mix-queue")
+    sized = written(_sized(docs, size, source, key, _any_lane(docs), True), "mix-sized")
+    queue = written(_queue(sized, _starts(sized, mix)), "mix-queue")
     within = _within(queue, mix)
     number = F.lit(0)
     for k in range(mix.rounds):
@@ -170,10 +201,12 @@ def mix_plan(docs: DataFrame, size: Column, source: Column, key: Column, mix: Mi
 def mixed(docs: DataFrame, size: Column, source: Column, key: Column, mix: Mix = Mix()) -> DataFrame:
     """The mix itself: the columns of ``docs``, a row per copy taken, range-sorted by finish time.
 
-    The cut-off is found without the documents, which then go through the queue once.
+    The cut-off is found without the documents, which then go through the queue once. Lanes go by content,
+    as both passes must agree on them: rows equal in all columns are numbered in one task.
     """
-    sized = written(_sized(docs, size, source, key, False), "mix-sized")
-    offsets = _offsets(sized, mix)
-    within = _within(written(_queue(sized, offsets), "mix-queue"), mix)
-    entries = copies(_queue(_sized(docs, size, source, key, True), offsets), mix).where(within)
+    lane = _lane_by_content(docs)
+    sized = written(_sized(docs, size, source, key, lane, False), "mix-sized")
+    starts = _starts(sized, mix)
+    within = _within(written(_queue(sized, starts), "mix-queue"), mix)
+    entries = copies(_queue(_sized(docs, size, source, key, lane, True), starts), mix).where(within)
     return entries.orderBy("finish", "source", "key", "round").select("doc.*")

@@ -106,3 +106,40 @@ def test_order_is_by_finish_time(spark):
     # Targets are 400 and 200 words of 600: two of a for one of b all along.
     assert got.count("a") == 40 and got.count("b") == 20
     assert all(abs(got[:n].count("a") - 2 * n / 3) <= 1.5 for n in range(60))
+
+
+def hot_rows():
+    """A third of all rows without an id, a third with one id, some of them alike; null sizes count as 0."""
+    rng = random.Random(5)
+    ids = [None, 7, None]
+    return [(ids[k % 3] if k % 3 < 2 else k, rng.choice(["a", "b", None]), rng.choice([0, 3, 3, 40]), f"t{k % 50}") for k in range(600)]
+
+
+def test_one_id_holds_a_third(spark):
+    rows = hot_rows()
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long, text string").repartition(6)
+    assert close(plan(df)) == close(brute([r[:3] for r in rows], mixing.Mix()))
+    mixed = mixing.mixed(df, F.col("size"), F.col("source"), F.col("doc_id")).collect()
+    want = sum(r[-1] for r in brute([r[:3] for r in rows], mixing.Mix()))
+    assert sum(r.size for r in mixed) == want
+    assert set(rows) >= {tuple(r) for r in mixed}
+
+
+def test_rows_of_one_id_are_numbered_in_lanes(spark):
+    """Copies of a row meet neither in one group of counts nor in one group of rows."""
+    df = spark.range(8000).select(F.lit(1).alias("doc_id"), F.lit("a").alias("source"), F.lit(5).cast("long").alias("size"))
+    sized = mixing._sized(df, F.col("size"), F.col("source"), F.col("doc_id"), mixing._any_lane(df), False)
+    lanes = [r["count"] for r in sized.groupBy("lane").count().collect()]
+    assert len(lanes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(lanes) < 2 * min(lanes)
+    assert sum(r[-1] for r in plan(df)) == 60000  # all of the budget goes to the one source
+
+
+def test_texts_split_a_repeated_id(spark):
+    df = spark.createDataFrame([(1, f"t{k}", {"x": k}) for k in range(800)], "doc_id long, text string, m map<string,int>")
+    lanes = [r["count"] for r in df.groupBy(mixing._lane_by_content(df)).count().collect()]
+    assert len(lanes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(lanes) < 300
+
+
+def test_null_sizes_are_empty(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, "a", 10)], "doc_id long, source string, size long")
+    assert {r[0]: r[1] for r in plan(df)} == {1: 0, 2: 10}
