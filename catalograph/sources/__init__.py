@@ -3,7 +3,7 @@
 from catalograph.sources.archives import GAPS, archive_entries, archive_gaps, archive_index, is_readable, read_archives, read_entries
 from catalograph.sources.csv_files import read_csv, read_large_csv
 from catalograph.sources.csv_records import csv_records
-from catalograph.sources.ranged import listed_files, open_anywhere
+from catalograph.sources.ranged import list_anywhere, listed_files, open_anywhere
 from catalograph.sources.tables import list_tables, load_table, register
 from catalograph.sources.workbooks import SUFFIXES, workbook_columns, workbook_rows, workbook_table
 
@@ -15,6 +15,7 @@ __all__ = [
     "archive_index",
     "csv_records",
     "is_readable",
+    "list_anywhere",
     "list_tables",
     "listed_files",
     "load_table",

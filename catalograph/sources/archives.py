@@ -26,6 +26,7 @@ from catalograph.sources.ranged import Opener, open_anywhere
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BATCH_BYTES = 16 << 20
+BATCH_ROWS = 8192  # of an index
 MOST_BYTES = 1 << 30  # of one entry, inflated
 ENTRY_SCHEMA = "archive string, entry string, content binary"
 INDEX_SCHEMA = "archive string, entry string, at long, packed long, size long, method int, crc long"
@@ -110,7 +111,13 @@ def archive_entries(
 
 
 def _directories(open_file: Opener):
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+        names = ["archive", "entry", "at", "packed", "size", "method", "crc"]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 with open_file(path) as file:
@@ -121,12 +128,15 @@ def _directories(open_file: Opener):
                         raise ValueError(f"{path}: no zip archive: {error}") from error
                 if any(i.flag_bits & 1 for i in found):
                     raise ValueError(f"{path}: entries are encrypted")
-                rows = [(path, i.filename, i.header_offset, i.compress_size, i.file_size, i.compress_type, i.CRC) for i in found]
+                own = [(path, i.filename, i.header_offset, i.compress_size, i.file_size, i.compress_type, i.CRC) for i in found]
                 # An archive without a file is listed too.
-                columns = list(zip(*rows)) or [(path,), *[(None,)] * 6]
-                kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
-                names = ["archive", "entry", "at", "packed", "size", "method", "crc"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+                rows.extend(own or [(path, *[None] * 6)])
+                # Small archives share a batch: one batch each costs more than reading a directory.
+                if len(rows) >= BATCH_ROWS:
+                    yield packed(rows)
+                    rows = []
+        if rows:
+            yield packed(rows)
 
     return run
 
@@ -136,10 +146,10 @@ def archive_index(files: DataFrame, open_file: Opener = open_anywhere) -> DataFr
 
     ``files`` has the archives' ``path``. A task reads the end of an archive, where its directory is,
     and no entry. Resource forks and lock files are left out. An archive without any file has
-    one row without an entry.
+    one row without an entry. The tasks that list archives read their directories; rows are dealt by archive.
     """
     tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = files.select("path").repartition(tasks, "path").mapInArrow(_directories(open_file), INDEX_SCHEMA)
+    rows = files.select("path").mapInArrow(_directories(open_file), INDEX_SCHEMA).repartition(tasks, "archive")
     name = F.when(F.col("entry").isNotNull(), table_name_of(F.col("entry"))).alias("table_name")
     return rows.select("archive", "entry", name, "at", "packed", "size", "method", "crc")
 

@@ -45,6 +45,7 @@ from catalograph.sources import (
     archive_entries,
     archive_gaps,
     archive_index,
+    list_anywhere,
     listed_files,
     load_table,
     read_csv,
@@ -57,7 +58,7 @@ from catalograph.storage import numbered, row_position
 from catalograph.versions import load_version, replace_table
 from queries import views
 from queries.landing import document_lots
-from queries.packing import archive_files, document_archives, table_archives
+from queries.packing import archive_files, archive_folders, document_archives, table_archives
 from queries.views import table, with_views
 from queries.work import new_path, stored
 
@@ -812,6 +813,9 @@ def q_catalog_from_archives(spark, sf_dir):
     return out.select("table_name", "product_id", "price", "stock_quantity", "id_web", "post_type", "post_title", "total_sales")
 
 
+LOT_FOLDERS = 1024  # of the archives of documents
+
+
 @query(
     "archive_gaps",
     """
@@ -834,8 +838,8 @@ def q_catalog_from_archives(spark, sf_dir):
 )
 def q_archive_gaps(spark, sf_dir):
     """Archives written as files, of which some lack a workbook, hold an old one or one too many."""
-    folder = archive_files(document_lots(table(spark, sf_dir, "documents")), new_path(spark, "lots"))
-    index = archive_index(listed_files(spark, folder, "*.zip"))
+    folder = archive_files(document_lots(table(spark, sf_dir, "documents")), new_path(spark, "lots"), LOT_FOLDERS)
+    index = archive_index(listed_files(spark, archive_folders(folder, LOT_FOLDERS), "*.zip", list_anywhere))
     gaps = archive_gaps(index, list(TABLES), SUFFIXES)
     return gaps.withColumn("archive", F.regexp_replace("archive", "^.*/", ""))
 

@@ -132,24 +132,34 @@ def table_archives(tables: Sequence[DataFrame]) -> DataFrame:
     return rows.mapInArrow(_zip_tables, ARCHIVE_SCHEMA)
 
 
-def archive_files(archives: DataFrame, folder: str) -> str:
+def archive_folders(folder: str, folders: int) -> list[str]:
+    """The folders to which ``archive_files`` deals archives."""
+    return [folder] if folders == 1 else [f"{folder}/{k:03x}" for k in range(folders)]
+
+
+def archive_files(archives: DataFrame, folder: str, folders: int = 1) -> str:
     """Write archives as files below ``folder``, which every executor must see under this path.
 
     Spark reads binary files but has no writer for them. A file is renamed when it is
-    complete, so a task that runs again replaces it.
+    complete, so a task that runs again replaces it. Tasks that make files in one folder wait for each
+    other, so many files go to several ``folders`` below, each to the one that its name gives.
     """
     scheme, _, path = folder.rpartition("://")
     if scheme not in ("", "file"):
         raise ValueError(f"archives are written by path; {folder} is none")
 
+    places = archive_folders(path, folders)
+
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.makedirs(path, exist_ok=True)
+        for place in places:
+            os.makedirs(place, exist_ok=True)
         for batch in batches:
             for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                part = f"{path}/.{name}.{uuid.uuid4().hex}"
+                place = places[zlib.crc32(name.encode()) % folders]
+                part = f"{place}/.{name}.{uuid.uuid4().hex}"
                 with open(part, "wb") as out:
                     out.write(content)
-                os.replace(part, f"{path}/{name}")
+                os.replace(part, f"{place}/{name}")
         yield pa.RecordBatch.from_pydict({"n": pa.array([1], pa.int32())})
 
     archives.mapInArrow(save, "n int").count()

@@ -6,13 +6,17 @@ import io
 import re
 import zipfile
 
+import pyarrow as pa
 import pytest
 from conftest import final_plan, rows
 
 from catalograph.plans import IncompleteArchives, read_catalog
 from catalograph.schema import TABLES
-from catalograph.sources import SUFFIXES, archive_entries, archive_gaps, archive_index, listed_files, read_archives, read_entries
-from queries.packing import workbook_bytes, zip_bytes
+from catalograph.sources import SUFFIXES, archive_entries, archive_gaps, archive_index, list_anywhere, listed_files, read_archives, read_entries
+from catalograph.sources.archives import _directories
+from catalograph.sources.ranged import open_anywhere
+from queries.catalog import QUERIES
+from queries.packing import archive_files, archive_folders, workbook_bytes, zip_bytes
 
 
 def books(lot: int = 0, n: int = 1) -> dict[str, bytes]:
@@ -175,3 +179,62 @@ def test_refused(spark, tmp_path, case):
     }
     with pytest.raises(Exception, match=expected[case]):
         entries_of(spark, tmp_path, data).collect()
+
+
+def test_small_archives_share_tasks_and_batches(spark, tmp_path):
+    for k in range(300):
+        (tmp_path / f"{k}.zip").write_bytes(zip_bytes({"x.txt": "x"} if k else {}))
+    found = listed_files(spark, str(tmp_path), "*.zip")
+    assert found.rdd.getNumPartitions() <= 4 and found.count() == 300
+    index = archive_index(found)
+    plan = final_plan(index)
+    assert "Coalesce 4" in plan and plan.count("Exchange") == 1
+    paths = pa.RecordBatch.from_pydict({"path": [r.path for r in found.collect()]})
+    read = list(_directories(open_anywhere)(iter([paths])))
+    assert [b.num_rows for b in read] == [300] and rows(index.select("archive", "entry")) == rows(spark.createDataFrame(
+        [(f"file:{tmp_path}/{k}.zip", "x.txt" if k else None) for k in range(300)], "archive string, entry string"))
+    one = zip_bytes({f"{k}.txt": "" for k in range(5000)})
+    for k in range(3):
+        (tmp_path / f"{k}.zip").write_bytes(one)
+    first = pa.RecordBatch.from_pydict({"path": [f"{tmp_path}/{k}.zip" for k in range(4)]})
+    assert [b.num_rows for b in _directories(open_anywhere)(iter([first]))] == [10000, 5001]
+
+
+def test_tasks_list_what_spark_lists(spark, tmp_path):
+    names = ["a.zip", "b #é%20?.zip", "sub/c.zip", "sub/deep/d=1/e.zip", "_hidden/f.zip", "_x=1/g.zip", ".h.zip", "_i.zip", "sub/j.txt", "k.zip._COPYING_", "L.ZIP"]
+    for k, name in enumerate(names):
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_bytes(b"x" * k)
+    (tmp_path / "none").mkdir()
+    for start in ("", "file:", "file://"):
+        folders = [f"{start}{tmp_path}/{f}" for f in ("in", "none")]
+        assert rows(listed_files(spark, folders, "*.zip", list_anywhere)) == rows(listed_files(spark, folders, "*.zip"))
+    assert listed_files(spark, folders, "*.zip", list_anywhere).count() == 4  # not the one without a byte
+
+
+def test_archives_go_to_folders_by_name(spark, tmp_path):
+    made = [(f"{k % 40}.zip", zip_bytes({"x.txt": str(k % 40)})) for k in range(80)]
+    folder = archive_files(spark.createDataFrame(made, "path string, content binary").repartition(4), f"file://{tmp_path}/lots", 8)
+    found = listed_files(spark, archive_folders(folder, 8), "*.zip", list_anywhere)
+    assert sorted(r.path.rsplit("/", 1)[1] for r in found.collect()) == sorted({name for name, _ in made})
+    assert len({r.path.rsplit("/", 2)[1] for r in found.collect()}) > 4
+    assert not [f for f in (tmp_path / "lots").rglob(".*") if f.is_file() and not f.name.endswith(".crc")]
+    texts = {r.archive.rsplit("/", 1)[1]: bytes(r.content).decode() for r in read_entries(archive_index(found)).collect()}
+    assert texts == {f"{k}.zip": str(k) for k in range(40)}
+
+
+def test_the_gaps_of_documents_are_found_without_listing_on_the_driver(spark, tmp_path):
+    docs = [(k, None if k == 5 else "text é") for k in range(300)] + [(4, "text é")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    gaps = QUERIES["archive_gaps"](spark, str(tmp_path))
+    expected = []
+    for k in range(300):
+        none = k % 13 == 4
+        if none or k % 7 == 2:
+            expected.append((f"lot-{k}.zip", "fichier_erp", "missing" if none else "format", 0, None if none else "Export/Fichier_ERP.XLS"))
+        if none or k % 5 == 1:
+            expected.append((f"lot-{k}.zip", "fichier_web", "missing", 0, None))
+        if none or k % 11 == 3:
+            expected.append((f"lot-{k}.zip", "fichier_liaison", "missing" if none else "several", 0 if none else 2, None))
+    plan = final_plan(gaps)
+    assert rows(gaps) == sorted(expected, key=repr) and "inaryFile" not in plan
